@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episodica.llm import bpe
+from episodica.llm import bpe, lm, simhash
 from episodica.llm.common import read_table
 
 BPE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -23,5 +23,16 @@ def bpe_digests(decoded: DataFrame) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_byte_bpe": op3_byte_bpe}
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and neural log10 probabilities of every document."""
+    return lm.score(read_table(spark, sf_dir, "documents"))
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, fingerprint and component_id of every document, linked at 2 or fewer differing bits of 64."""
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), width=3, max_bits=2, rotations=3)
+    return found.select("doc_id", simhash.hex16("fp").alias("fingerprint"), "component_id")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_byte_bpe": op3_byte_bpe, "op6_lm_score": op6_lm_score, "op10_simhash": op10_simhash}
 ORACLES: dict[str, str] = {}
