@@ -208,7 +208,7 @@ def _average(parts: DataFrame, size: int) -> np.ndarray | None:
         weights = np.array(table.column("weight").to_pylist(), float)
         blobs = np.stack([np.frombuffer(b, "<f4") for b in table.column("blob").to_pylist()])
         got = (weights[:, None] * blobs).sum(0) / max(weights.sum(), 1e-9)
-        return pa.table({"slot": [key[1].as_py()], "slice": [key[0].as_py()], "weight": [weights.sum()], "blob": [got.astype("<f4").tobytes()]})
+        return pa.table({"slot": [key[1].as_py()], "slice": pa.array([key[0].as_py()], pa.int32()), "weight": [weights.sum()], "blob": [got.astype("<f4").tobytes()]})
 
     most = parts.agg(F.max("slot")).first()[0]
     if most is None:
