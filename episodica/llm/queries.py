@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episodica.llm import bpe, lm, simhash
+from episodica.llm import bpe, exact, lm, simhash
 from episodica.llm.common import read_table
 
 BPE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -28,11 +28,26 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(read_table(spark, sf_dir, "documents"))
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of equal texts and the document of it that stays."""
+    return exact.deduplicate(read_table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = """
+with d as (
+    select doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) as text_sha256
+    from documents
+)
+select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size, doc_id = max(doc_id) over w as kept, text_sha256
+from d window w as (partition by text_sha256)
+"""
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint and component_id of every document, linked at 2 or fewer differing bits of 64."""
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), width=3, max_bits=2, rotations=3)
     return found.select("doc_id", simhash.hex16("fp").alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_byte_bpe": op3_byte_bpe, "op6_lm_score": op6_lm_score, "op10_simhash": op10_simhash}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_byte_bpe": op3_byte_bpe, "op6_lm_score": op6_lm_score, "op7_exact_dedup": op7_exact_dedup, "op10_simhash": op10_simhash}
+ORACLES: dict[str, str] = {"op7_exact_dedup": OP7_SQL}
