@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episodica.llm import bpe, exact, lm, simhash
+from episodica.llm import bpe, exact, langid, lm, simhash
 from episodica.llm.common import read_table
 
 BPE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -23,6 +23,14 @@ def bpe_digests(decoded: DataFrame) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram and neural log10 probabilities of every document."""
     return lm.score(read_table(spark, sf_dir, "documents"))
@@ -49,5 +57,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16("fp").alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_byte_bpe": op3_byte_bpe, "op6_lm_score": op6_lm_score, "op7_exact_dedup": op7_exact_dedup, "op10_simhash": op10_simhash}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_byte_bpe": op3_byte_bpe, "op5_language": op5_language, "op6_lm_score": op6_lm_score, "op7_exact_dedup": op7_exact_dedup, "op10_simhash": op10_simhash}
 ORACLES: dict[str, str] = {"op7_exact_dedup": OP7_SQL}
