@@ -8,12 +8,30 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episodica.llm import bpe, exact, langid, lm, simhash
+from episodica.llm import bpe, exact, langid, lm, simhash, vectors
 from episodica.llm.common import read_table
 
 BPE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best inner products for each vector whose id is divisible by 100, the stated query set, against all rows."""
+    table = read_table(spark, sf_dir, "embeddings")
+    return vectors.top_k(table, table.filter(F.col("vec_id") % 100 == 0), k=10, scale=1024)
+
+
+OP1_SQL = """
+with v as (
+    select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as e from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+    select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::bigint as score
+    from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0
+), r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, rank::integer as rank, vec_id, score from r where rank <= 10
+"""
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
     return bpe_digests(bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), BPE_VOCABULARY, public_tokenizers.PATTERN), BPE_VOCABULARY))
@@ -57,5 +75,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16("fp").alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_byte_bpe": op3_byte_bpe, "op5_language": op5_language, "op6_lm_score": op6_lm_score, "op7_exact_dedup": op7_exact_dedup, "op10_simhash": op10_simhash}
-ORACLES: dict[str, str] = {"op7_exact_dedup": OP7_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_topk": op1_topk, "op3_byte_bpe": op3_byte_bpe, "op5_language": op5_language, "op6_lm_score": op6_lm_score, "op7_exact_dedup": op7_exact_dedup, "op10_simhash": op10_simhash}
+ORACLES: dict[str, str] = {"op1_topk": OP1_SQL, "op7_exact_dedup": OP7_SQL}
