@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from itertools import count
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -17,13 +18,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from episodica.llm.common import materialize, prepare
+from episodica.llm.common import materialize, materialize_bucketed, prepare
 
 #: A block is closed once it holds so many bytes of text; a single longer document makes a block of its own.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
+#: Pairs of block and distinct word that one part of the word exchange holds, about.
+PART_WORDS = 250_000
 
-SCHEMA = "block string, doc_ids array<bigint>, sizes binary, codes binary, words array<binary>"
-ARROW = pa.schema([("block", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("codes", pa.binary()), ("words", pa.list_(pa.binary()))])
+SCHEMA = "block bigint, doc_ids array<bigint>, sizes binary, codes binary, words array<binary>, n_words int"
+ARROW = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("codes", pa.binary()), ("words", pa.list_(pa.binary())), ("n_words", pa.int32())])
 
 
 def squeeze(codes: np.ndarray) -> bytes:
@@ -37,34 +40,44 @@ def unsqueeze(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-def _close(name: str, doc_ids: list, parts: list[np.ndarray], words: dict[bytes, int]) -> pa.RecordBatch:
+def squeeze_strings(strings: list[bytes]) -> bytes:
+    """Byte strings: their lengths, then all of them, each compressed."""
+    lengths = squeeze(np.fromiter(map(len, strings), np.uint32, len(strings)))
+    return len(lengths).to_bytes(4, "little") + lengths + zstandard.ZstdCompressor(level=3).compress(b"".join(strings))
+
+
+def unsqueeze_strings(data: bytes) -> list[bytes]:
+    at = 4 + int.from_bytes(data[:4], "little")
+    ends = np.cumsum(unsqueeze(data[4:at]), dtype=np.int64).tolist()
+    whole = zstandard.ZstdDecompressor().decompress(data[at:])
+    return [whole[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)] if ends else []
+
+
+def _close(name: int, doc_ids: list, parts: list[np.ndarray], words: dict[bytes, int]) -> pa.RecordBatch:
     codes = np.concatenate(parts) if parts else np.empty(0, np.uint32)
     order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
     rank = np.empty(len(words), np.uint32)
     rank[order] = np.arange(len(words), dtype=np.uint32)
     listed = list(words)
-    row = [[name], [doc_ids], [np.array([len(p) for p in parts], "<u4").tobytes()], [squeeze(rank[codes])], [[listed[i] for i in order]]]
+    row = [[name], [doc_ids], [np.array([len(p) for p in parts], "<u4").tobytes()], [squeeze(rank[codes])], [[listed[i] for i in order]], [len(words)]]
     return pa.RecordBatch.from_arrays([pa.array(v, t.type) for v, t in zip(row, ARROW, strict=True)], schema=ARROW)
 
 
-def pack(docs: DataFrame, split: Callable[[str], list[bytes]], block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The blocks of docs (doc_id, text), as a written table, so that all its readers see the same blocks.
+def pack(docs: DataFrame, split: Callable[[str], list[bytes]], block_bytes: int = BLOCK_BYTES, buckets: int | None = None) -> DataFrame:
+    """The blocks of docs (doc_id, text), as a written table (bucketed by block if so asked), so that all its readers see the same.
 
     split gives a text's words. Null texts count as empty; null or repeated doc_ids are kept row by row.
     """
     prepare(docs.sparkSession)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from uuid import uuid4
-
-        task = uuid4().hex  # the table is written once; readers only see the attempt that was committed
+        from secrets import randbits
 
         def fresh():
             words: dict[bytes, int] = defaultdict()
             words.default_factory = count().__next__
             return [], [], words, 0
 
-        made = 0
         ids, parts, words, held = fresh()
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -73,15 +86,41 @@ def pack(docs: DataFrame, split: Callable[[str], list[bytes]], block_bytes: int
                 parts.append(np.fromiter(map(words.__getitem__, found), np.uint32, len(found)))
                 held += len(text or "") + 16
                 if held >= block_bytes:
-                    yield _close(f"{task}{made}", ids, parts, words)
-                    made += 1
+                    yield _close(randbits(63), ids, parts, words)  # readers only see the attempt that was committed
                     ids, parts, words, held = fresh()
         if ids:
-            yield _close(f"{task}{made}", ids, parts, words)
+            yield _close(randbits(63), ids, parts, words)
 
-    return materialize(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(rows, SCHEMA), "blocks")
+    packed = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(rows, SCHEMA)
+    return materialize_bucketed(packed, "blocks", "block", buckets) if buckets else materialize(packed, "blocks")
 
 
-def word_rows(blocks: DataFrame) -> DataFrame:
-    """One row per block and distinct word: word, block, idx (the word's place in the block's list)."""
-    return blocks.select("block", F.posexplode("words").alias("idx", "word"))
+def send_words(packed: DataFrame) -> DataFrame:
+    """The distinct words of each block, dealt out by the word: part, block, idx (places in the block's list), words.
+
+    Equal words of all blocks meet in one part. The number of parts follows the number of pairs of block and word, so a part keeps
+    its size whatever the corpus. Rows of a part stand together.
+    """
+    spark = packed.sparkSession
+    pairs = packed.agg(F.sum("n_words")).first()[0] or 0
+    parts = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-pairs // PART_WORDS))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                part = np.fromiter(map(crc32, words), np.uint32, len(words)) % parts
+                order = np.lexsort((np.arange(len(words)), part))
+                cuts = np.searchsorted(part[order], np.arange(parts + 1)).tolist()
+                rows = [(p, sorted((words[i], i) for i in order[a:b])) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([p for p, _ in rows], pa.int32()),
+                        pa.array([block] * len(rows), pa.int64()),
+                        pa.array([squeeze(np.array([i for _, i in own], np.uint32)) for _, own in rows], pa.binary()),
+                        pa.array([squeeze_strings([w for w, _ in own]) for _, own in rows], pa.binary()),
+                    ],
+                    ["part", "block", "idx", "words"],
+                )
+
+    dealt = packed.select("block", "words").mapInArrow(deal, "part int, block bigint, idx binary, words binary")
+    return dealt.repartition(min(parts, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))), "part").sortWithinPartitions("part")

@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from functools import cache, partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from episodica.llm import blocks as bl
 from episodica.llm.common import prepare, text_or_empty
 
+SCHEMA = "doc_id bigint, n_tokens bigint, ids binary"
+
 
 def load_ranks(path: str) -> dict[bytes, int]:
     """The ranks of a .tiktoken file: token bytes to id."""
@@ -54,75 +57,73 @@ def _vocabulary(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(load_ranks(path))
 
 
-def encode(docs: DataFrame, vocabulary: str, pattern: str, block_bytes: int = bl.BLOCK_BYTES) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str, pattern: str, block_bytes: int = bl.BLOCK_BYTES, decoded: bool = False) -> DataFrame:
     """doc_id, n_tokens long, ids binary (little-endian unsigned 32-bit) for each row of docs (doc_id, text).
 
+    With decoded, the ids are decoded again in the same pass (see decode), which spares a second worker for each task.
+
     Each match of pattern is merged separately by the ranks in the file vocabulary; there are no special tokens. Null and empty
     texts give no ids. Repeated rows and null doc_ids are encoded row by row; other columns are ignored.
     """
     ranks = _vocabulary(docs.sparkSession, vocabulary)
-    packed = bl.pack(docs.select("doc_id", text_or_empty().alias("text")), partial(pre_tokens, pattern), block_bytes)
-    uses = bl.word_rows(packed)
+    own = docs.select("doc_id", text_or_empty().alias("text"))
+    buckets = 2 * max(docs.sparkSession.sparkContext.defaultParallelism, own.rdd.getNumPartitions())
+    packed = bl.pack(own, partial(pre_tokens, pattern), block_bytes, buckets)
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merge = _encoder(vocabulary, ranks.value, pattern)._core_bpe.encode_single_piece
+        part, known = None, {}
         for batch in batches:
-            words = batch.column(0).to_pylist()
-            ids = [np.array(merge(w), "<u4").tobytes() for w in words]
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(ids, pa.binary())], ["word", "ids"])
-
-    encoded = uses.select("word").distinct().mapInArrow(encode_words, "word binary, ids binary")
-    per_block = (
-        uses.join(encoded, "word")
-        .groupBy("block")
-        .agg(F.collect_list(F.struct("idx", "ids")).alias("table"))
-        .select("block", F.col("table.idx").alias("idx"), F.col("table.ids").alias("word_ids"))
-    )
+            out = []
+            for p, data in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                if p != part:
+                    part, known = p, {}
+                words = bl.unsqueeze_strings(data)
+                for word in words:
+                    if word not in known:
+                        known[word] = merge(word)
+                ids = [known[word] for word in words]
+                out.append((bl.squeeze(np.fromiter(map(len, ids), np.uint32, len(ids))), bl.squeeze(np.fromiter(chain.from_iterable(ids), np.uint32))))
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array([n for n, _ in out], pa.binary()), pa.array([i for _, i in out], pa.binary())], ["block", "idx", "n", "ids"])
+
+    encoded = bl.send_words(packed).mapInArrow(encode_words, "block bigint, idx binary, n binary, ids binary")
+    per_block = encoded.repartition(buckets, "block").groupBy("block").agg(F.collect_list(F.struct("idx", "n", "ids")).alias("table"))
     joined = packed.select("block", "doc_ids", "sizes", "codes").join(per_block, "block", "left")
-    return joined.select("doc_ids", "sizes", "codes", "idx", "word_ids").mapInArrow(_assemble, "doc_id bigint, n_tokens bigint, ids binary")
+    joined = joined.select("doc_ids", "sizes", "codes", "table")
+    if not decoded:
+        return joined.mapInArrow(_assemble, SCHEMA)
+    return joined.mapInArrow(lambda batches: _decode(_assemble(batches), ranks.value), f"{SCHEMA}, decoded binary")
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for k in range(batch.num_rows):
-            yield from _documents(batch, k)
+            yield from _documents(*(batch.column(c)[k].as_py() for c in range(4)))
 
 
-def _documents(batch: pa.RecordBatch, k: int) -> Iterator[pa.RecordBatch]:
+def _documents(doc_ids: list, sizes: bytes, codes: bytes, table: list[dict] | None) -> Iterator[pa.RecordBatch]:
     """The documents of one block, a few at a time."""
-    doc_ids = batch.column(0)[k].as_py()
-    sizes = np.frombuffer(batch.column(1)[k].as_py(), "<u4")
-    codes = bl.unsqueeze(batch.column(2)[k].as_py())
-    words = 0
-    if batch.column(3)[k].is_valid:
-        idx = batch.column(3)[k].values.to_numpy(zero_copy_only=False)
-        pieces = batch.column(4)[k].values.to_pylist()
-        words = len(idx)
-        by_idx: list[bytes] = [b""] * words
-        for i, ids in zip(idx.tolist(), pieces, strict=True):
-            by_idx[i] = ids
-        lengths = np.array([len(p) // 4 for p in by_idx], np.int64)
-        flat = np.frombuffer(b"".join(by_idx), "<u4")
-        starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    if len(codes) and int(codes.max()) >= words:
+    ends = np.cumsum(np.frombuffer(sizes, "<u4"), dtype=np.int64).tolist()
+    codes = bl.unsqueeze(codes)
+    pieces = [tuple(bl.unsqueeze(row[k]).astype(np.int64) for k in ("idx", "n", "ids")) for row in table or []]
+    idx, n, flat = (np.concatenate([p[k] for p in pieces]) if pieces else np.empty(0, np.int64) for k in range(3))
+    if len(codes) and int(codes.max()) >= len(idx):
         raise ValueError("a block lacks the ids of some of its words")
-    ends, at = np.cumsum(sizes), 0
+    lengths, starts = np.empty_like(n), np.empty_like(n)
+    lengths[idx], starts[idx] = n, np.cumsum(n) - n
+    at = 0
     out_ids, out_n, out_bytes, held = [], [], [], 0
-    for doc_id, end in zip(doc_ids, ends.tolist(), strict=True):
+    for doc_id, end in zip(doc_ids, ends, strict=True):
         own = codes[at:end]
         at = end
-        if len(own):
-            n = lengths[own]
-            shift = np.cumsum(n)
-            places = np.repeat(starts[own] - np.concatenate(([0], shift[:-1])), n) + np.arange(shift[-1])
-            ids = flat[places].tobytes()
-        else:
-            ids = b""
+        n = lengths[own]
+        total = int(n.sum())
+        places = np.repeat(starts[own] - (np.cumsum(n) - n), n) + np.arange(total)
         out_ids.append(doc_id)
-        out_n.append(len(ids) // 4)
-        out_bytes.append(ids)
-        held += len(ids)
-        if held > (4 << 20):
+        out_n.append(total)
+        out_bytes.append(flat[places].astype("<u4").tobytes())
+        held += total
+        if held > (1 << 20):
             yield _batch(out_ids, out_n, out_bytes)
             out_ids, out_n, out_bytes, held = [], [], [], 0
     if out_ids:
@@ -139,11 +140,11 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     Null ids decode to null; an id that the vocabulary lacks is an error.
     """
     ranks = _vocabulary(encoded.sparkSession, vocabulary)
+    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(lambda batches: _decode(batches, ranks.value), f"{SCHEMA}, decoded binary")
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token_bytes = {i: token for token, i in ranks.value.items()}.__getitem__
-        for batch in batches:
-            texts = [None if ids is None else b"".join(map(token_bytes, np.frombuffer(ids, "<u4").tolist())) for ids in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, "decoded"])
 
-    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(rows, "doc_id bigint, n_tokens bigint, ids binary, decoded binary")
+def _decode(batches: Iterator[pa.RecordBatch], ranks: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+    token_bytes = {i: token for token, i in ranks.items()}.__getitem__
+    for batch in batches:
+        texts = [None if ids is None else b"".join(map(token_bytes, np.frombuffer(ids, "<u4").tolist())) for ids in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, "decoded"])

@@ -66,6 +66,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Like materialize, but bucketed by key: a join on key that brings the other side into as many partitions doesn't move it."""
+    spark = df.sparkSession
+    path = staging_path(spark, name)
+    table = f"episodica_{name}_{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").option("path", path).bucketBy(buckets, key).format("parquet").saveAsTable(table)
+    atexit.register(_drop, spark, table)
+    return spark.table(table)
+
+
+def _drop(spark: SparkSession, table: str) -> None:
+    if spark.sparkContext._jsc is not None:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
