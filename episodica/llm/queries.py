@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episodica.llm import bpe, exact, langid, lm, simhash, vectors
+from episodica.llm import bpe, exact, html, langid, licenses, lm, mixing, pii, simhash, vectors
 from episodica.llm.common import read_table
 
 BPE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -32,15 +32,25 @@ select query_id, rank::integer as rank, vec_id, score from r where rank <= 10
 """
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visible text of every page."""
+    return html.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
-    return bpe_digests(bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), BPE_VOCABULARY, public_tokenizers.PATTERN), BPE_VOCABULARY))
+    return bpe_digests(bpe.encode(read_table(spark, sf_dir, "documents"), BPE_VOCABULARY, public_tokenizers.PATTERN, decoded=True))
 
 
 def bpe_digests(decoded: DataFrame) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and statements of every document."""
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predicted language of every document."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -69,11 +79,45 @@ from d window w as (partition by text_sha256)
 """
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, spans and their digest for every document."""
+    return pii.digest(pii.find(read_table(spark, sf_dir, "documents")))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's raked weight, probability and draw."""
+    found = mixing.mix(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "source", "lang", "topic", "tokens", "weight", "probability", "sampled")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+#: Near copies: five words, and a similarity of 0.8. A Jaccard similarity of 0.8 is a cosine of 0.89 between the shingle sets, at which
+#: 9.7 of 64 bits differ on average; a second fingerprint must agree as well.
+NEAR_DUPLICATES = {"width": 5, "max_bits": 10, "rotations": 4, "confirm": True, "depth": 8}
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint and component_id of every document, linked at 2 or fewer differing bits of 64."""
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), width=3, max_bits=2, rotations=3)
     return found.select("doc_id", simhash.hex16("fp").alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_topk": op1_topk, "op3_byte_bpe": op3_byte_bpe, "op5_language": op5_language, "op6_lm_score": op6_lm_score, "op7_exact_dedup": op7_exact_dedup, "op10_simhash": op10_simhash}
-ORACLES: dict[str, str] = {"op1_topk": OP1_SQL, "op7_exact_dedup": OP7_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_topk": op1_topk,
+    "op2_html": op2_html,
+    "op3_byte_bpe": op3_byte_bpe,
+    "op4_licenses": op4_licenses,
+    "op5_language": op5_language,
+    "op6_lm_score": op6_lm_score,
+    "op7_exact_dedup": op7_exact_dedup,
+    "op8_pii": op8_pii,
+    "op9_mixing": op9_mixing,
+    "op10_simhash": op10_simhash,
+    "pipeline": pipeline,
+}
+ORACLES: dict[str, str] = {"op1_topk": OP1_SQL, "op4_licenses": licenses.oracle_sql(), "op7_exact_dedup": OP7_SQL, "op9_mixing": mixing.oracle_sql()}
