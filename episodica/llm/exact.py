@@ -16,7 +16,12 @@ from pyspark.sql.streaming import StreamingQuery
 from episodica.llm.common import ascii_lower, materialize, staging_path, text_or_empty
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+STORE = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    # many small stores: no megabytes set aside on disk for each, and a batch checkpoints its changes alone
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 STATE = "digest binary, keep_id bigint, group_size bigint, locator string, batch bigint"
 
@@ -40,12 +45,14 @@ def start(rows: DataFrame, state_dir: str, checkpoint: str) -> StreamingQuery:
         changed.withColumn("batch", F.lit(batch).cast("bigint")).write.mode("overwrite").parquet(f"{state_dir}/batch={batch:09d}")
 
     spark = rows.sparkSession
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STORE}
+    for k, v in STORE.items():
+        spark.conf.set(k, v)
     try:
         return keyed_state(rows).writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    finally:
-        spark.conf.set(PROVIDER, before)
+    finally:  # the query keeps the settings that it began with
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def latest(state: DataFrame) -> DataFrame:
