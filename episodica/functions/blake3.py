@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from episodica.functions.ship import ship_package
 
 # Fixed values of the specification.
 IV = np.array([0x6A09E667, 0xBB67AE85, 0x3C6EF372, 0xA54FF53A, 0x510E527F, 0x9B05688C, 0x1F83D9AB, 0x5BE0CD19], np.uint32)
@@ -82,7 +85,7 @@ def digests(messages: list[bytes]) -> list[str]:
     return [row.tobytes().hex() for row in raw]
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _blake3_udf(texts: pd.Series) -> pd.Series:
     out = []
     for at in range(0, len(texts), 512):
@@ -96,6 +99,7 @@ def content_digest(text: Column, profile: str = "blake3") -> Column:
     if profile == "sha256":
         return F.sha2(text, 256)
     if profile == "blake3":
+        ship_package(SparkSession.active())
         return _blake3_udf(text)
     raise ValueError(f"unknown hash profile: {profile}")
 

@@ -72,8 +72,8 @@ def debug_list(items: Column) -> Column:
 
 
 def format_bytes(n: Column) -> Column:
-    """B, KiB, MiB or GiB; two decimals above bytes."""
-    scaled = lambda power, unit: F.format_string(f"%.2f {unit}", n / float(1024**power))
+    """B, KiB, MiB or GiB; two decimals, rounded half to even, above bytes."""
+    scaled = lambda power, unit: F.format_string(f"%.2f {unit}", F.bround(n / float(1024**power), 2))
     return F.when(n >= 1024**3, scaled(3, "GiB")).when(n >= 1024**2, scaled(2, "MiB")).when(n >= 1024, scaled(1, "KiB")).otherwise(F.concat(n.cast("string"), F.lit(" B")))
 
 

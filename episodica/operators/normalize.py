@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from episodica.functions.ship import ship_package
 from episodica.operators.events import EVENT
 
 # Where texts are looked for, and how kinds are named.
@@ -199,6 +200,7 @@ def normalize_files(files: DataFrame, source: str, format: str, hint: str | None
 
     Where a file gives no time, ts is the job's one current time and ts_inferred is set, so a rerun is recognisable.
     """
+    ship_package(files.sparkSession)
     schema = to_arrow_schema(EVENT)
     fields = {f.name: f.type for f in schema}
 

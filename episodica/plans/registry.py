@@ -1,10 +1,322 @@
-"""Queries over the engine's own operators and the DuckDB SQL that states the same results."""
+"""Queries over the engine's own operators and the DuckDB SQL that states the same results.
+
+Hashes use the sha256 profile here, because DuckDB has no BLAKE3; everything else is what the jobs run.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from episodica.functions.text import blank, format_bytes, is_newer, normalize_text, preview, role_of
+from episodica.operators import chunks, episodes, ledger, redact, snapshot
+from episodica.operators.events import from_activity, from_conversations
+from episodica.operators.normalize import normalize_files
+from episodica.plans import sql
+from episodica.sources import readers, registry, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(oracle: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if oracle is not None:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """More partitions for a costly row-by-row stage where a small file would be one task; large inputs stay as they are."""
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
+def conversation_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return from_conversations(table(spark, sf_dir, "conversations"))
+
+
+def activity_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return from_activity(table(spark, sf_dir, "events"))
+
+
+# ---- redaction -------------------------------------------------------------------------------------------------------
+
+
+@query(sql.REDACT_TEXT)
+def redact_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = redact.redact(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return found.select("doc_id", F.sha2("text", 256).alias("text_sha256"), "n_secret", "n_email", "n_ip", "n_path", "n_total")
+
+
+@query(sql.REDACTION_REPORT)
+def redaction_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return redact.report(redact.redact(spread(table(spark, sf_dir, "documents").select("doc_id", "text"))))
+
+
+@query(sql.REDACT_LITERALS)
+def redact_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(sql.LITERALS)], "k long, text string")
+    return redact.redact(rows).select("k", "text", "n_secret", "n_email", "n_ip", "n_path", "n_total")
+
+
+@query(sql.RESIDUAL_GATE)
+def residual_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.lit("document").alias("origin"), F.col("doc_id").alias("id"), "text")
+    turns = table(spark, sf_dir, "conversations").select(F.lit("turn").alias("origin"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text")
+    return spread(docs.union(turns)).select("origin", "id", redact.is_sensitive(F.col("text")).alias("sensitive"))
+
+
+@query(sql.DETECTOR_LITERALS)
+def detector_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(sql.LITERALS)], "k long, text string")
+    return rows.select("k", redact.is_sensitive(F.col("text")).alias("sensitive"))
+
+
+@query(sql.ENTROPY_TOKENS)
+def entropy_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h, n = F.md5(F.col("doc_id").cast("string")), F.col("doc_id") % 5
+    token = F.when(n == 0, h).when(n == 1, F.concat(F.lit("Zz"), h)).when(n == 2, F.concat(F.upper(F.substring(h, 1, 12)), F.lit("xyz"), F.substring(h, 1, 12)))
+    token = token.when(n == 3, F.concat(F.substring(h, 1, 20), F.lit("Q"))).otherwise(F.concat(h, F.lit("."), h))
+    rows = table(spark, sf_dir, "documents").select("doc_id", token.alias("token"))
+    text = F.concat(F.lit("a "), "token", F.lit(" (b"))
+    return rows.select("doc_id", "token", redact.is_high_entropy(F.col("token")).alias("high"), F.regexp_replace(text, redact.ENTROPY, redact.ENTROPY_REPLACEMENT).alias("redacted"))
+
+
+# ---- windows and episodes --------------------------------------------------------------------------------------------
+
+
+@query(sql.EPISODE_WINDOWS)
+def episode_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    windows = episodes.with_windows(conversation_events(spark, sf_dir).union(activity_events(spark, sf_dir).withColumn("path", F.concat(F.lit("u"), "path"))))
+    return windows.groupBy("path", "turn", "part").agg(F.count("*").alias("n"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"))
+
+
+@query(sql.WINDOW_CAP)
+def window_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cap on a long session: all activity as one path per event type, no boundaries."""
+    events = activity_events(spark, sf_dir).withColumn("path", F.concat("source", F.col("kind"))).filter("kind <> 'user_msg'")
+    return episodes.with_windows(events).groupBy("path", "turn", "part").agg(F.count("*").alias("n"), F.min("seq").alias("first_seq"))
+
+
+@query(sql.EPISODE_OUTCOME)
+def episode_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = episodes.build_episodes(activity_events(spark, sf_dir), profile="sha256", gate=False)
+    return made.select("path", "turn", "part", "ts_start", "ts_end", F.col("outcome.success").alias("success"), F.col("outcome.signals.exit_code").alias("exit_code"), F.array_join("meta.tool_names", ",").alias("tool_names"), F.size("meta.error_types").cast("bigint").alias("n_errors"))
+
+
+@query(sql.SUMMARY_CONTEXT)
+def summary_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return episodes.collect_windows(activity_events(spark, sf_dir)).select("path", "turn", "part", episodes.summary_context(F.col("ev")).alias("context"))
+
+
+@query(sql.KIND_HISTOGRAM)
+def kind_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return activity_events(spark, sf_dir).groupBy("source", "kind").agg(F.count("*").alias("n"), F.sum((~blank(F.col("text"))).cast("int")).alias("n_text"))
+
+
+@query(sql.EPISODES_SUMMARY)
+def episodes_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship: conversations redacted, cut into turns, summarised, gated."""
+    events = redact.redact(spread(conversation_events(spark, sf_dir))).drop("n_secret", "n_email", "n_ip", "n_path", "n_total")
+    made = episodes.build_episodes(events, profile="sha256")
+    return made.select("path", "turn", "part", "prompt", "result", "context", F.size("trace").cast("bigint").alias("n_steps"), F.element_at("trace", 3)["content"].alias("first_event"))
+
+
+@query(sql.EPISODES_RAW)
+def episodes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = episodes.build_episodes(conversation_events(spark, sf_dir), include_raw=True, profile="sha256")
+    return made.select("path", "turn", "part", "id", "content_hash", "prompt", "result", "context", "ts_start", "ts_end")
+
+
+@query(sql.SFT_EXPORT)
+def sft_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = episodes.derive_sft(episodes.build_episodes(conversation_events(spark, sf_dir), include_raw=True, profile="sha256"))
+    return made.select("id", "instruction", "input", "output", "license", F.col("consent.trainable").alias("trainable"))
+
+
+@query(sql.TOOLTRACE_EXPORT)
+def tooltrace_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = episodes.build_episodes(activity_events(spark, sf_dir), include_raw=True, profile="sha256", gate=False)
+    steps = episodes.derive_tooltrace(made).select("id", F.posexplode("messages").alias("step", "m"))
+    return steps.select("id", "step", F.col("m.role").alias("role"), F.col("m.content").alias("content"), F.col("m.name").alias("name"))
+
+
+@query(sql.ROLE_MAP)
+def role_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = activity_events(spark, sf_dir).select("kind").union(conversation_events(spark, sf_dir).select("kind"))
+    return rows.groupBy("kind", role_of(F.col("kind")).alias("role")).agg(F.count("*").alias("n"))
+
+
+@query(sql.TEXT_FUNCTIONS)
+def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text")
+    return table(spark, sf_dir, "documents").select("doc_id", preview(text, 140).alias("preview"), F.sha2(normalize_text(text), 256).alias("normal_sha256"), F.octet_length(text).alias("bytes"), format_bytes(F.octet_length(text)).alias("size"), blank(text).alias("is_blank"))
+
+
+@query(sql.VERSION_CHECK)
+def version_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").select("p_partkey", F.concat_ws(".", (F.col("p_partkey") % 3).cast("string"), (F.col("p_size") % 12).cast("string"), (F.col("p_partkey") % 7).cast("string")).alias("version"))
+    return part.select("p_partkey", is_newer(F.concat(F.lit("v"), "version"), F.lit("1.9.3")).alias("newer"))
+
+
+# ---- chunks ----------------------------------------------------------------------------------------------------------
+
+
+@query(sql.CHUNK_PACK)
+def chunk_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = chunks.chunk_events(conversation_events(spark, sf_dir), profile="sha256")
+    return made.select("path", "chunk_index", F.sha2("text", 256).alias("text_sha256"), F.octet_length("text").alias("bytes"), F.col("metadata.ts_start").alias("ts_start"), F.col("metadata.content_hash").alias("content_hash"), "id")
+
+
+@query(sql.ANONYMIZE)
+def anonymize_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = chunks.anonymize(chunks.chunk_events(activity_events(spark, sf_dir), profile="sha256"), "salt", "sha256")
+    m = F.col("metadata")
+    return made.select("path", "chunk_index", m["source"].alias("source"), m["session_id"].alias("session_id"), F.array_join(m["tool_names"], ",").alias("tool_names"))
+
+
+# ---- snapshots -------------------------------------------------------------------------------------------------------
+
+
+def release_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as episode records: labels stand for consent, sources for licences."""
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    number = F.regexp_extract("source", r"(\d+)", 1).cast("int")
+    consent = F.struct(F.coalesce(F.col("quality") == 1, F.lit(True)).alias("public_searchable"), F.coalesce(F.col("toxic") == 0, F.lit(True)).alias("trainable"))
+    return docs.select(F.lit("documents").alias("path"), F.col("doc_id").alias("seq"), F.col("doc_id").cast("string").alias("id"), F.when(number % 4 == 0, "CC0-1.0").when(number % 4 == 1, "CC-BY-4.0").when(number % 4 == 2, "MIT").otherwise("CC0-1.0").alias("license"), consent.alias("consent"), F.sha2("text", 256).alias("content_hash"))
+
+
+def revoked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").filter("toxic = 1 and doc_id % 2 = 0").select(F.col("doc_id").cast("string").alias("episode_id"))
+
+
+@query(sql.SNAPSHOT_FILTER)
+def snapshot_filter_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snapshot.select_episodes(release_candidates(spark, sf_dir), revoked(spark, sf_dir)).select("id", "license", "content_hash")
+
+
+@query(sql.SNAPSHOT_SPLIT)
+def snapshot_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snapshot.with_split(release_candidates(spark, sf_dir), "seed-1", "sha256").select("id", "bucket", "split")
+
+
+@query(sql.LICENSES)
+def license_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snapshot.license_breakdown(snapshot.select_episodes(release_candidates(spark, sf_dir), revoked(spark, sf_dir)))
+
+
+# ---- ledger ----------------------------------------------------------------------------------------------------------
+
+
+def uploaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ledger of episodes from labels: the older state, whose times differ from what is written now."""
+    row = table(spark, sf_dir, "labels")
+    text = lambda c: c.cast("string")
+    return row.select(text(F.col("doc_id")).alias("id"), F.concat(F.lit("old"), text(F.col("quality"))).alias("content_hash"), F.lit("old").alias("source_tool"), F.lit("s").alias("session_id_hash"), F.lit(None).cast("string").alias("r2_object_key"), F.lit("2025").alias("indexed_at"), F.lit("2025").alias("uploaded_at"), F.lit("v1").alias("consent_version"), F.lit("CC0-1.0").alias("license"))
+
+
+def uploads_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").filter("doc_id % 3 = 0")
+    return docs.select(F.col("doc_id").cast("string").alias("id"), F.lit("new").alias("content_hash"), F.col("source").alias("source_tool"), F.lit("t").alias("session_id_hash"), F.concat(F.lit("k/"), F.col("doc_id").cast("string")).alias("r2_object_key"), F.lit("2026").alias("indexed_at"), F.lit("2026").alias("uploaded_at"), F.lit("v2").alias("consent_version"), F.lit("CC-BY-4.0").alias("license"))
+
+
+@query(sql.LEDGER_UPSERT)
+def ledger_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.upsert_episodes(uploaded(spark, sf_dir), uploads_now(spark, sf_dir))
+
+
+@query(sql.DEDUPE_LEDGER)
+def dedupe_against_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.not_uploaded(uploads_now(spark, sf_dir), uploaded(spark, sf_dir)).select("id", "source_tool")
+
+
+@query(sql.INSERT_OR_IGNORE)
+def insert_or_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.insert_or_ignore(uploaded(spark, sf_dir), uploads_now(spark, sf_dir), "id").select("id", "content_hash", "uploaded_at")
+
+
+@query(sql.TOTALS)
+def totals_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.totals_by(uploads_now(spark, sf_dir), "source_tool")
+
+
+def revocation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    row = table(spark, sf_dir, "labels")
+    status = F.when(F.col("doc_id") % 3 == 0, "pushed").when(F.col("doc_id") % 3 == 1, "pending")
+    return row.select(F.col("doc_id").cast("string").alias("episode_id"), F.lit(None).cast("string").alias("reason"), F.format_string("2026-%06d", "doc_id").alias("revoked_at"), F.when(F.col("doc_id") % 3 == 0, "2026").alias("pushed_at"), status.alias("push_status"))
+
+
+@query(sql.PENDING)
+def pending_revocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.pending_revocations(revocation_rows(spark, sf_dir)).select("episode_id", "revoked_at", "push_status")
+
+
+@query(sql.UPSERT_REVOCATIONS)
+def upsert_revocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    new = revocation_rows(spark, sf_dir).filter("episode_id % 2 = 0").withColumns({"reason": F.lit("again"), "pushed_at": F.lit(None).cast("string"), "push_status": F.lit("pending")})
+    return ledger.upsert_revocations(revocation_rows(spark, sf_dir), new)
+
+
+@query(sql.BYTE_CAP)
+def byte_cap_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("source", "doc_id", F.octet_length("text").alias("size"))
+    return ledger.byte_cap(docs, "doc_id", "size", 20_000, "source").select("source", "doc_id", "size", "admitted")
+
+
+@query(sql.SIZE_STATS)
+def size_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("source", "text", redact.redacted(F.col("text")).alias("clean"))
+    return ledger.size_stats(spread(docs), "source", {"raw_bytes": F.octet_length("text"), "clean_bytes": F.octet_length("clean")})
+
+
+@query(sql.NAMESPACE)
+def namespace_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.with_namespace(uploads_now(spark, sf_dir), "team").select("id", "source_tool")
+
+
+# ---- sources, readers, sinks -----------------------------------------------------------------------------------------
+
+
+@query(sql.SOURCE_OVERRIDE)
+def source_override(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "supplier").select(F.concat(F.lit("id"), (F.col("s_suppkey") % 40).cast("string")).alias("id"), F.col("s_suppkey").alias("position"), F.col("s_name").alias("definition"))
+    return registry.override(rows)
+
+
+@query(sql.GLOB_MATCH)
+def glob_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = F.regexp_replace("url", "^https?://", "")
+    return table(spark, sf_dir, "pages").select("page_id", path.rlike(registry.glob_regex("**/en/*")).alias("nested"), path.rlike(registry.glob_regex("*.example.com/*")).alias("crossing"), path.rlike(registry.glob_regex("[mt]?*.[!x]*")).alias("classes"))
+
+
+@query(sql.NORMALIZE_EVENTS)
+def normalize_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's activity as a JSON lines file, read back into canonical events."""
+    body = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"), F.lit("event_msg").alias("type"), F.struct(F.when(F.col("event_type") == "error", "error").when(F.col("event_type") == "purchase", "tool_call").otherwise("user_message").alias("type"), F.array(F.struct(F.lit("text").alias("type"), F.col("event_type").alias("text")), F.struct(F.lit("text").alias("type"), F.format_string("%d", "event_id").alias("text"))).alias("content"), F.when(F.col("event_type") == "purchase", F.lit("shop")).alias("name"), F.from_json("props", "k int").alias("args")).alias("payload"))
+    line = F.to_json(body)
+    files = table(spark, sf_dir, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("event_id", line.alias("line")))).alias("l"))
+    files = files.select(F.concat(F.lit("/logs/u"), F.col("user_id").cast("string"), F.lit(".jsonl")).alias("path"), F.array_join("l.line", "\n").alias("content"))
+    found = normalize_files(files, "activity", "jsonl")
+    return found.select("path", "seq", "source", "session_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "kind", "text", F.col("tool.name").alias("tool_name"), F.col("tool.args_json").alias("args_json"), "ts_inferred")
+
+
+@query(sql.READ_LINES)
+def read_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.col("text").alias("content"))
+    return readers.lines(files).select("path", "seq", F.sha2("line", 256).alias("line_sha256"), "next_offset")
+
+
+@query(sql.PAYLOAD_PREVIEW)
+def payload_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = episodes.build_episodes(conversation_events(spark, sf_dir), include_raw=True, profile="sha256")
+    return sinks.head(made, 5).select("path", "turn", "part", "id", F.substring("prompt", 1, 240).alias("prompt"))
