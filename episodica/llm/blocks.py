@@ -28,6 +28,8 @@ PART_WORDS = 250_000
 SCHEMA = "block bigint, doc_ids array<bigint>, sizes binary, codes binary, words array<binary>, n_words int"
 ARROW = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("codes", pa.binary()), ("words", pa.list_(pa.binary())), ("n_words", pa.int32())])
 
+DEALT_TYPES = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+
 
 def squeeze(codes: np.ndarray) -> bytes:
     """Integers below 2**32 as four compressed byte planes."""
@@ -95,11 +97,12 @@ def pack(docs: DataFrame, split: Callable[[str], list[bytes]], block_bytes: int
     return materialize_bucketed(packed, "blocks", "block", buckets) if buckets else materialize(packed, "blocks")
 
 
-def send_words(packed: DataFrame) -> DataFrame:
-    """The distinct words of each block, dealt out by the word: part, block, idx (places in the block's list), words.
+def send_words(packed: DataFrame, count: Callable[[list, np.ndarray, np.ndarray, int], np.ndarray] | None = None) -> DataFrame:
+    """The distinct words of each block, dealt out by the word: part, block, idx (places in the block's list), words, n.
 
     Equal words of all blocks meet in one part. The number of parts follows the number of pairs of block and word, so a part keeps
-    its size whatever the corpus. Rows of a part stand together.
+    its size whatever the corpus. Rows of a part stand together. count(doc_ids, sizes, codes, number of words) gives what n sends
+    along with each word (numbers below 2**32); without it n is null.
     """
     spark = packed.sparkSession
     pairs = packed.agg(F.sum("n_words")).first()[0] or 0
@@ -107,20 +110,21 @@ def send_words(packed: DataFrame) -> DataFrame:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for k in range(batch.num_rows):
+                block, words = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
+                n = None
+                if count is not None:
+                    n = count(batch.column(2)[k].as_py(), np.frombuffer(batch.column(3)[k].as_py(), "<u4"), unsqueeze(batch.column(4)[k].as_py()), len(words))
                 part = np.fromiter(map(crc32, words), np.uint32, len(words)) % parts
-                order = np.lexsort((np.arange(len(words)), part))
+                order = np.argsort(part, kind="stable")
                 cuts = np.searchsorted(part[order], np.arange(parts + 1)).tolist()
-                rows = [(p, sorted((words[i], i) for i in order[a:b])) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([p for p, _ in rows], pa.int32()),
-                        pa.array([block] * len(rows), pa.int64()),
-                        pa.array([squeeze(np.array([i for _, i in own], np.uint32)) for _, own in rows], pa.binary()),
-                        pa.array([squeeze_strings([w for w, _ in own]) for _, own in rows], pa.binary()),
-                    ],
-                    ["part", "block", "idx", "words"],
-                )
-
-    dealt = packed.select("block", "words").mapInArrow(deal, "part int, block bigint, idx binary, words binary")
+                rows = []
+                for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+                    if a < b:
+                        own = np.array(sorted(order[a:b].tolist(), key=words.__getitem__), np.uint32)
+                        rows.append((p, block, squeeze(own), squeeze_strings([words[i] for i in own.tolist()]), None if n is None else squeeze(n[own])))
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows, strict=True), DEALT_TYPES, strict=True)] if rows else [pa.array([], t) for t in DEALT_TYPES], ["part", "block", "idx", "words", "n"])
+
+    columns = ["block", "words"] + ([] if count is None else ["doc_ids", "sizes", "codes"])
+    dealt = packed.select(*columns).mapInArrow(deal, "part int, block bigint, idx binary, words binary, n binary")
     return dealt.repartition(min(parts, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))), "part").sortWithinPartitions("part")

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import atexit
-import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from episodica.functions.ship import ship_package
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: Arrow batches handed to Python workers hold at most this many bytes.
@@ -21,17 +21,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_SHIPPED: set[str] = set()
-
-
 def prepare(spark: SparkSession) -> None:
     """Bound the Arrow batches by bytes, so that very long texts don't pile up in a worker, and ship this package to the executors."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
-    if (app := spark.sparkContext.applicationId) not in _SHIPPED:
-        package = Path(__file__).resolve().parents[1]
-        archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='episodica-')}/episodica", "zip", package.parent, package.name)
-        spark.sparkContext.addPyFile(archive)
-        _SHIPPED.add(app)
+    ship_package(spark)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -14,7 +14,9 @@ Every training text takes part, each round with one of STRIDE positions, so what
 
 from __future__ import annotations
 
+import heapq
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +31,10 @@ from episodica.llm.common import materialize, text_or_empty
 MODEL_WORDS = 4094
 CLASS = 64
 DIM = 24
-NOISE = 8
+NOISE = 6
 ROUNDS = 2
-STRIDE = 8
-BATCH = 512
+STRIDE = 16
+BATCH = 1024
 RATE = 0.15
 SMOOTH = 0.1
 #: Parameter blobs are averaged in so many slices, and this many at a time.
@@ -185,20 +187,54 @@ def _sequences(sizes: np.ndarray, codes: np.ndarray, outcome: np.ndarray, model:
 # ---- over the corpus -------------------------------------------------------------------------------------------------
 
 
-def _uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """block, idx, word and the word's count in the block's training texts."""
+def _training_counts(doc_ids: list, sizes: np.ndarray, codes: np.ndarray, n_words: int) -> np.ndarray:
+    """How often each word of a block stands in its training texts."""
+    train = np.array([not held_out(i) for i in doc_ids], bool)
+    return np.bincount(codes[np.repeat(train, sizes)], minlength=n_words)
+
+
+def _count_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The corpus counts of the words of each part.
+
+    For every block of a part a row (block, idx, c) answers it; one row more has the part's distinct words, tokens and most
+    frequent words. A part has a bounded size, so its rows are held until it is complete.
+    """
+    held: list[tuple] = []
+    part = None
+
+    def close():
+        total: Counter[bytes] = Counter()
+        for _, _, words, n in held:
+            for word, c in zip(bl.unsqueeze_strings(words), bl.unsqueeze(n).tolist(), strict=True):
+                if c:
+                    total[word] += c
+        rows = [(block, idx, _pack64(np.fromiter(map(total.__getitem__, bl.unsqueeze_strings(words)), np.int64)), None, None, None, None) for block, idx, words, _ in held]
+        top = heapq.nsmallest(MODEL_WORDS, total.items(), key=lambda x: (-x[1], x[0]))
+        rows.append((None, None, None, len(total), sum(total.values()), [w for w, _ in top], [c for _, c in top]))
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows, strict=True), COUNT_TYPES, strict=True)], COUNT_NAMES)
+
     for batch in batches:
-        for k in range(batch.num_rows):
-            sizes = np.frombuffer(batch.column(2)[k].as_py(), "<u4")
-            train = np.array([not held_out(i) for i in batch.column(1)[k].as_py()], bool)
-            words = batch.column(4)[k].values
-            seen = np.bincount(bl.unsqueeze(batch.column(3)[k].as_py())[np.repeat(train, sizes)], minlength=len(words))
-            for at in range(0, len(words), 1 << 16):
-                part = words.slice(at, 1 << 16)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([batch.column(0)[k].as_py()] * len(part), pa.int64()), pa.array(np.arange(at, at + len(part), dtype=np.int32)), part, pa.array(seen[at : at + len(part)].astype(np.int64))],
-                    ["block", "idx", "word", "c"],
-                )
+        for p, *row in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+            if held and p != part:
+                yield close()
+                held = []
+            part = p
+            held.append(tuple(row))
+    if held:
+        yield close()
+
+
+COUNTS = "block bigint, idx binary, c binary, kinds bigint, tokens bigint, top array<binary>, top_c array<bigint>"
+COUNT_NAMES = [c.split()[0] for c in COUNTS.split(", ")]
+COUNT_TYPES = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
+
+
+def _pack64(x: np.ndarray) -> bytes:
+    return zlib.compress(x.astype("<i8").tobytes(), 1)
+
+
+def _unpack64(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), "<i8")
 
 
 def _average(parts: DataFrame, size: int) -> np.ndarray | None:
@@ -223,10 +259,10 @@ def _average(parts: DataFrame, size: int) -> np.ndarray | None:
     return np.concatenate([np.frombuffer(r["blob"], "<f4") for r in rows])[:size]
 
 
-def fit(packed: DataFrame, counts: DataFrame, texts: int, tokens: int, rounds: int = ROUNDS) -> Model:
-    """The model of the training texts in packed. counts: word, c; texts: how many training texts; tokens: the sum of c."""
-    top = counts.orderBy(F.desc("c"), "word").limit(MODEL_WORDS).collect()  # a bounded vocabulary, whatever the corpus
-    known = [(bytes(r["word"]), r["c"]) for r in top]
+def fit(packed: DataFrame, top: list[tuple[bytes, int]], texts: int, tokens: int, rounds: int = ROUNDS) -> Model:
+    """The model of the training texts in packed. top: the model's words and their counts; texts: how many training texts there
+    are; tokens: how many words they have."""
+    known = top
     model = Model([("other", tokens - sum(c for _, c in known)), ("end", texts), *known])
     size = len(model.flat())
     width = -(-size // SLICES)
@@ -271,15 +307,16 @@ def score(docs: DataFrame, rounds: int = ROUNDS, block_bytes: int = bl.BLOCK_BYT
     model. Null texts count as empty (the end alone); without any training text every count is 0. Repeated rows each count.
     """
     packed = bl.pack(docs.select("doc_id", text_or_empty().alias("text")), words_of, block_bytes)
-    uses = packed.mapInArrow(_uses, "block bigint, idx int, word binary, c bigint")
-    counts = materialize(uses.filter("c > 0").groupBy("word").agg(F.sum("c").alias("c")), "counts")
-    distinct, tokens = counts.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
+    counted = materialize(bl.send_words(packed, _training_counts).mapInArrow(_count_parts, COUNTS), "counts")
+    parts = counted.filter("block is null")
+    distinct, tokens = parts.agg(F.coalesce(F.sum("kinds"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
+    most = parts.select(F.explode(F.arrays_zip("top", "top_c")).alias("t")).select(F.col("t.top").alias("word"), F.col("t.top_c").alias("c"))
+    top = [(bytes(r["word"]), r["c"]) for r in most.orderBy(F.desc("c"), "word").limit(MODEL_WORDS).collect()]  # bounded, whatever the corpus
     is_out = F.crc32(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")) % 10 == 0
     texts = packed.select(F.explode("doc_ids").alias("id")).filter(~is_out).count()
-    model = fit(packed, counts, texts, tokens, rounds)
+    model = fit(packed, top, texts, tokens, rounds)
     total, kinds = tokens + texts, distinct + bool(texts)
-    others = distinct - len(model.index)
-    other_total = max(tokens - counts_of(model, counts), 0)
+    others, other_total = distinct - len(top), tokens - sum(c for _, c in top)
     shared = packed.sparkSession.sparkContext.broadcast(model)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,8 +328,8 @@ def score(docs: DataFrame, rounds: int = ROUNDS, block_bytes: int = bl.BLOCK_BYT
                 codes = bl.unsqueeze(batch.column(2)[k].as_py())
                 words = batch.column(3)[k].as_py()
                 seen = np.zeros(len(words), np.int64)
-                if batch.column(4)[k].is_valid:
-                    seen[batch.column(4)[k].values.to_numpy()] = batch.column(5)[k].values.to_numpy()
+                for answer in batch.column(4)[k].as_py() or []:
+                    seen[bl.unsqueeze(answer["idx"])] = _unpack64(answer["c"])
                 outcome = own.outcomes(words)
                 base = np.log10((seen + SMOOTH) / (total + SMOOTH * (kinds + 1)))
                 extra = np.where(outcome == own.other, np.log10((seen + SMOOTH) / (other_total + SMOOTH * (others + 1))), 0)
@@ -320,13 +357,6 @@ def score(docs: DataFrame, rounds: int = ROUNDS, block_bytes: int = bl.BLOCK_BYT
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
-    known = uses.join(counts.withColumnRenamed("c", "n"), "word").groupBy("block").agg(F.collect_list(F.struct("idx", "n")).alias("t"))
-    joined = packed.join(known.select("block", F.col("t.idx").alias("idx"), F.col("t.n").alias("n")), "block", "left")
-    return joined.select("doc_ids", "sizes", "codes", "words", "idx", "n").mapInArrow(
-        rows, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    )
-
-
-def counts_of(model: Model, counts: DataFrame) -> int:
-    """The tokens that the model's own words make up."""
-    return counts.orderBy(F.desc("c"), "word").limit(len(model.index)).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    answers = counted.filter("block is not null").groupBy("block").agg(F.collect_list(F.struct("idx", "c")).alias("answers"))
+    joined = packed.join(answers, "block", "left").select("doc_ids", "sizes", "codes", "words", "answers")
+    return joined.mapInArrow(rows, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
