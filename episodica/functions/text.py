@@ -78,14 +78,14 @@ def format_bytes(n: Column) -> Column:
 
 
 def semver(text: Column) -> Column:
-    """(major, minor, patch) of v1.2.3 or 1.2.3; null if it isn't that."""
-    bare = F.regexp_replace(F.trim(text), "^v", "")
-    part = lambda k: F.regexp_extract(bare, r"^(\d+)\.(\d+)\.(\d+)", k).cast("bigint").alias(("major", "minor", "patch")[k - 1])
-    return F.when(bare.rlike(r"^\d+\.\d+\.\d+"), F.struct(part(1), part(2), part(3)))
+    """(major, minor, patch) of a version, what follows a hyphen left out; parts that are missing or no numbers are 0."""
+    parts = F.split(F.substring_index(F.regexp_replace(F.trim(text), "^v+", ""), "-", 1), r"\.")
+    part = lambda k, name: F.coalesce(F.get(parts, F.lit(k)).try_cast("bigint"), F.lit(0)).alias(name)
+    return F.struct(part(0, "major"), part(1, "minor"), part(2, "patch"))
 
 
 def is_newer(candidate: Column, current: Column) -> Column:
-    return F.coalesce(semver(candidate) > semver(current), F.lit(False))
+    return semver(candidate) > semver(current)
 
 
 def wrap_int32(n: Column) -> Column:
