@@ -35,7 +35,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample of the documents whose tokens have the target marginals."""
-    return mixing.mix(docs).filter("sampled").select(docs.columns)
+    return mixing.mix(mixing.measure(docs)).filter("sampled").select(docs.columns)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,20 +22,29 @@ ROUNDS = 8
 KEEP = 0.7
 SEED = "mix-1"
 SPACE = r"[ \t\n\x0B\f\r]+"
+#: What the topic of a text doesn't depend on.
+NOT_MARKS = "[^|#$%&*!0-9]+"
 
 
 def tokens_of(text: Column) -> Column:
-    """The number of words between ASCII white space."""
-    return F.size(F.array_remove(F.split(text, SPACE), "")).cast("bigint")
+    """The number of words between ASCII white space: the pieces of a split but empty ones at the ends."""
+    edge = lambda pattern: text.rlike(pattern).cast("int")
+    return F.when(text == "", 0).otherwise(F.size(F.split(text, SPACE)) - edge(r"^[ \t\n\x0B\f\r]") - edge(r"[ \t\n\x0B\f\r]\z")).cast("bigint")
 
 
-def topic_of(text: Column) -> Column:
-    """A coarse topic from the make-up of a text: table, symbols, numbers, empty or prose."""
-    length = F.char_length(text)
-    share = lambda drop: (length - F.char_length(F.translate(text, drop, ""))) / length
+def topic_of(length: Column, marks: Column) -> Column:
+    """A coarse topic from the make-up of a text: table, symbols, numbers, empty or prose. marks: its MARKS alone."""
+    share = lambda drop: (F.char_length(marks) - F.char_length(F.translate(marks, drop, ""))) / length
     return F.when(length == 0, "empty").when(share("|") > 0.02, "table").when(share("#$%&*!") > 0.05, "symbols").when(share("0123456789") > 0.05, "numbers").otherwise("prose")
 
 
+def measure(docs: DataFrame) -> DataFrame:
+    """docs with topic and tokens of their text (null counts as empty); columns of these names are replaced."""
+    text = text_or_empty()
+    marked = docs.drop("topic", "tokens").withColumns({"__marks": F.regexp_replace(text, NOT_MARKS, ""), "__length": F.char_length(text), "tokens": tokens_of(text)})
+    return marked.withColumn("topic", topic_of(F.col("__length"), F.col("__marks"))).drop("__marks", "__length")
+
+
 def uniform(doc_id: Column, seed: str) -> Column:
     """A number from 0 to 1, one excluded, from the hash of doc_id (52 bits)."""
     return F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))  , 256), 1, 13), 16, 10).cast("double") / float(1 << 52)
@@ -76,15 +85,14 @@ def calibrate(cells: DataFrame, keep: float) -> float:
         c, before = max(keep * total - held, 0.0) / rest, count
 
 
-def mix(docs: DataFrame, temper: dict[str, float] = TEMPER, rounds: int = ROUNDS, keep: float = KEEP, seed: str = SEED) -> DataFrame:
-    """docs with topic, tokens, weight, probability, sampled. docs needs doc_id, text and the dimensions of temper but topic.
+def mix(measured: DataFrame, temper: dict[str, float] = TEMPER, rounds: int = ROUNDS, keep: float = KEEP, seed: str = SEED) -> DataFrame:
+    """measured (doc_id, tokens and the dimensions of temper; see measure) with weight, probability, sampled.
 
-    weight is the document's part of its cell's raked tokens. Null sources or languages are a value of their own; null texts count as
-    empty, have no tokens and weight 0, and aren't sampled. Rows with one doc_id share their draw. An empty table stays empty.
-    Columns of docs that have these names are replaced.
+    weight is the document's part of its cell's raked tokens. Null sources or languages are a value of their own; documents without
+    tokens have weight 0 and aren't sampled. Rows with one doc_id share their draw. An empty table stays empty. Columns that have
+    these names are replaced. measured is read twice, so write it without texts first where they aren't needed.
     """
-    made = ["topic", "tokens", "weight", "probability", "sampled"]
-    rows = docs.drop(*made).withColumns({"topic": topic_of(text_or_empty()), "tokens": tokens_of(text_or_empty())})
+    rows = measured.drop("weight", "probability", "sampled")
     dims = list(temper)
     counts = materialize(rows.groupBy(*dims).agg(F.sum("tokens").alias("tokens")), "counts")
     cells = rake(counts, temper, rounds)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from episodica.llm import bpe, exact, html, langid, licenses, lm, mixing, pii, simhash, vectors
-from episodica.llm.common import read_table
+from episodica.llm.common import materialize, read_table
 
 BPE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -86,7 +86,8 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's raked weight, probability and draw."""
-    found = mixing.mix(read_table(spark, sf_dir, "documents"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    found = mixing.mix(materialize(mixing.measure(docs).drop("text"), "measured"))
     return found.select("doc_id", "source", "lang", "topic", "tokens", "weight", "probability", "sampled")
 
 
