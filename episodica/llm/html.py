@@ -110,7 +110,7 @@ def table_lines(rows: list[list[list[str]]]) -> list[str]:
     for row in rows:
         for k in range(max((len(cell) for cell in row), default=0)):
             cells = [(row[c][k] if c < len(row) and k < len(row[c]) else "").ljust(width[c]) for c in range(columns)]
-            out.append(" | ".join(cells).rstrip(" |") if not any(x.strip() for x in cells) else " | ".join(cells).rstrip())
+            out.append(" | ".join(cells).rstrip())
     return out
 
 
@@ -259,7 +259,7 @@ def render(source: str | None) -> str:
     made, at, n, last = Builder(), 0, len(source), source.rfind(">")
     while at < n:
         lt = source.find("<", at)
-        if lt < 0 or lt > last:
+        if lt < 0 or (lt > last and not source.startswith("<!--", lt)):
             made.text(source[at:] if lt < 0 or not source[lt + 1 : lt + 2].isalpha() else source[at:lt])
             break
         if lt > at:

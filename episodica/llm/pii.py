@@ -61,6 +61,14 @@ def _iban(m: Column) -> Column:
     return F.when(F.char_length(bare).between(15, 34), mod97(bare)).otherwise(False)
 
 
+# The length of an account number (IBAN) by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV",
+    29: "BR PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
+}
+IBAN = "|".join(rf"(?:{'|'.join(names.split())})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{length - 4}}}" for length, names in IBAN_LENGTHS.items())
+
 # A match of these patterns can't begin within a run of its first characters, unless the match before it ended there; saying so
 # (look-behind and \G) and possessive quantifiers keep them linear on very long runs without changing what they match.
 KINDS = (
@@ -68,7 +76,7 @@ KINDS = (
     Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", _small_parts, 0.6, r"\bip\b|server|host|address|login|network", "."),
     Kind("card", r"[0-9](?:[\x20-]?+[0-9])++", _card, 0.7, "card|credit|visa|master|payment|karte|tarjeta|carte", ""),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: F.char_length(_digits(m)).between(10, 15), 0.6, "phone|tel|call|mobile|fax|telefon|contact", "+"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?+[A-Z0-9]){11,30}+(?![A-Za-z0-9])", _iban, 0.7, "iban|account|bank|konto|cuenta|compte", ""),
+    Kind("iban", rf"(?<![A-Za-z0-9])(?:{IBAN})(?![A-Za-z0-9])", _iban, 0.7, "iban|account|bank|konto|cuenta|compte", ""),
 )
 BASE = ("email", "ip", "card", "phone")
 
