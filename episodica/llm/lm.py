@@ -300,6 +300,23 @@ def fit(packed: DataFrame, top: list[tuple[bytes, int]], texts: int, tokens: int
     return model
 
 
+def most_frequent(counts: DataFrame, n: int) -> list[tuple[bytes, int]]:
+    """The n most frequent of counts (word, c), ties by word: a bounded list, whatever the corpus.
+
+    A histogram of log counts (some hundred rows) first says from which count on words matter, so that only about n of them, not n of
+    every partition, come together to be sorted.
+    """
+    level = F.floor(F.log2(F.col("c").cast("double")) * 8)
+    least, held = None, 0
+    for row in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
+        least, held = row["level"], held + row["count"]
+        if held >= n:
+            break
+    if least is None:
+        return []
+    return [(bytes(r["word"]), r["c"]) for r in counts.filter(level >= least).orderBy(F.desc("c"), "word").limit(n).collect()]
+
+
 def score(docs: DataFrame, rounds: int = ROUNDS, block_bytes: int = bl.BLOCK_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of docs (doc_id, text).
 
@@ -311,7 +328,7 @@ def score(docs: DataFrame, rounds: int = ROUNDS, block_bytes: int = bl.BLOCK_BYT
     parts = counted.filter("block is null")
     distinct, tokens = parts.agg(F.coalesce(F.sum("kinds"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
     most = parts.select(F.explode(F.arrays_zip("top", "top_c")).alias("t")).select(F.col("t.top").alias("word"), F.col("t.top_c").alias("c"))
-    top = [(bytes(r["word"]), r["c"]) for r in most.orderBy(F.desc("c"), "word").limit(MODEL_WORDS).collect()]  # bounded, whatever the corpus
+    top = most_frequent(most, MODEL_WORDS)
     is_out = F.crc32(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")) % 10 == 0
     texts = packed.select(F.explode("doc_ids").alias("id")).filter(~is_out).count()
     model = fit(packed, top, texts, tokens, rounds)
