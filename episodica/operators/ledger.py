@@ -9,8 +9,11 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from episodica.functions.staging import materialize
+
 # The tables, their columns, and their keys (first column).
 SCHEMAS = {
     "sources": "source_name string, last_scan_ts string, cursor_json string",
@@ -86,30 +89,50 @@ def totals_by(rows: DataFrame, column: str) -> DataFrame:
     return rows.groupBy(column).agg(F.count("*").alias("n")).orderBy(column)
 
 
-def admit_by_bytes(sizes: Column, limit: int) -> Column:
-    """Which of an ordered array of sizes are admitted: one is skipped if it would exceed limit with those admitted before it, and
-    smaller ones after it may still be. No limit for 0."""
-    if not limit:
-        return F.transform(sizes, lambda s: F.lit(True))
-    start = F.struct(F.lit(0).cast("bigint").alias("held"), F.array().cast("array<boolean>").alias("out"))
-
-    def step(acc: Column, size: Column) -> Column:
-        fits = acc["held"] + size <= limit
-        return F.struct((acc["held"] + F.when(fits, size).otherwise(F.lit(0))).cast("bigint").alias("held"), F.concat(acc["out"], F.array(fits)).alias("out"))
+def running_sums(rows: DataFrame, lane: str, order: str, value: str) -> DataFrame:
+    """rows with running: the sum of value up to each row in the order of its lane.
 
-    return F.aggregate(sizes, start, step)["out"]
+    A lane may hold most rows, so it isn't one window: rows are dealt out by ranges of (lane, order), each range is summed on its own,
+    and the sums of the ranges before are added. order must tell the rows of a lane apart.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialize(rows.repartitionByRange(parts, lane, order).withColumn("__range", F.spark_partition_id()), "ranges")
+    before = W.partitionBy(lane).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = dealt.groupBy(lane, "__range").agg(F.sum(value).alias("__sum")).withColumn("__before", F.coalesce(F.sum("__sum").over(before), F.lit(0)))
+    inside = F.sum(value).over(W.partitionBy(lane, "__range").orderBy(order).rowsBetween(W.unboundedPreceding, 0))
+    summed = dealt.withColumn("__inside", inside).join(offsets.select(lane, "__range", "__before"), [lane, "__range"])
+    return summed.withColumn("running", F.col("__inside") + F.col("__before")).drop("__range", "__inside", "__before")
 
 
 def byte_cap(rows: DataFrame, order: str, size: str, limit: int, lane: str | None = None) -> DataFrame:
-    """rows with admitted, deciding in the order given within each lane (a run's episodes of one source, say).
+    """rows with admitted, decided in the order given within each lane (a source, say): a row is skipped if it would exceed limit
+    with those admitted before it, and smaller ones after it may still be. No limit for 0.
 
-    Admission depends on all rows before, so a lane's keys and sizes are folded in one row; the rows themselves aren't gathered.
+    Each round admits every lane's rows up to the first that doesn't fit, and goes on behind it with those that are no larger than
+    what is left; that is soon less than any row. order must identify the rows of a lane; rows without a size aren't admitted.
     """
+    if not limit:
+        return rows.withColumn("admitted", F.lit(True))
     key = F.col(lane) if lane else F.lit(0)
-    folded = rows.groupBy(key.alias("__lane")).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("bigint").alias("s")))).alias("i"))
-    zipped = F.arrays_zip(F.col("i.o").alias("o"), admit_by_bytes(F.transform("i", lambda x: x["s"]), limit).alias("admitted"))
-    decided = folded.select("__lane", F.explode(zipped).alias("z")).select("__lane", F.col("z.o").alias("__o"), F.col("z.admitted").alias("admitted"))
-    return rows.join(decided, (F.col(order) == F.col("__o")) & (key == F.col("__lane"))).drop("__o", "__lane")
+    named = rows.withColumns({"__lane": F.struct(key.alias("k")), "__o": F.col(order)})
+    rest = named.select("__lane", "__o", F.col(size).cast("bigint").alias("__s"), F.lit(limit).cast("bigint").alias("__left")).filter("__s <= __left")
+    admitted: DataFrame | None = None
+    while True:
+        rest = materialize(running_sums(rest, "__lane", "__o", "__s"), "running")
+        if rest.isEmpty():
+            break
+        stops = rest.groupBy("__lane").agg(F.min(F.when(F.col("running") > F.col("__left"), F.col("__o"))).alias("__stop"))
+        marked = rest.join(stops, "__lane")
+        fits = F.col("__stop").isNull() | (F.col("__o") < F.col("__stop"))
+        own = marked.filter(fits).select("__lane", "__o")
+        admitted = own if admitted is None else admitted.union(own)
+        used = marked.groupBy("__lane").agg(F.coalesce(F.sum(F.when(fits, F.col("__s"))), F.lit(0)).alias("__used"))
+        after = marked.filter(F.col("__o") > F.col("__stop")).join(used, "__lane")
+        rest = after.select("__lane", "__o", "__s", (F.col("__left") - F.col("__used")).alias("__left")).filter("__s <= __left")
+    if admitted is None:
+        return named.withColumn("admitted", F.lit(False)).drop("__lane", "__o")
+    found = named.join(admitted.withColumn("__in", F.lit(True)), ["__lane", "__o"], "left")
+    return found.withColumn("admitted", F.coalesce("__in", F.lit(False))).select(*rows.columns, "admitted")
 
 
 def size_stats(rows: DataFrame, source: str, parts: dict[str, Column]) -> DataFrame:

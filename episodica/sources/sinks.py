@@ -147,3 +147,25 @@ def index_pointers(episodes: DataFrame, hashed: Callable) -> DataFrame:
     rows = episodes.select("id", F.col("prompt").alias("data"), meta.alias("metadata"))
     unsafe = is_sensitive(F.concat_ws(" ", "metadata.ts_start", "metadata.ts_end", "metadata.license"))
     return rows.withColumn("id", F.when(unsafe, F.raise_error(F.lit("metadata looks sensitive"))).otherwise(F.col("id")))
+
+
+def checked_chunks(chunks: DataFrame) -> DataFrame:
+    """Anonymised chunk documents (id, text, metadata) for upload; the job fails if a text or its metadata looks sensitive."""
+    m = F.col("metadata")
+    shown = F.concat_ws(" ", m["source"], m["session_id"], m["repo_fingerprint"], m["tool_names"], m["error_types"], m["language"])
+    unsafe = is_sensitive(F.col("text")) | is_sensitive(F.regexp_replace(shown, "[0-9a-f]{64}", ""))
+    return chunks.withColumn("id", F.when(unsafe, F.raise_error(F.lit("a chunk looks sensitive"))).otherwise(F.col("id")))
+
+
+def publish_chunks(chunks: DataFrame, sink) -> int:
+    """Check every chunk before the first is handed to sink.upload; the number uploaded. Chunks stream a partition at a time."""
+    safe = checked_chunks(chunks).persist()
+    try:
+        safe.count()
+        uploaded = 0
+        for row in safe.orderBy("path", "chunk_index").select("id", F.to_json(F.struct("id", "text", "metadata")).alias("body")).toLocalIterator():
+            sink.upload(row["id"], row["body"])
+            uploaded += 1
+        return uploaded
+    finally:
+        safe.unpersist()

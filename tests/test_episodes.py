@@ -121,6 +121,14 @@ def test_anonymised_chunks(spark):
     assert a["repo_fingerprint"] is None and a["tool_names"] != b["tool_names"]
 
 
+def test_chunks_are_published_only_if_all_are_clean(spark):
+    made = chunks.anonymize(chunks.chunk_events(events(spark, [("tool_call", "x", "grep")])), "salt")
+    sink = sinks.MemorySink()
+    assert sinks.publish_chunks(made, sink) == 1 and len(sink.episodes) == 1
+    with pytest.raises(Exception, match="sensitive"):
+        sinks.publish_chunks(chunks.anonymize(chunks.chunk_events(events(spark, [("user_msg", "a@b.com")])), "salt"), sink)
+
+
 # ---- snapshots -------------------------------------------------------------------------------------------------------
 
 

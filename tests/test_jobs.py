@@ -1,6 +1,7 @@
 """Ledger, incremental runs, the split steps, the stream and the command line."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,6 +89,20 @@ def test_byte_cap_skips_and_admits_later_smaller_ones(spark):
     assert admitted(0) == [True] * 4
 
 
+def test_byte_cap_equals_the_sequential_fold(spark):
+    rnd = random.Random(4)
+    rows = [(rnd.choice(["a", "b", None]), k, rnd.choice([1, 3, 7, 20, 50, 200])) for k in range(300)]
+    left, want = {}, {}
+    for lane, k, size in rows:
+        have = left.setdefault(lane, 180)
+        want[k] = size <= have
+        left[lane] = have - size * want[k]
+    table = spark.createDataFrame(rows, "lane string, k long, size long").repartition(5)
+    assert {r["k"]: r["admitted"] for r in lg.byte_cap(table, "k", "size", 180, "lane").collect()} == want
+    assert lg.byte_cap(table.limit(0), "k", "size", 180, "lane").count() == 0
+    assert not any(r["admitted"] for r in lg.byte_cap(table.filter("size > 20"), "k", "size", 20).collect())
+
+
 def test_revocations(spark, book):
     class Flaky(sinks.MemorySink):
         def push_revocation(self, *row):
