@@ -8,14 +8,16 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_OWN: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share (spark.checkpoint.dir); a temporary one of our own only where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="episodica-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
+    app = spark.sparkContext.applicationId
+    if not found and app not in _OWN:
+        _OWN[app] = tempfile.mkdtemp(prefix="episodica-")
+    return found or _OWN[app]
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
