@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from episodica.functions.ship import ship_package
+from episodica.functions.staging import materialize, materialize_bucketed, staging_path
+
+__all__ = ["ascii_lower", "materialize", "materialize_bucketed", "prepare", "read_table", "staging_path", "text_or_empty"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -27,53 +26,6 @@ def prepare(spark: SparkSession) -> None:
     ship_package(spark)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share (spark.checkpoint.dir); a temporary one of our own only where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="episodica-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for an intermediate table; it is deleted when the driver ends."""
-    path = f"{shared_dir(spark).rstrip('/')}/episodica/{uuid.uuid4().hex}/{name}"
-    atexit.register(_delete, spark, path.rpartition("/")[0])
-    return path
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    if spark.sparkContext._jsc is None:
-        return
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write df as a table in the shared folder and read it back."""
-    spark = df.sparkSession
-    path = staging_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
-    """Like materialize, but bucketed by key: a join on key that brings the other side into as many partitions doesn't move it."""
-    spark = df.sparkSession
-    path = staging_path(spark, name)
-    table = f"episodica_{name}_{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").option("path", path).bucketBy(buckets, key).format("parquet").saveAsTable(table)
-    atexit.register(_drop, spark, table)
-    return spark.table(table)
-
-
-def _drop(spark: SparkSession, table: str) -> None:
-    if spark.sparkContext._jsc is not None:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-
-
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -14,6 +14,7 @@ fingerprints are one item, and a node pair yields a spanning set of its links.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 from itertools import combinations
@@ -29,6 +30,8 @@ from episodica.llm.common import materialize, prepare, text_or_empty
 SEED = 42
 #: Largest number of fingerprints of a trie node that one task compares with another such node.
 NODE_ITEMS = 1024
+#: Pairs of keys up to which two nodes are compared as one matrix instead of being walked further.
+LEAF_PAIRS = 1 << 15
 #: Bits by which a node that is too large is split at a time.
 STRIDE = 6
 
@@ -94,37 +97,58 @@ def fingerprints(docs: DataFrame, width: int = 3, confirm: bool = False) -> Data
 # ---- the trie within a task ------------------------------------------------------------------------------------------
 
 
-def node_pairs(u: np.ndarray, v: np.ndarray, max_bits: int, lead: int, lead_bits: int, stride: int = 8) -> tuple[np.ndarray, np.ndarray]:
-    """Positions i, j of all u[i], v[j] (sorted uint64) that differ in max_bits bits or fewer, and in lead_bits or fewer of the
-    leading lead bits: the tries of u and v are walked together, stride bits at a time."""
-    a, b = np.array([0]), np.array([0])
-    diff = np.zeros(1, np.int64)
+def node_pairs(u: np.ndarray, v: np.ndarray, max_bits: int, lead: int, lead_bits: int, stride: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    """Positions i, j of u[i], v[j] (sorted uint64) that differ in max_bits bits or fewer: all that differ in lead_bits or fewer of the
+    leading lead bits, and maybe others.
+
+    The tries of u and v are walked together, stride bits at a time, and a node pair is pruned beyond the budget of its depth. Once
+    the nodes of a pair hold few keys, these are compared as one small matrix.
+    """
+    a, b, diff = np.array([0]), np.array([0]), np.zeros(1, np.int64)
     bounds_u, bounds_v = np.array([0, len(u)]), np.array([0, len(v)])
-    if not len(u) or not len(v):
-        return a[:0], b[:0]
-    for depth in range(stride, 65, stride):
-        shift = np.uint64(64 - depth)
+    found_u, found_v = [a[:0]], [b[:0]]
+    for depth in range(0, 65, stride):
+        few = (bounds_u[a + 1] - bounds_u[a]) * (bounds_v[b + 1] - bounds_v[b]) <= (LEAF_PAIRS if depth < 64 else np.inf)
+        for u0, u1, v0, v1 in zip(bounds_u[a[few]].tolist(), bounds_u[a[few] + 1].tolist(), bounds_v[b[few]].tolist(), bounds_v[b[few] + 1].tolist(), strict=True):
+            near = np.bitwise_count(u[u0:u1, None] ^ v[None, v0:v1]) <= max_bits
+            if near.any():
+                x, y = np.nonzero(near)
+                found_u.append(x + u0)
+                found_v.append(y + v0)
+        a, b, diff = a[~few], b[~few], diff[~few]
+        if not len(a):
+            break
+        shift = np.uint64(64 - depth - stride)
         next_u, next_v = _bounds(u >> shift), _bounds(v >> shift)
         first_u, first_v = np.searchsorted(next_u, bounds_u), np.searchsorted(next_v, bounds_v)
-        nu, nv = first_u[a + 1] - first_u[a], first_v[b + 1] - first_v[b]
-        n = nu * nv
-        pair = np.repeat(np.arange(len(a)), n)
-        inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        a, b = first_u[a[pair]] + inner // nv[pair], first_v[b[pair]] + inner % nv[pair]
-        mask = np.uint64((1 << stride) - 1)
-        xor = ((u[next_u[a]] >> shift) ^ (v[next_v[b]] >> shift)) & mask
-        grown = diff[pair] + np.bitwise_count(xor)
-        keep = grown <= (lead_bits if depth <= lead else max_bits)
-        a, b, diff = a[keep], b[keep], grown[keep]
+        digits_u, digits_v = (((x[n[:-1]] >> shift) & np.uint64((1 << stride) - 1)).astype(np.uint8) for x, n in ((u, next_u), (v, next_v)))
+        budget = lead_bits if depth + stride <= lead else max_bits
+        kept = []
+        for pair, x, y in _children(a, b, first_u, first_v):
+            grown = diff[pair] + np.bitwise_count(digits_u[x] ^ digits_v[y])
+            near = grown <= budget
+            kept.append((x[near], y[near], grown[near]))
+        a, b, diff = (np.concatenate(part) for part in zip(*kept, strict=True))
         bounds_u, bounds_v = next_u, next_v
-        if not len(a):
-            return a, b
-    # equal keys share a leaf
-    nu, nv = bounds_u[a + 1] - bounds_u[a], bounds_v[b + 1] - bounds_v[b]
-    n = nu * nv
-    pair = np.repeat(np.arange(len(a)), n)
-    inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    return bounds_u[a[pair]] + inner // nv[pair], bounds_v[b[pair]] + inner % nv[pair]
+    return np.concatenate(found_u), np.concatenate(found_v)
+
+
+def _children(a: np.ndarray, b: np.ndarray, first_u: np.ndarray, first_v: np.ndarray, most: int = 1 << 19) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """All pairs of children of the node pairs a, b, about most of them at a time: position of the node pair, child, child."""
+    nu, nv = first_u[a + 1] - first_u[a], first_v[b + 1] - first_v[b]
+    total = np.cumsum(nu * nv)
+    at = 0
+    while at < len(a):
+        upto = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + most, "right")))
+        own_u, own_v = nu[at:upto], nv[at:upto]
+        # a row for each child of a, then each row as often as b has children
+        row = np.repeat(np.arange(at, upto), own_u)
+        child = np.arange(len(row)) + np.repeat(first_u[a[at:upto]] - (np.cumsum(own_u) - own_u), own_u)
+        times = nv[row]
+        pair, x = np.repeat(row, times), np.repeat(child, times)
+        y = np.arange(len(pair)) + np.repeat(first_v[b[row]] - (np.cumsum(times) - times), times)
+        yield pair, x, y
+        at = upto
 
 
 def _bounds(prefixes: np.ndarray) -> np.ndarray:
@@ -132,9 +156,8 @@ def _bounds(prefixes: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.flatnonzero(prefixes[1:] != prefixes[:-1]) + 1, [len(prefixes)]))
 
 
-def _spanning(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect what the links i-j connect, at most one for each of n items."""
-    label = np.arange(n)
+def _merge(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Labels after joining the ends of the links i-j: the smallest label of each class."""
     while True:
         low = np.minimum(label[i], label[j])
         new = label.copy()
@@ -143,10 +166,25 @@ def _spanning(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndar
         new = new[new]
         new = new[new]
         if (new == label).all():
-            break
+            return label
         label = new
-    own = np.flatnonzero(label != np.arange(n))
-    return own, label[own]
+
+
+def _forest(i: np.ndarray, j: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """The links of a minimum spanning forest, ties by position: in each round every class takes its lightest way out."""
+    order = np.argsort(weight, kind="stable")
+    label, picked = np.arange(n), []
+    while True:
+        order = order[label[i[order]] != label[j[order]]]
+        if not len(order):
+            return np.concatenate(picked) if picked else order
+        rank = np.arange(len(order))
+        best = np.full(n, len(order))
+        np.minimum.at(best, label[i[order]], rank)
+        np.minimum.at(best, label[j[order]], rank)
+        own = order[np.unique(best[best < len(order)])]
+        picked.append(own)
+        label = _merge(label, i[own], j[own])
 
 
 def _rotate(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -167,14 +205,16 @@ def _links_of(batches: Iterator[pa.RecordBatch], max_bits: int, lead: int, lead_
             i, j = ou[i], ov[j]
             if lists[2] is None:
                 i, j = i[i < j], j[i < j]
+            weight = np.bitwise_count(u[i] ^ v[j]).astype(np.int64)
             if confirm:
-                near = np.bitwise_count(u2[i] ^ v2[j]) <= max_bits
-                i, j = i[near], j[near]
+                other = np.bitwise_count(u2[i] ^ v2[j])
+                near = other <= max_bits
+                i, j, weight = i[near], j[near], weight[near] + other[near]
             if not len(i):
                 continue
             both, inverse = np.unique(np.concatenate((u[i], v[j])), return_inverse=True)
-            a, b = _spanning(inverse[: len(i)], inverse[len(i) :], len(both))
-            yield pa.RecordBatch.from_arrays([pa.array(both[a].view(np.int64)), pa.array(both[b].view(np.int64))], ["a", "b"])
+            own = _forest(inverse[: len(i)], inverse[len(i) :], weight, len(both))
+            yield pa.RecordBatch.from_arrays([pa.array(u[i][own].view(np.int64)), pa.array(v[j][own].view(np.int64))], ["a", "b"])
 
 
 # ---- the trie as tables ----------------------------------------------------------------------------------------------
@@ -187,12 +227,15 @@ def _prefix(key: Column | str, depth: int) -> Column:
 def links(items: DataFrame, max_bits: int, rotations: int, confirm: bool = False, depth: int | None = None, node_items: int = NODE_ITEMS) -> DataFrame:
     """Links a, b between distinct fingerprints of items (fp, fp2: one row for each fp) that connect all pairs within max_bits.
 
-    depth is that at which the distributed walk begins. A pair of nodes is walked within one task if neither holds over
-    node_items fingerprints; else it is split by STRIDE bits, which ends at the latest with single fingerprints.
+    depth is that at which the distributed walk begins; by default the leading part where that must be equal, and else where nodes
+    hold half of node_items on average. A pair of nodes is walked within one task if neither holds over node_items fingerprints;
+    else it is split by STRIDE bits, which ends at the latest with single fingerprints.
     """
     part = 64 // rotations
     allowed = max_bits // rotations
-    depth = min(depth or part, part)
+    if depth is None:
+        depth = part if not allowed else max(4, math.ceil(math.log2(max(items.count(), 1) * 2 / node_items)))
+    depth = min(depth, part)
     shifts = [r * 64 // rotations for r in range(rotations)]
     turned = F.when(F.col("rot") == 0, F.col("fp"))
     for s in shifts[1:]:
@@ -202,11 +245,11 @@ def links(items: DataFrame, max_bits: int, rotations: int, confirm: bool = False
     def nodes_at(at: int) -> DataFrame:
         return keys.groupBy("rot", _prefix("key", at).alias("node")).agg(F.count("*").alias("n"))
 
-    walk = partial(_links_of, max_bits=max_bits, lead=part // 8 * 8, lead_bits=allowed, confirm=confirm)
+    walk = partial(_links_of, max_bits=max_bits, lead=part // 4 * 4, lead_bits=allowed, confirm=confirm)
     counts = nodes_at(depth)
     masks = [sum(1 << b for b in bits) for k in range(allowed + 1) for bits in combinations(range(depth), k)]
     if len(masks) > 1:
-        near = counts.select("rot", F.col("node").alias("u"), F.col("n").alias("nu"), F.explode(F.array(*map(F.lit, masks))).cast("bigint").alias("mask"))
+        near = counts.select("rot", F.col("node").alias("u"), F.col("n").alias("nu"), F.explode(F.array(*(F.lit(m).cast("bigint") for m in masks))).alias("mask"))
         pairs = near.withColumn("v", F.col("u").bitwiseXOR(F.col("mask"))).filter("u <= v").join(counts.select("rot", F.col("node").alias("v"), F.col("n").alias("nv")), ["rot", "v"])
         pairs = pairs.select("rot", "u", "nu", "v", "nv", F.bit_count("mask").alias("diff"))
     else:
@@ -246,7 +289,7 @@ def _walk_nodes(keys: DataFrame, pairs: DataFrame, depth: int, walk) -> DataFram
     touched = pairs.select("rot", F.col("u").alias("node")).union(pairs.select("rot", F.col("v").alias("node"))).distinct()
     own = keys.withColumn("node", _prefix("key", depth)).join(touched, ["rot", "node"], "left_semi")
     held = own.groupBy("rot", "node").agg(F.collect_list(F.struct("fp", "fp2")).alias("held"))
-    held = held.select("rot", "node", F.col("held.fp").alias("fp"), F.col("held.fp2").alias("fp2"))
+    held = materialize(held.select("rot", "node", F.col("held.fp").alias("fp"), F.col("held.fp2").alias("fp2")), "held")
     held_u = held.select("rot", F.col("node").alias("u"), F.col("fp").alias("u_fp"), F.col("fp2").alias("u_fp2"))
     same = pairs.filter("u = v").select("rot", "u").join(held_u, ["rot", "u"])
     none = F.lit(None).cast("array<bigint>")
@@ -256,16 +299,47 @@ def _walk_nodes(keys: DataFrame, pairs: DataFrame, depth: int, walk) -> DataFram
     return same.union(other.select("rot", "u_fp", "u_fp2", "v_fp", "v_fp2")).mapInArrow(walk, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2, rotations: int = 3, confirm: bool = False, depth: int | None = None, node_items: int = NODE_ITEMS) -> DataFrame:
+def verified(edges: DataFrame, items: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The links a, b whose representative texts have a Jaccard similarity of at least similarity over distinct shingles.
+
+    items: fp, first (the representative's doc_id). A link of a fingerprint without a doc_id can't be looked up and stays.
+    """
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [np.unique(shingle_hashes(t, width)).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["fp", "held"])
+
+    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                p, q = np.frombuffer(x or b"", np.uint64), np.frombuffer(y or b"", np.uint64)
+                shared = len(np.intersect1d(p, q, assume_unique=True))
+                keep.append(x is None or y is None or shared >= similarity * (len(p) + len(q) - shared))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    edges = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    ends = edges.select(F.col("a").alias("fp")).union(edges.select("b")).distinct().join(items.filter("first is not null"), "fp").select("fp", "first")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("first"), text_or_empty().alias("text")).join(ends, "first").select("fp", "text").dropDuplicates(["fp"])
+    held = materialize(texts.mapInArrow(sets, "fp bigint, held binary"), "shingles")
+    side = lambda c: held.select(F.col("fp").alias(c), F.col("held").alias(f"held_{c}"))
+    return edges.join(side("a"), "a", "left").join(side("b"), "b", "left").select("a", "b", "held_a", "held_b").mapInArrow(similar, "a bigint, b bigint")
+
+
+def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2, rotations: int = 3, confirm: bool = False, depth: int | None = None, node_items: int = NODE_ITEMS, similarity: float | None = None) -> DataFrame:
     """doc_id, fp (long) and component_id for each row of docs (doc_id, text).
 
     component_id is the smallest doc_id reachable over links, the document's own included. With confirm, a link must also hold
-    between second fingerprints. Rows with equal fingerprints are linked, whatever their number; documents without words have
-    fingerprint 0 and link like any other. Rows with a null doc_id are kept but name no component (null if nothing else does).
+    between second fingerprints; with similarity, the links of a minimum spanning forest must also pass an exact check of their
+    shingles. Rows with equal fingerprints are linked, whatever their number; documents without words have fingerprint 0 and link
+    like any other. Rows with a null doc_id are kept but name no component (null if nothing else does).
     """
     own = materialize(fingerprints(docs, width, confirm), "fingerprints")
     items = materialize(own.groupBy("fp").agg(F.min("doc_id").alias("first"), F.min_by("fp2", F.coalesce("doc_id", F.lit(2**63 - 1))).alias("fp2")), "items")
     edges = materialize(links(items, max_bits, rotations, confirm, depth, node_items), "links")
+    if similarity is not None:
+        edges = materialize(verified(edges, items, docs, width, similarity), "verified")
     root = components.roots(edges)
     placed = items.join(root, items.fp == root.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     linked = root.select("root").distinct()
