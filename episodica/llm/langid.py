@@ -5,8 +5,9 @@ their boundaries, hashed into BUCKETS rows of an embedding table. The mean of it
 softmax. As both are linear up to the softmax, prediction folds them into one table of bucket x language.
 
 Rejection is calibrated on labelled texts that training didn't see: a temperature makes the softmax honest, and the threshold is
-the confidence that all but REJECT of those texts which are predicted rightly exceed. A text is also rejected when fewer than LETTER_SHARE of its
-visible characters are letters, or none.
+the confidence that all but REJECT of those texts which are predicted rightly exceed, but EVEN at most: a prediction that is likelier
+right than wrong is never rejected for its confidence. A text is also rejected when fewer than LETTER_SHARE of its visible
+characters are letters, or none.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ RATE = 4.0
 SAMPLE_ROWS = 4000
 #: Share of rightly predicted calibration texts that rejection may cost at most.
 REJECT = 0.0005
+EVEN = 0.5
 LETTER_SHARE = 0.2
 UNDETERMINED = "und"
 #: Bytes of text whose subwords are hashed at a time.
@@ -157,7 +159,7 @@ def train(rows: list[tuple[str, str]], seed: int = 11) -> Classifier:
         p = softmax(logits / made.temperature)
         right = p.max(axis=1)[p.argmax(axis=1) == y[cal]]
         if len(right):
-            made.threshold = float(np.quantile(right, REJECT, method="lower"))
+            made.threshold = min(EVEN, float(np.quantile(right, REJECT, method="lower")))
     return made
 
 
