@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -25,6 +27,23 @@ def show_bytes(n: int) -> str:
     return f"{n} B"
 
 
+def version(text: str) -> tuple[int, int, int]:
+    """Three numbers of v1.2.3-more; parts that are missing or no numbers are 0."""
+    parts = [int(p) if p.isdigit() else 0 for p in text.lstrip("v").split("-")[0].split(".")]
+    return tuple([*parts, 0, 0, 0][:3])
+
+
+def update_notice(current: str, latest: Callable[[], str]) -> str | None:
+    """What to say if latest() names a newer release; nothing where updates aren't to be looked for or can't be."""
+    if os.environ.get("EPISODICA_DISABLE_UPDATE_CHECK") in {"1", "true", "TRUE", "yes"}:
+        return None
+    try:
+        found = latest()
+    except OSError:
+        return None
+    return f"update available: {found.lstrip('v')} (current {current})" if version(found) > version(current) else None
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="episodica", description=__doc__)
     top.add_argument("--config")

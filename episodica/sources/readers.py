@@ -28,6 +28,12 @@ def whole_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return raw.filter(F.is_valid_utf8(text)).select("path", text.alias("content"))
 
 
+def input_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """path, length, modified of the files at paths (files, folders or globs), each once, in order; an error if there is no such path."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    return listed.select("path", "length", F.col("modificationTime").alias("modified")).distinct().orderBy("path")
+
+
 def read_source(spark: SparkSession, paths: str | list[str], source: str, format: str, hint: str | None = None) -> DataFrame:
     """Canonical events of the files at paths."""
     return normalize_files(whole_files(spark, paths), source, format, hint)

@@ -207,3 +207,22 @@ def test_config_layers(tmp_path):
     (tmp_path / "config.toml").write_text('upload_mode = "auto"\nallowlist_mode = true\n')
     found = config.load(env={"EPISODICA_HOME": str(tmp_path), "EPISODICA_ALLOWLIST_MODE": "0", "EPISODICA_SOURCES_PATH": "/x"})
     assert found.upload_mode == "auto" and not found.allowlist_mode and str(found.sources_path) == "/x"
+
+
+def test_update_notice(monkeypatch):
+    assert "0.10.0" in cli.update_notice("0.9.10", lambda: "v0.10.0")
+    assert cli.update_notice("0.10.0", lambda: "v0.10.0-rc1") is None and cli.update_notice("0.1.0", lambda: "x") is None
+
+    def offline():
+        raise OSError
+
+    assert cli.update_notice("0.1.0", offline) is None
+    monkeypatch.setenv("EPISODICA_DISABLE_UPDATE_CHECK", "1")
+    assert cli.update_notice("0.1.0", lambda: "v9.0.0") is None
+
+
+def test_input_files(spark, home):
+    found = readers.input_files(spark, [str(home / "logs"), str(home / "logs" / "*.jsonl")]).collect()
+    assert [r["path"].rsplit("/", 1)[1] for r in found] == ["one.jsonl", "two.jsonl"]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        readers.input_files(spark, str(home / "missing")).collect()
