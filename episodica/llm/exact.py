@@ -83,8 +83,9 @@ def deduplicate(docs: DataFrame, digest=digest_of, files_per_batch: int = 1000)
     hits = groups.filter("group_size > 1")
     # full bytes: the texts of hits against the retained text of their digest
     texts = materialize(own.withColumn("digest", digest(F.col("text"))).join(hits.select("digest", "keep_id"), "digest").select("digest", "doc_id", "keep_id", normal.alias("text")), "hits")
-    retained = texts.filter("doc_id <=> keep_id").groupBy("digest").agg(F.min("text").alias("retained"))
-    clashing = materialize(texts.join(retained, "digest").filter("text <> retained").select("digest").distinct(), "clashing")
+    # written, as an aggregation on either side of the join would keep its hot groups from being split
+    retained = materialize(texts.filter("doc_id <=> keep_id").groupBy("digest").agg(F.min("text").alias("retained")), "retained")
+    clashing = materialize(texts.join(retained, "digest").filter("text <> retained").select("digest"), "clashing").distinct()
     by_digest = rows.join(groups.join(clashing, "digest", "left_anti").select("digest", "keep_id", "group_size"), "digest")
     by_text = texts.join(clashing, "digest", "left_semi").groupBy("text").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     by_text = by_text.select(F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size")
