@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from episodica.llm.common import materialize, materialize_bucketed, prepare
 
 #: A block is closed once it holds so many bytes of text; a single longer document makes a block of its own.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 10 << 20
 #: Pairs of block and distinct word that one part of the word exchange holds, about.
 PART_WORDS = 250_000
 
