@@ -76,7 +76,7 @@ KINDS = (
     Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", _small_parts, 0.6, r"\bip\b|server|host|address|login|network", "."),
     Kind("card", r"[0-9](?:[\x20-]?+[0-9])++", _card, 0.7, "card|credit|visa|master|payment|karte|tarjeta|carte", ""),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: F.char_length(_digits(m)).between(10, 15), 0.6, "phone|tel|call|mobile|fax|telefon|contact", "+"),
-    Kind("iban", rf"(?<![A-Za-z0-9])(?:{IBAN})(?![A-Za-z0-9])", _iban, 0.7, "iban|account|bank|konto|cuenta|compte", ""),
+    Kind("iban", rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{IBAN})(?![A-Za-z0-9])", _iban, 0.7, "iban|account|bank|konto|cuenta|compte", ""),
 )
 BASE = ("email", "ip", "card", "phone")
 
