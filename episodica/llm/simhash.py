@@ -202,9 +202,9 @@ def _links_of(batches: Iterator[pa.RecordBatch], max_bits: int, lead: int, lead_
             ku, kv = _rotate(u, rot), _rotate(v, rot)
             ou, ov = np.argsort(ku, kind="stable"), np.argsort(kv, kind="stable")
             i, j = node_pairs(ku[ou], kv[ov], max_bits, lead, lead_bits)
-            i, j = ou[i], ov[j]
-            if lists[2] is None:
+            if lists[2] is None:  # by sorted place, so that ties don't depend on the order of the list
                 i, j = i[i < j], j[i < j]
+            i, j = ou[i], ov[j]
             weight = np.bitwise_count(u[i] ^ v[j]).astype(np.int64)
             if confirm:
                 other = np.bitwise_count(u2[i] ^ v2[j])
