@@ -299,47 +299,21 @@ def _walk_nodes(keys: DataFrame, pairs: DataFrame, depth: int, walk) -> DataFram
     return same.union(other.select("rot", "u_fp", "u_fp2", "v_fp", "v_fp2")).mapInArrow(walk, "a bigint, b bigint")
 
 
-def verified(edges: DataFrame, items: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """The links a, b whose representative texts have a Jaccard similarity of at least similarity over distinct shingles.
-
-    items: fp, first (the representative's doc_id). A link of a fingerprint without a doc_id can't be looked up and stays.
-    """
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = [np.unique(shingle_hashes(t, width)).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["fp", "held"])
-
-    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                p, q = np.frombuffer(x or b"", np.uint64), np.frombuffer(y or b"", np.uint64)
-                shared = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(x is None or y is None or shared >= similarity * (len(p) + len(q) - shared))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    edges = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    ends = edges.select(F.col("a").alias("fp")).union(edges.select("b")).distinct().join(items.filter("first is not null"), "fp").select("fp", "first")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("first"), text_or_empty().alias("text")).join(ends, "first").select("fp", "text").dropDuplicates(["fp"])
-    held = materialize(texts.mapInArrow(sets, "fp bigint, held binary"), "shingles")
-    side = lambda c: held.select(F.col("fp").alias(c), F.col("held").alias(f"held_{c}"))
-    return edges.join(side("a"), "a", "left").join(side("b"), "b", "left").select("a", "b", "held_a", "held_b").mapInArrow(similar, "a bigint, b bigint")
-
-
 def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2, rotations: int = 3, confirm: bool = False, depth: int | None = None, node_items: int = NODE_ITEMS, similarity: float | None = None) -> DataFrame:
     """doc_id, fp (long) and component_id for each row of docs (doc_id, text).
 
     component_id is the smallest doc_id reachable over links, the document's own included. With confirm, a link must also hold
-    between second fingerprints; with similarity, the links of a minimum spanning forest must also pass an exact check of their
-    shingles. Rows with equal fingerprints are linked, whatever their number; documents without words have fingerprint 0 and link
-    like any other. Rows with a null doc_id are kept but name no component (null if nothing else does).
+    between second fingerprints. Rows with equal fingerprints are linked, whatever their number; documents without words have
+    fingerprint 0 and link like any other. Rows with a null doc_id are kept but name no component (null if nothing else does).
+    With similarity, fingerprints link nothing: links are all pairs of at least that Jaccard similarity (``similar.near_copies``).
     """
+    if similarity is not None:
+        from episodica.llm import similar
+
+        return similar.near_copies(docs, width, similarity)
     own = materialize(fingerprints(docs, width, confirm), "fingerprints")
     items = materialize(own.groupBy("fp").agg(F.min("doc_id").alias("first"), F.min_by("fp2", F.coalesce("doc_id", F.lit(2**63 - 1))).alias("fp2")), "items")
     edges = materialize(links(items, max_bits, rotations, confirm, depth, node_items), "links")
-    if similarity is not None:
-        edges = materialize(verified(edges, items, docs, width, similarity), "verified")
     root = components.roots(edges)
     placed = items.join(root, items.fp == root.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     linked = root.select("root").distinct()
