@@ -2,7 +2,6 @@
 
 import random
 
-import numpy as np
 from episodica.llm import simhash
 from episodica.llm.queries import NEAR_DUPLICATES
 
@@ -23,13 +22,6 @@ def bits(x, y, mix=lambda h: h):
     return (a ^ b).bit_count()
 
 
-def edited(rnd, words, n):
-    own = list(words)
-    for i in rnd.sample(range(len(own)), n):
-        own[i] = f"e{rnd.randrange(10**9)}"
-    return own
-
-
 def test_equal_fingerprints_of_unlike_texts(spark):
     """A line that is repeated often decides every bit."""
     rnd = random.Random(4)
@@ -37,3 +29,15 @@ def test_equal_fingerprints_of_unlike_texts(spark):
     texts = [" ".join([line] * 200 + [f"{name}{rnd.randrange(10**6)}" for _ in range(150)]) for name in "abc"]
     assert bits(texts[0], texts[1]) == 0 and bits(texts[0], texts[1], simhash.remix) == 0 and jaccard(*texts[:2]) < 0.1
     assert classes(spark, [*texts, texts[1] + " tail"]) == [0, 1, 2, 1]
+
+
+def test_near_copies_whose_fingerprints_are_far_apart(spark):
+    """Neither fingerprint may veto a pair that is similar enough."""
+    rnd = random.Random(6)
+    texts = []
+    while len(texts) < 12:
+        words = [f"v{rnd.randrange(10**6)}" for _ in range(60)]
+        x, y = " ".join(words), " ".join(words[: -rnd.randrange(3, 12)])
+        if jaccard(x, y) >= 0.8 and max(bits(x, y), bits(x, y, simhash.remix)) > 14:
+            texts += [x, y]
+    assert classes(spark, texts) == [k // 2 * 2 for k in range(12)]
