@@ -41,3 +41,21 @@ def test_near_copies_whose_fingerprints_are_far_apart(spark):
         if jaccard(x, y) >= 0.8 and max(bits(x, y), bits(x, y, simhash.remix)) > 14:
             texts += [x, y]
     assert classes(spark, texts) == [k // 2 * 2 for k in range(12)]
+
+
+def test_a_similar_pair_between_two_nearer_ones(spark):
+    """C is nearer to A and B in bits than they are to each other, but only A and B are similar enough."""
+    rnd = random.Random(7)
+    fp = lambda t: simhash.majority_bits(simhash.shingle_hashes(t, 5))
+    distance = lambda x, y: bits(x, y) + bits(x, y, simhash.remix)
+    while True:
+        words = [f"v{rnd.randrange(10**6)}" for _ in range(60)]
+        a, b = (" ".join(words[: len(words) - cut]) for cut in (0, rnd.randrange(8, 12)))
+        near = [" ".join([f"z{rnd.randrange(10**6)}" for _ in range(k)] + words[: 60 - cut]) for k in (9, 10, 11) for cut in (3, 4, 5, 6)]
+        found = [c for c in near if jaccard(a, c) < 0.8 and jaccard(b, c) < 0.8 and max(distance(a, c), distance(b, c)) < distance(a, b)]
+        found = [c for c in found if max(bits(x, y, m) for x, y in ((a, b), (a, c), (b, c)) for m in (lambda h: h, simhash.remix)) <= 14]
+        # of one trie node in every rotation, so that the three meet wherever two of them do
+        found = [c for c in found if not any((fp(a) ^ fp(o)) & 0xF000F000F000F000 for o in (b, c))]
+        if jaccard(a, b) >= 0.8 and found:
+            break
+    assert classes(spark, [a, b, found[0]]) == [0, 0, 2]
