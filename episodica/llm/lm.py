@@ -9,7 +9,7 @@ count and cut into classes of CLASS neighbours. With q = P1[previous word] + P2[
 Both softmaxes are computed in full by batched matrix products, so scores are normalised. An "other" word costs its own smoothed
 count among the other words besides. Parameters are learned by noise-contrastive estimation with unigram noise: every task
 trains on its own blocks from common parameters, the results are averaged (weighted by tokens), and that is repeated ROUNDS times.
-Every training text takes part, each round with one of STRIDE positions, so what is learned from grows with the corpus.
+Every position of every training text is learned from in one of the rounds, so what is learned from grows with the corpus.
 """
 
 from __future__ import annotations
@@ -33,7 +33,6 @@ CLASS = 64
 DIM = 24
 NOISE = 6
 ROUNDS = 2
-STRIDE = 16
 BATCH = 1024
 RATE = 0.15
 SMOOTH = 0.1
@@ -282,7 +281,7 @@ def fit(packed: DataFrame, top: list[tuple[bytes, int]], texts: int, tokens: int
                     train = np.array([not held_out(i) for i in batch.column(0)[k].as_py()], bool)
                     one, two, target, text = _sequences(sizes, bl.unsqueeze(batch.column(2)[k].as_py()), own.outcomes(batch.column(3)[k].as_py()), own)
                     rng = np.random.default_rng([len(target), number])
-                    picked = np.flatnonzero(train[text] & ((np.arange(len(target)) + number * STRIDE // rounds) % STRIDE == 0))
+                    picked = np.flatnonzero(train[text] & (np.arange(len(target)) % rounds == number))
                     own.train(one[picked], two[picked], target[picked], rng, state)
                     seen += len(picked)
             if seen:
