@@ -21,7 +21,9 @@ from episodica.llm.common import prepare
 # Fixed values of the HTML standard: elements by how they are laid out and closed.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
-UNSEEN = frozenset("head script style template noscript title iframe noembed noframes datalist object audio video canvas svg math select".split())
+UNSEEN = frozenset("head script style template noscript title iframe noembed noframes datalist object audio video canvas".split())
+#: What isn't drawn within an element of another language.
+UNDRAWN = {"svg": frozenset("desc defs metadata symbol".split()), "math": frozenset("annotation annotation-xml".split())}
 APART = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote ul ol dl menu table figure hr fieldset".split())
 BLOCK = APART | frozenset("html body div section article aside nav header footer main address form li dt dd tr td th caption thead tbody tfoot details summary figcaption center dir hgroup search legend optgroup option".split())
 #: A start tag on the left closes an open element on the right, unless one of BARRIERS[left] stands between.
@@ -135,12 +137,17 @@ class Builder:
                 self._imply({"p"}, {"table", "li", "td", "th", "blockquote", "dd"})
         attrs = attributes(raw) if raw and raw != "/" else {}
         parent = self.top
-        hidden = parent.hidden or tag in UNSEEN or (bool(attrs) and is_hidden(attrs))
+        foreign = [k for k in UNDRAWN if tag == k or self.open.get(k)]
+        hidden = parent.hidden or tag in UNSEEN or any(tag in UNDRAWN[k] for k in foreign) or (bool(attrs) and is_hidden(attrs))
+        if foreign and raw.rstrip().endswith("/"):
+            return
         if tag in VOID:
             if not hidden:
                 self._void(tag, attrs)
             return
         flow = parent.flow
+        if not hidden and tag == "text" and foreign:
+            flow.line()
         if not hidden and tag in BLOCK:
             if tag in APART and not (tag in {"ul", "ol", "menu"} and self.open.get("li")):
                 flow.apart()
