@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial, reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +13,8 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Rule:
+    """pattern is the rule. LINEAR has another form of some, which matches the same spans in time linear in the text."""
+
     name: str
     pattern: str
     replacement: str
@@ -30,6 +35,7 @@ RULES = (
     Rule("url_query", r"(https?://[^\s?]+)\?[^\s]+", "$1?[REDACTED_QUERY]", "secret"),
 )
 ENTROPY_REPLACEMENT = "[REDACTED_ENTROPY]"
+# The markers that the detector overlooks.
 MARKERS = (
     "[REDACTED]", "[REDACTED_EMAIL]", "[REDACTED_IP]", "[REDACTED_PATH]", "[REDACTED_QUERY]",
     "[REDACTED_GITLEAKS]", "[REDACTED_JWT]", "[REDACTED_PEM]", "[REDACTED_USERHOST]", "[REDACTED_ENTROPY]",
@@ -40,6 +46,8 @@ COUNTERS = ("secret", "email", "ip", "path")
 ENTROPY = (
     r"(?U)(?<!\S)(?![0-9A-Fa-f]+(?!\S))(?:(?=\S*[A-Z])(?=\S*[a-z])(?=\S*[0-9])[A-Za-z0-9_~+/=\-]{24,}|[A-Za-z0-9_~+/=\-]{32,})(?!\S)"
 )
+#: What a token of high entropy needs at least.
+ENTROPY_RUN = r"[A-Za-z0-9_~+/=\-]{24}"
 DETECTOR_SEPARATORS = r"""(?U)[\s"',;()\[\]]+"""
 
 #: Explicit opt-in beyond the default rules: quoted secrets, and bearer tokens that follow a redacted header.
@@ -57,11 +65,43 @@ def rule_pack(name: str = "default") -> tuple[Rule, ...]:
     raise ValueError(f"unknown rule pack: {name}")
 
 
+_EMAIL_CHAR, _JWT_CHAR = "[A-Za-z0-9._%+-]", "[A-Za-z0-9_-]"
+_PEM_BEGIN = "-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----"
+
+#: By rule: a form without retries, and its replacement. A run of characters that fails once is left at once: a match begins at the
+#: run's first candidate (found in an atomic group, and put back by the replacement), as all candidates of a run end alike. \\G
+#: stands for a run whose beginning the match before took. Loops are possessive, so that the stack doesn't grow with the text.
+LINEAR = {
+    "jwt": (rf"(?:(?<!{_JWT_CHAR})|\G)(?>({_JWT_CHAR}*?)\beyJ){_JWT_CHAR}{{8,}}+\.{_JWT_CHAR}{{8,}}+\.{_JWT_CHAR}{{8,}}\b", "$1[REDACTED_JWT]"),
+    "pem": (rf"(?s)\G(?>(.*?)(?={_PEM_BEGIN})){_PEM_BEGIN}.*?-----END [A-Z0-9 ]*PRIVATE KEY-----", "$1[REDACTED_PEM]"),
+    "email": (rf"(?:(?<!{_EMAIL_CHAR})|\G)(?>({_EMAIL_CHAR}*?)\b){_EMAIL_CHAR}++@[A-Za-z0-9.-]+\.[A-Za-z]{{2,}}\b", "$1[REDACTED_EMAIL]"),
+    "path": (r"(?i)(?:/Users/[^/\s]+|/home/[^/\s]+|/root/[^/\s]*|[A-Za-z]:[\\/][^\\/\s]++(?:[\\/][^\\/\s]++)*+)", "[REDACTED_PATH]"),
+    "url_query": (r"(?<![^\s?])((?>[^\s?]*?https?://)[^\s?]++)\?\S++", "$1?[REDACTED_QUERY]"),
+}
+#: By rule: texts one of which must occur for a match. Looking for them is far cheaper than the pattern.
+NEEDS = {
+    "token": (":", "="), "quoted_secret": (":", "="), "bearer_rest": ("=",), "jwt": ("eyJ",), "pem": ("-----BEGIN ",), "email": ("@",),
+    "ip": (".",), "path": ("/", "\\"), "user_host": ("@",), "host_assignment": (":", "="), "url_query": ("://",),
+}
+
+
 def java(pattern: str) -> str:
     """The pattern with Unicode classes, word boundaries and case folding."""
     return f"(?U){pattern}"
 
 
+def scan_form(rule: Rule) -> tuple[str, str]:
+    """The pattern by which Spark looks for a rule, and its replacement."""
+    pattern, replacement = LINEAR.get(rule.name, (rule.pattern, rule.replacement))
+    return java(pattern), replacement
+
+
+def may_match(rule: Rule, text: Column) -> Column:
+    """Whether text holds what a match of the rule needs."""
+    found = [text.contains(part) for part in NEEDS.get(rule.name, ())]
+    return reduce(or_, found) if found else F.lit(True)
+
+
 def is_high_entropy(token: Column) -> Column:
     mixed = token.rlike("[A-Z]") & token.rlike("[a-z]") & token.rlike("[0-9]")
     return (F.octet_length(token) >= 24) & ~token.rlike(r"^[0-9A-Fa-f]*$") & token.rlike(r"^[A-Za-z0-9_~+/=\-]*$") & (mixed | (F.octet_length(token) >= 32))
@@ -69,24 +109,32 @@ def is_high_entropy(token: Column) -> Column:
 
 def has_high_entropy_token(text: Column) -> Column:
     """Cheap necessary test first: 24 characters of the charset in a row."""
-    return text.rlike(r"[A-Za-z0-9_~+/=\-]{24,}") & F.exists(F.split(text, DETECTOR_SEPARATORS), is_high_entropy)
+    return text.rlike(ENTROPY_RUN) & F.exists(F.split(text, DETECTOR_SEPARATORS), is_high_entropy)
 
 
 def is_sensitive(text: Column) -> Column:
     """The residual detector: markers are deleted first, then any rule or high-entropy token that is left counts."""
+    clean = text
     for marker in MARKERS:
-        text = F.replace(text, F.lit(marker), F.lit(""))
-    any_rule = "|".join(f"(?:{rule.pattern})" for rule in RULES)  # one pass; a rule's flags end with its group
-    return text.rlike(java(any_rule)) | has_high_entropy_token(text)
+        clean = F.replace(clean, F.lit(marker), F.lit(""))
+    clean = F.when(text.contains("[REDACTED"), clean).otherwise(text)
+    tests = lambda t: [may_match(rule, t) & t.rlike(scan_form(rule)[0]) for rule in RULES]
+    # one element: so the text without markers is computed once for all tests
+    return F.exists(F.array(clean), lambda t: reduce(or_, tests(t)) | has_high_entropy_token(t))
 
 
 def redacted(text: Column, pack: str = "default") -> Column:
     """The text after all rules and the entropy rule, as one expression."""
     for rule in rule_pack(pack):
-        text = F.regexp_replace(text, java(rule.pattern), rule.replacement)
+        text = F.regexp_replace(text, *scan_form(rule))
     return F.regexp_replace(text, ENTROPY, ENTROPY_REPLACEMENT)
 
 
+def _once(column: str, f: Callable[[Column], Column]) -> Column:
+    """f of a column that is named only once, so that filters pushed through many projections don't multiply it."""
+    return F.transform(F.array(column), f)[0]
+
+
 def redact(df: DataFrame, column: str = "text", pack: str = "default") -> DataFrame:
     """df with column redacted, and n_secret, n_email, n_ip, n_path, n_total.
 
@@ -94,11 +142,13 @@ def redact(df: DataFrame, column: str = "text", pack: str = "default") -> DataFr
     Catalyst from nesting the counts; a null text stays null and counts nothing.
     """
     counts: dict[str, list[Column]] = {name: [] for name in COUNTERS}
-    taken = [(rule.pattern if rule.pattern.startswith("(?U)") else java(rule.pattern), rule.replacement, rule.counter) for rule in rule_pack(pack)]
-    taken.append((ENTROPY, ENTROPY_REPLACEMENT, "secret"))
-    for k, (pattern, replacement, counter) in enumerate(taken):
+    taken = [(*scan_form(rule), rule.counter, partial(may_match, rule)) for rule in rule_pack(pack)]
+    taken.append((ENTROPY, ENTROPY_REPLACEMENT, "secret", lambda t: t.rlike(ENTROPY_RUN)))
+    for k, (pattern, replacement, counter, needed) in enumerate(taken):
         hit = f"__n{k}"
-        df = df.withColumns({hit: F.coalesce(F.regexp_count(column, F.lit(pattern)), F.lit(0)), column: F.regexp_replace(column, pattern, replacement)})
+        count = _once(column, lambda t: F.when(needed(t), F.regexp_count(t, F.lit(pattern))).otherwise(0))  # noqa: B023
+        clean = _once(column, lambda t: F.when(needed(t), F.regexp_replace(t, pattern, replacement)).otherwise(t))  # noqa: B023
+        df = df.withColumns({hit: count, column: clean})
         counts[counter].append(F.col(hit))
     total = {f"n_{name}": sum(cols[1:], cols[0]).cast("bigint") for name, cols in counts.items()}
     df = df.withColumns(total | {"n_total": sum((F.col(f"__n{k}") for k in range(1, len(taken))), F.col("__n0")).cast("bigint")})

@@ -80,3 +80,57 @@ def test_a_failing_scanner_changes_nothing(spark):
         raise OSError
 
     assert redact.apply_scanner(spark.createDataFrame([("a",)], "text string"), broken).first()["text"] == "a"
+
+
+PIECES = {
+    "jwt": ["eyJ", "abcdefgh", "ABCD1234", ".", ".", "-", "é", " ", "_x"],
+    "pem": ["-----BEGIN ", "RSA ", "PRIVATE KEY-----", "-----END ", "PRIVATE KEY-----", "x", "\n", "-"],
+    "email": ["a", "b.c", "a@b.com", "@", "@", ".", "com", "-", "é", " ", "%", "d1", "_"],
+    "path": ["C:", "c:", "\\", "/", "a", "b c", "/Users/", "/HOME/", "/root/", "é", "\n"],
+    "url_query": ["http://", "https://", "?", "?", "a", "b=c", " ", "é", "/"],
+}
+
+
+@pytest.mark.parametrize("name", sorted(redact.LINEAR))
+def test_linear_forms_match_what_the_rules_match(spark, name):
+    import random
+
+    rnd = random.Random(name)
+    rule = next(r for r in redact.RULES if r.name == name)
+    rows = [("".join(rnd.choice(PIECES[name]) for _ in range(rnd.randrange(1, 25))),) for _ in range(20_000)]
+    plain, (pattern, replacement) = redact.java(rule.pattern), redact.scan_form(rule)
+    found = spark.createDataFrame(rows, "text string").select(
+        "text",
+        F.regexp_replace("text", plain, rule.replacement).alias("a"), F.regexp_replace("text", pattern, replacement).alias("b"),
+        F.regexp_count("text", F.lit(plain)).alias("m"), F.regexp_count("text", F.lit(pattern)).alias("n"),
+        F.col("text").rlike(plain).alias("p"), F.col("text").rlike(pattern).alias("q"), redact.may_match(rule, F.col("text")).alias("may"),
+    )
+    assert found.filter("a <> b or m <> n or p <> q or (p and not may)").limit(5).collect() == []
+    assert found.filter("m > 1").count() > 5
+
+
+@pytest.mark.parametrize(
+    ("text", "clean", "n"),
+    [
+        ("a." * 500_000, None, 0),
+        ("a." * 500_000 + "@", None, 0),
+        ("1" * 1_000_000, None, 0),
+        ("see C:\\" + "seg\\" * 100_000 + "end now", "see [REDACTED_PATH] now", 1),
+        ("http://" * 150_000, None, 0),
+        ("eyJ-" * 250_000, None, 0),
+        ("-----BEGIN PRIVATE KEY-----" * 40_000, None, 0),
+        ("x@" * 500_000 + "y.com", "x@" * 499_999 + "[REDACTED_EMAIL]", 1),
+    ],
+)
+def test_long_texts_take_linear_time(spark, text, clean, n):
+    import time
+
+    df = spark.createDataFrame([(text,)], "text string")
+    run(spark, "warm a@b.com")
+    began = time.perf_counter()
+    got = redact.redact(df).first()
+    assert time.perf_counter() - began < 4
+    assert (got["text"], got["n_total"]) == (text if clean is None else clean, n)
+    began = time.perf_counter()
+    df.select(redact.is_sensitive(F.col("text"))).first()
+    assert time.perf_counter() - began < 4
