@@ -83,7 +83,7 @@ def test_a_failing_scanner_changes_nothing(spark):
 
 
 PIECES = {
-    "jwt": ["eyJ", "abcdefgh", "ABCD1234", ".", ".", "-", "é", " ", "_x"],
+    "jwt": ["eyJ", "eyJabcdefgh.ABCD1234.abcdefgh", "abcdefgh", "ABCD1234", ".", ".", "-", "é", " ", "_x"],
     "pem": ["-----BEGIN ", "RSA ", "PRIVATE KEY-----", "-----END ", "PRIVATE KEY-----", "x", "\n", "-"],
     "email": ["a", "b.c", "a@b.com", "@", "@", ".", "com", "-", "é", " ", "%", "d1", "_"],
     "path": ["C:", "c:", "\\", "/", "a", "b c", "/Users/", "/HOME/", "/root/", "é", "\n"],
@@ -117,7 +117,7 @@ def test_linear_forms_match_what_the_rules_match(spark, name):
         ("1" * 1_000_000, None, 0),
         ("see C:\\" + "seg\\" * 100_000 + "end now", "see [REDACTED_PATH] now", 1),
         ("http://" * 150_000, None, 0),
-        ("eyJ-" * 250_000, None, 0),
+        ("eyJ-" * 250_000 + "!", None, 0),
         ("-----BEGIN PRIVATE KEY-----" * 40_000, None, 0),
         ("x@" * 500_000 + "y.com", "x@" * 499_999 + "[REDACTED_EMAIL]", 1),
     ],
