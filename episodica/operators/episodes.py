@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -176,7 +179,9 @@ def build_episodes(events: DataFrame, include_raw: bool = False, profile: str =
         }
     )
     if gate:
-        rows = rows.filter(~(is_sensitive(F.col("prompt")) | is_sensitive(F.col("context")) | is_sensitive(F.col("result"))))
+        # summaries show only what was found clean, and their other forms are counts
+        looked_at = ("prompt", "context", "result") if include_raw else ("context",)
+        rows = rows.filter(~reduce(or_, (is_sensitive(F.col(c)) for c in looked_at)))
     steps = F.transform("trace", lambda s: F.struct(s["content"].alias("content"), s["name"].alias("name"), s["role"].alias("role"), s["ts"].alias("ts")))
     preimage = F.to_json(F.struct("prompt", "result", "session_id", "source_tool", steps.alias("trace"), "ts_end", "ts_start"), {"ignoreNullFields": "false"})
     rows = rows.withColumn("content_hash", content_digest(preimage, profile))
@@ -198,10 +203,11 @@ def build_episodes(events: DataFrame, include_raw: bool = False, profile: str =
 RECORD = "id source_tool session_id ts_start ts_end prompt context trace result outcome meta consent license policy_version sanitizer_version content_hash".split()
 
 
-def derive_sft(episodes: DataFrame) -> DataFrame:
-    return episodes.select("id", F.col("prompt").alias("instruction"), F.col("context").alias("input"), F.col("result").alias("output"), "meta", "license", "consent")
+def derive_sft(episodes: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Instruction records; keys are columns of episodes that stand before them."""
+    return episodes.select(*keys, "id", F.col("prompt").alias("instruction"), F.col("context").alias("input"), F.col("result").alias("output"), "meta", "license", "consent")
 
 
-def derive_tooltrace(episodes: DataFrame) -> DataFrame:
+def derive_tooltrace(episodes: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     messages = F.transform("trace", lambda s: F.struct(s["role"].alias("role"), s["content"].alias("content"), s["name"].alias("name")))
-    return episodes.select("id", messages.alias("messages"), "meta", "license", "consent")
+    return episodes.select(*keys, "id", messages.alias("messages"), "meta", "license", "consent")

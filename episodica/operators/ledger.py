@@ -36,13 +36,22 @@ def key_of(table: str) -> str:
 # ---- statements as DataFrame operations ------------------------------------------------------------------------------
 
 
-def merge(old: DataFrame, new: DataFrame, key: str, update: list[str] | None = None) -> DataFrame:
+def _in_turn(rows: DataFrame, order: list[str] | None) -> Column:
+    return F.struct(*(order or rows.columns))
+
+
+def merge(old: DataFrame, new: DataFrame, key: str, update: list[str] | None = None, order: list[str] | None = None) -> DataFrame:
     """old with the rows of new: inserted where the key is new, else only the columns update (all by default) are replaced.
 
-    new must hold a key once. One full join; null keys never match, as in SQL.
+    Rows of new that repeat a key count as written one after another by the columns order (by all of new, where none are given): what
+    the first inserts stays but for the columns update, which the last sets. One full join; null keys never match, as in SQL.
     """
     update = [c for c in old.columns if c != key] if update is None else update
-    o, n = old.alias("o"), new.select(*old.columns, F.lit(True).alias("__new")).alias("n")
+    kept = [c for c in old.columns if c != key and c not in update]
+    turn = _in_turn(new, order)
+    once = new.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min_by(F.struct(F.lit(0).alias("__"), *kept), turn).alias("f"), F.max_by(F.struct(F.lit(0).alias("__"), *update), turn).alias("l"))
+    once = once.select(*(c if c == key else F.col(f"{'f' if c in kept else 'l'}.{c}").alias(c) for c in old.columns)).union(new.filter(F.col(key).isNull()).select(*old.columns))
+    o, n = old.alias("o"), once.select("*", F.lit(True).alias("__new")).alias("n")
     fresh, known = F.col("n.__new").isNotNull(), F.col(f"o.{key}").isNotNull()
 
     def pick(c: str) -> Column:
@@ -53,9 +62,12 @@ def merge(old: DataFrame, new: DataFrame, key: str, update: list[str] | None = N
     return o.join(n, F.col(f"o.{key}") == F.col(f"n.{key}"), "full_outer").select(*(pick(c).alias(c) for c in old.columns))
 
 
-def insert_or_ignore(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """old and those rows of new whose key it lacks."""
-    return old.unionByName(new.select(*old.columns).join(old.select(key), key, "left_anti").select(*old.columns))
+def insert_or_ignore(old: DataFrame, new: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
+    """old and those rows of new whose key it lacks; of rows that repeat a key the first by the columns order (by all of new, where
+    none are given). Null keys never match, so each such row is inserted."""
+    missing = new.join(old.select(key), key, "left_anti").select(*new.columns)
+    first = F.when(F.col(key).isNull(), 1).otherwise(F.row_number().over(W.partitionBy(key).orderBy(_in_turn(new, order))))
+    return old.unionByName(missing.withColumn("__first", first).filter("__first = 1").select(*old.columns))
 
 
 def not_uploaded(episodes: DataFrame, ledger: DataFrame) -> DataFrame:

@@ -95,9 +95,9 @@ def build_snapshot(episodes: DataFrame, version: str, out_root: str | Path, seed
         train = write_zst(out / DATA_FILES[0], _json_lines(chosen.filter("split = 'train'"), RECORD, order))
         val = write_zst(out / DATA_FILES[1], _json_lines(chosen.filter("split = 'val'"), RECORD, order))
         for name, derive in ((DATA_FILES[2], derive_sft), (DATA_FILES[3], derive_tooltrace)):
-            made = derive(chosen)
-            keyed = chosen.select(*order, F.col("id").alias("__id")).join(made, F.col("__id") == made["id"])
-            write_zst(out / name, _json_lines(keyed, made.columns, order))
+            keys = tuple(f"__key{k}" for k in range(len(order)))  # a record keeps its place, whatever its id
+            made = derive(chosen.withColumns(dict(zip(keys, map(F.col, order), strict=True))), keys)
+            write_zst(out / name, _json_lines(made, [c for c in made.columns if c not in keys], keys))
         licenses = {r["license"]: r["n"] for r in license_breakdown(chosen).collect()}  # one row for each allowed licence
     finally:
         chosen.unpersist()

@@ -192,3 +192,18 @@ def test_split_uses_the_first_byte(spark):
     found = snapshot.with_split(rows, "seed").collect()
     assert all((r["split"] == "train") == (r["bucket"] < 98) for r in found)
     assert 0 < sum(r["split"] == "val" for r in found) < 25
+
+
+def test_a_release_with_shared_ids_derives_one_record_each(spark, tmp_path):
+    import io
+
+    import zstandard
+
+    rows = spark.createDataFrame([("p", k, "user_msg" if k % 2 == 0 else "assistant_msg", f"t{k}") for k in range(8)], "path string, seq long, kind string, text string")
+    events = rows.selectExpr("path", "seq", "'s' as source", "'x' as session_id", "timestamp_seconds(seq) as ts", "kind", "text", "cast(null as struct<name:string,args_json:string,result_json:string>) as tool", "cast(null as struct<cwd:string,repo:string,exit_code:int,model:string,tags:array<string>>) as meta")
+    made = episodes.build_episodes(events, include_raw=True).withColumn("id", F.when(F.col("turn") > 1, "same")).withColumn("seq", F.col("turn"))
+    snapshot.build_snapshot(made, "1", tmp_path, "seed")
+    for name in ("sft", "tooltrace"):
+        with (tmp_path / "dataset-1" / f"{name}.jsonl.zst").open("rb") as raw:
+            lines = [json.loads(x) for x in io.TextIOWrapper(zstandard.ZstdDecompressor().stream_reader(raw))]
+        assert [x["id"] for x in lines] == [None, "same", "same", "same"], name

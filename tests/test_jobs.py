@@ -226,3 +226,13 @@ def test_input_files(spark, home):
     assert [r["path"].rsplit("/", 1)[1] for r in found] == ["one.jsonl", "two.jsonl"]
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         readers.input_files(spark, str(home / "missing")).collect()
+
+
+def test_repeated_keys_in_one_batch(spark):
+    """As single statements one after another: the first insert stays, and the last update."""
+    old = spark.createDataFrame([("a", 1, 1)], "k string, kept long, moved long")
+    new = spark.createDataFrame([("a", 2, 2), ("a", 3, 3), ("b", 5, 5), ("b", 4, 4), (None, 6, 6), (None, 6, 6)], "k string, kept long, moved long")
+    rows = lambda df: sorted(df.collect(), key=str)
+    assert rows(lg.merge(old, new, "k", ["moved"], ["kept"])) == [("a", 1, 3), ("b", 4, 5), (None, 6, 6), (None, 6, 6)]
+    assert rows(lg.merge(old, new, "k")) == [("a", 3, 3), ("b", 5, 5), (None, 6, 6), (None, 6, 6)]
+    assert rows(lg.insert_or_ignore(old, new, "k", ["kept"])) == [("a", 1, 1), ("b", 4, 4), (None, 6, 6), (None, 6, 6)]
