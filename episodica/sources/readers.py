@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from episodica.functions.blake3 import content_digest
+from episodica.functions.ship import ship_package
 from episodica.functions.text import parse_rfc3339
 from episodica.operators.events import META, TOOL
 from episodica.operators.normalize import normalize_files
@@ -21,6 +27,10 @@ EPISODE = (
 )
 
 
+#: Whether a line holds anything but white space (the Unicode property White_Space).
+VISIBLE = re.compile(r"[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
+
+
 def whole_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """path, content of text files; files that aren't UTF-8 are left out."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
@@ -39,14 +49,31 @@ def read_source(spark: SparkSession, paths: str | list[str], source: str, format
     return normalize_files(whole_files(spark, paths), source, format, hint)
 
 
+LINES = "path string, seq bigint, line string, next_offset int"
+#: Lines of a batch, about.
+BATCH_LINES = 10_000
+
+
 def lines(files: DataFrame) -> DataFrame:
     """path, seq, line, next_offset for the lines of files (path, content): only a newline ends one, a carriage return before it is
-    dropped, blank lines are skipped. next_offset is the byte after the line, from which an appended file could be read on."""
-    parts = F.split("content", "\n")
-    rows = files.select("path", F.octet_length("content").alias("size"), F.posexplode(F.transform(parts, lambda p, i: F.struct(p.alias("p"), F.octet_length(p).alias("n")))).alias("seq", "s"), F.transform(parts, lambda p: F.octet_length(p) + 1).alias("sizes"))
-    end = F.aggregate(F.slice("sizes", F.lit(1), F.col("seq") + 1), F.lit(0), lambda a, x: a + x)
-    line = F.regexp_replace("s.p", r"[\r]+$", "")
-    return rows.select("path", F.col("seq").cast("bigint").alias("seq"), line.alias("line"), F.least(end, F.col("size")).alias("next_offset")).filter(line.rlike(r"(?U)\S"))
+    dropped, blank lines are skipped. next_offset is the byte after the line, from which an appended file could be read on.
+
+    A running sum over the lines of a file is linear in Arrow batches; as an expression it isn't, and as a window it shuffles all lines.
+    """
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = (pa.string(), pa.int64(), pa.string(), pa.int32())
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                parts = (content or "").split("\n")
+                ends = np.minimum(np.cumsum(np.fromiter((len(p.encode()) + 1 for p in parts), np.int64, len(parts))), len((content or "").encode()))
+                for at in range(0, len(parts), BATCH_LINES):
+                    own = [(path, seq, line, end) for seq, (p, end) in enumerate(zip(parts[at : at + BATCH_LINES], ends[at : at + BATCH_LINES].tolist(), strict=True), at) if (line := p.rstrip("\r")) and VISIBLE(line)]
+                    if own:
+                        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*own, strict=True), types, strict=True)], ["path", "seq", "line", "next_offset"])
+
+    ship_package(files.sparkSession)
+    return files.select("path", "content").mapInArrow(rows, LINES)
 
 
 def fingerprint(length: Column, modified: Column, profile: str = "blake3") -> Column:
