@@ -197,7 +197,8 @@ def release_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def revoked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "labels").filter("toxic = 1 and doc_id % 2 = 0").select(F.col("doc_id").cast("string").alias("episode_id"))
+    """Revocations: the short documents."""
+    return table(spark, sf_dir, "documents").filter(F.char_length("text") < 200).select(F.col("doc_id").cast("string").alias("episode_id"))
 
 
 @query(sql.SNAPSHOT_FILTER)
@@ -210,6 +211,15 @@ def snapshot_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot.with_split(release_candidates(spark, sf_dir), "seed-1", "sha256").select("id", "bucket", "split")
 
 
+@query(sql.SNAPSHOT_DERIVED)
+def snapshot_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived records of a release whose records share ids (that of a path): one record each, in order of their places."""
+    made = episodes.build_episodes(conversation_events(spark, sf_dir), include_raw=True, profile="sha256").withColumn("id", F.col("path"))
+    sft = episodes.derive_sft(made, ("path", "turn", "part")).select("path", "turn", "part", "id", F.col("instruction").alias("first"), F.lit("sft").alias("kind"))
+    trace = episodes.derive_tooltrace(made, ("path", "turn", "part")).select("path", "turn", "part", "id", F.col("messages")[0]["content"].alias("first"), F.lit("tooltrace").alias("kind"))
+    return sft.union(trace)
+
+
 @query(sql.LICENSES)
 def license_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot.license_breakdown(snapshot.select_episodes(release_candidates(spark, sf_dir), revoked(spark, sf_dir)))
@@ -226,7 +236,7 @@ def uploaded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def uploads_now(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").filter("doc_id % 3 = 0")
+    docs = table(spark, sf_dir, "documents")
     return docs.select(F.col("doc_id").cast("string").alias("id"), F.lit("new").alias("content_hash"), F.col("source").alias("source_tool"), F.lit("t").alias("session_id_hash"), F.concat(F.lit("k/"), F.col("doc_id").cast("string")).alias("r2_object_key"), F.lit("2026").alias("indexed_at"), F.lit("2026").alias("uploaded_at"), F.lit("v2").alias("consent_version"), F.lit("CC-BY-4.0").alias("license"))
 
 
@@ -235,6 +245,17 @@ def ledger_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.upsert_episodes(uploaded(spark, sf_dir), uploads_now(spark, sf_dir))
 
 
+def uploads_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that repeats every key, with other values later."""
+    later = {"content_hash": F.lit("later"), "uploaded_at": F.lit("2027"), "license": F.lit("CC0-1.0")}
+    return uploads_now(spark, sf_dir).union(uploads_now(spark, sf_dir).withColumns(later))
+
+
+@query(sql.LEDGER_UPSERT_REPEATS)
+def ledger_upsert_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.merge(uploaded(spark, sf_dir), uploads_twice(spark, sf_dir), "id", ledger.EPISODE_UPDATES, ["uploaded_at"])
+
+
 @query(sql.DEDUPE_LEDGER)
 def dedupe_against_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.not_uploaded(uploads_now(spark, sf_dir), uploaded(spark, sf_dir)).select("id", "source_tool")
@@ -242,7 +263,7 @@ def dedupe_against_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(sql.INSERT_OR_IGNORE)
 def insert_or_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger.insert_or_ignore(uploaded(spark, sf_dir), uploads_now(spark, sf_dir), "id").select("id", "content_hash", "uploaded_at")
+    return ledger.insert_or_ignore(uploaded(spark, sf_dir), uploads_twice(spark, sf_dir), "id", ["uploaded_at"]).select("id", "content_hash", "uploaded_at")
 
 
 @query(sql.TOTALS)
@@ -263,7 +284,8 @@ def pending_revocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(sql.UPSERT_REVOCATIONS)
 def upsert_revocations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    new = revocation_rows(spark, sf_dir).filter("episode_id % 2 = 0").withColumns({"reason": F.lit("again"), "pushed_at": F.lit(None).cast("string"), "push_status": F.lit("pending")})
+    toxic = table(spark, sf_dir, "labels").filter("toxic = 1").select(F.col("doc_id").cast("string").alias("episode_id"))
+    new = revocation_rows(spark, sf_dir).join(toxic, "episode_id", "left_semi").withColumns({"reason": F.lit("again"), "pushed_at": F.lit(None).cast("string"), "push_status": F.lit("pending")})
     return ledger.upsert_revocations(revocation_rows(spark, sf_dir), new)
 
 

@@ -189,22 +189,32 @@ coalesce(array_to_string(list_transform(tools, lambda t: sha256('salt|' || t)),
 _CANDIDATES = """cand as (select doc_id as seq, doc_id::varchar as id, case when regexp_extract(source, '(\\d+)', 1)::integer % 4 = 1 then 'CC-BY-4.0' when regexp_extract(source, '(\\d+)', 1)::integer % 4 = 2 then 'MIT' else 'CC0-1.0' end as license,
     coalesce(quality = 1, true) as searchable, coalesce(toxic = 0, true) as trainable, sha256(text) as content_hash from documents left join labels using (doc_id)),
 kept as (select * from cand where license in ('CC0-1.0', 'CC-BY-4.0') and searchable and trainable
-         and id not in (select doc_id::varchar from labels where toxic = 1 and doc_id % 2 = 0) qualify row_number() over (partition by content_hash order by seq) = 1)"""
+         and id not in (select doc_id::varchar from documents where length(text) < 200) qualify row_number() over (partition by content_hash order by seq) = 1)"""
 SNAPSHOT_FILTER = f"with {_CANDIDATES} select id, license, content_hash from kept"
 SNAPSHOT_SPLIT = """select id, b as bucket, case when b < 98 then 'train' else 'val' end as split from (
 select doc_id::varchar as id, ('0x' || substr(sha256(doc_id || '|seed-1'), 1, 2))::integer % 100 as b from documents)"""
+SNAPSHOT_DERIVED = f"""with {CONVERSATION_EVENTS}, {raw_episodes('conv')}, kept as (select * from raw where {_GATE})
+select path, turn, part, path as id, prompt as first, 'sft' as kind from kept union all select path, turn, part, path, trace[1].content, 'tooltrace' from kept"""
 LICENSES = f"with {_CANDIDATES} select license, count(*) as n from kept group by license"
 _OLD = "old as (select doc_id::varchar as id, 'old' || quality as content_hash, 'old' as source_tool, 's' as session_id_hash, null::varchar as r2_object_key, '2025' as indexed_at, '2025' as uploaded_at, 'v1' as consent_version, 'CC0-1.0' as license from labels)"
-_NEW = "new as (select doc_id::varchar as id, 'new' as content_hash, source as source_tool, 't' as session_id_hash, 'k/' || doc_id as r2_object_key, '2026' as indexed_at, '2026' as uploaded_at, 'v2' as consent_version, 'CC-BY-4.0' as license from documents where doc_id % 3 = 0)"
+_NEW = "new as (select doc_id::varchar as id, 'new' as content_hash, source as source_tool, 't' as session_id_hash, 'k/' || doc_id as r2_object_key, '2026' as indexed_at, '2026' as uploaded_at, 'v2' as consent_version, 'CC-BY-4.0' as license from documents)"
 LEDGER_UPSERT = f"""with {_OLD}, {_NEW} select coalesce(o.id, n.id) as id, coalesce(o.content_hash, n.content_hash) as content_hash, coalesce(o.source_tool, n.source_tool) as source_tool,
 coalesce(o.session_id_hash, n.session_id_hash) as session_id_hash, n.r2_object_key as r2_object_key, coalesce(n.indexed_at, o.indexed_at) as indexed_at, coalesce(n.uploaded_at, o.uploaded_at) as uploaded_at,
 coalesce(n.consent_version, o.consent_version) as consent_version, coalesce(n.license, o.license) as license from old o full join new n on o.id = n.id"""
 DEDUPE_LEDGER = f"with {_OLD}, {_NEW} select id, source_tool from new where id not in (select id from old)"
-INSERT_OR_IGNORE = f"with {_OLD}, {_NEW} select id, content_hash, uploaded_at from old union all select id, content_hash, uploaded_at from new where id not in (select id from old)"
+_TWICE = "twice as (select * from new union all select * replace ('later' as content_hash, '2027' as uploaded_at, 'CC0-1.0' as license) from new)"
+LEDGER_UPSERT_REPEATS = f"""with {_OLD}, {_NEW}, {_TWICE},
+n as (select id, arg_min(content_hash, uploaded_at) as content_hash, arg_min(source_tool, uploaded_at) as source_tool, arg_min(session_id_hash, uploaded_at) as session_id_hash, max(uploaded_at) as uploaded_at,
+      arg_max(r2_object_key, uploaded_at) as r2_object_key, arg_max(indexed_at, uploaded_at) as indexed_at, arg_max(consent_version, uploaded_at) as consent_version, arg_max(license, uploaded_at) as license from twice group by id)
+select coalesce(o.id, n.id) as id, coalesce(o.content_hash, n.content_hash) as content_hash, coalesce(o.source_tool, n.source_tool) as source_tool,
+coalesce(o.session_id_hash, n.session_id_hash) as session_id_hash, n.r2_object_key as r2_object_key, coalesce(n.indexed_at, o.indexed_at) as indexed_at, coalesce(n.uploaded_at, o.uploaded_at) as uploaded_at,
+coalesce(n.consent_version, o.consent_version) as consent_version, coalesce(n.license, o.license) as license from old o full join n on o.id = n.id"""
+INSERT_OR_IGNORE = f"""with {_OLD}, {_NEW}, {_TWICE} select id, content_hash, uploaded_at from old union all
+select id, content_hash, uploaded_at from twice where id not in (select id from old) qualify row_number() over (partition by id order by uploaded_at) = 1"""
 TOTALS = f"with {_NEW} select source_tool, count(*) as n from new group by source_tool"
 _REVOCATIONS = "rev as (select doc_id::varchar as episode_id, null::varchar as reason, printf('2026-%06d', doc_id) as revoked_at, case when doc_id % 3 = 0 then '2026' end as pushed_at, case doc_id % 3 when 0 then 'pushed' when 1 then 'pending' end as push_status from labels)"
 PENDING = f"with {_REVOCATIONS} select episode_id, revoked_at, push_status from rev where push_status is null or push_status <> 'pushed'"
-UPSERT_REVOCATIONS = f"with {_REVOCATIONS} select episode_id, case when episode_id::bigint % 2 = 0 then 'again' end as reason, revoked_at, pushed_at, case when episode_id::bigint % 2 = 0 then 'pending' else push_status end as push_status from rev"
+UPSERT_REVOCATIONS = f"with {_REVOCATIONS} select episode_id, case when toxic = 1 then 'again' end as reason, revoked_at, pushed_at, case when toxic = 1 then 'pending' else push_status end as push_status from rev join labels on episode_id = doc_id::varchar"
 BYTE_CAP = """with recursive d as (select source, doc_id, strlen(text)::bigint as size, row_number() over (partition by source order by doc_id) as rn from documents),
 walk as (select source, doc_id, size, rn, size <= 20000 as admitted, case when size <= 20000 then size else 0 end as held from d where rn = 1
          union all select d.source, d.doc_id, d.size, d.rn, w.held + d.size <= 20000, case when w.held + d.size <= 20000 then w.held + d.size else w.held end from walk w join d on d.source = w.source and d.rn = w.rn + 1)
