@@ -1,34 +1,49 @@
-"""Document blocks factorised by their own vocabulary.
+"""Document blocks factorised by their own vocabulary, and an exchange of items between blocks and parts.
 
 A block is a run of documents of bounded size within one task. It keeps its distinct words once, and every document as the
 positions of its words in that list. What has to be known globally about a word (its ids, its corpus count) is then
 exchanged once per block and distinct word, never once per occurrence.
+
+An item is a pair of block and word. Items travel packed: a row holds all items of one sender for one key. A sender makes at most
+FAN rows, however many parts there are: beyond FAN parts a first exchange brings ranges of parts together, tasks merge what they
+hold of a range up to MERGE_ITEMS items, and only these are cut by part. Answers go back to the blocks the same way, so that rows
+and steps for each block are bounded and all work is in proportion to the items.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from itertools import count
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from episodica.llm.common import materialize, materialize_bucketed, prepare
 
 #: A block is closed once it holds so many bytes of text; a single longer document makes a block of its own.
-BLOCK_BYTES = 10 << 20
-#: Pairs of block and distinct word that one part of the word exchange holds, about.
-PART_WORDS = 250_000
+BLOCK_BYTES = 24 << 20
+#: Items that one part of the exchange holds, about.
+PART_ITEMS = 250_000
+#: Rows that a sender makes at most.
+FAN = 2048
+#: Items that are merged before they are cut further.
+MERGE_ITEMS = 500_000
+#: Tasks of an exchange at most; parts beyond share tasks.
+MOST_TASKS = 20_000
 
 SCHEMA = "block bigint, doc_ids array<bigint>, sizes binary, codes binary, words array<binary>, n_words int"
 ARROW = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("codes", pa.binary()), ("words", pa.list_(pa.binary())), ("n_words", pa.int32())])
 
-DEALT_TYPES = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+ITEMS = "key int, salt int, blocks binary, counts binary, idx binary, words binary, n binary, lens binary, vals binary"
+ITEMS_ARROW = pa.schema([("key", pa.int32()), ("salt", pa.int32()), *((c, pa.binary()) for c in ("blocks", "counts", "idx", "words", "n", "lens", "vals"))])
 
 
 def squeeze(codes: np.ndarray) -> bytes:
@@ -55,76 +70,259 @@ def unsqueeze_strings(data: bytes) -> list[bytes]:
     return [whole[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)] if ends else []
 
 
-def _close(name: int, doc_ids: list, parts: list[np.ndarray], words: dict[bytes, int]) -> pa.RecordBatch:
-    codes = np.concatenate(parts) if parts else np.empty(0, np.uint32)
+# ---- blocks ----------------------------------------------------------------------------------------------------------
+
+
+def _close(name: int, doc_ids: list, sizes: np.ndarray, codes: np.ndarray, words: list[bytes]) -> pa.RecordBatch:
     order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
     rank = np.empty(len(words), np.uint32)
     rank[order] = np.arange(len(words), dtype=np.uint32)
-    listed = list(words)
-    row = [[name], [doc_ids], [np.array([len(p) for p in parts], "<u4").tobytes()], [squeeze(rank[codes])], [[listed[i] for i in order]], [len(words)]]
+    row = [[name], [doc_ids], [sizes.astype("<u4").tobytes()], [squeeze(rank[codes])], [[words[i] for i in order.tolist()]], [len(words)]]
     return pa.RecordBatch.from_arrays([pa.array(v, t.type) for v, t in zip(row, ARROW, strict=True)], schema=ARROW)
 
 
-def pack(docs: DataFrame, split: Callable[[str], list[bytes]], block_bytes: int = BLOCK_BYTES, buckets: int | None = None) -> DataFrame:
+class ListBuilder:
+    """A block under construction from a function that gives a text's words."""
+
+    def __init__(self, split: Callable[[str], list[bytes]]) -> None:
+        self.split, self.parts = split, []
+        self.words: dict[bytes, int] = defaultdict()
+        self.words.default_factory = count().__next__
+
+    def add(self, texts: pa.Array) -> None:
+        for text in texts.to_pylist():
+            found = self.split(text or "")
+            self.parts.append(np.fromiter(map(self.words.__getitem__, found), np.uint32, len(found)))
+
+    def done(self) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        return np.array(list(map(len, self.parts)), np.uint32), np.concatenate(self.parts) if self.parts else np.empty(0, np.uint32), list(self.words)
+
+
+class SpaceBuilder:
+    """The same for words between ASCII white space with A-Z lower-cased, all texts of a batch at once."""
+
+    def __init__(self) -> None:
+        self.sizes: list[np.ndarray] = []
+        self.flat: list[pa.Array] = []
+
+    def add(self, texts: pa.Array) -> None:
+        if texts.offset:  # casts and kernels may misread slices
+            texts = texts.take(pa.array(np.arange(len(texts))))
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+        flat, of = lists.flatten(), np.asarray(pc.list_parent_indices(lists))
+        real = pc.greater(pc.binary_length(flat), 0)  # the ends of a text with white space there are empty
+        self.sizes.append(np.bincount(of[np.asarray(real)], minlength=len(texts)))
+        self.flat.append(flat.filter(real))
+
+    def done(self) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        sizes = np.concatenate(self.sizes) if self.sizes else np.empty(0, np.int64)
+        encoded = pa.chunked_array(self.flat, pa.large_string()).combine_chunks().dictionary_encode()
+        encoded = encoded.combine_chunks() if isinstance(encoded, pa.ChunkedArray) else encoded
+        return sizes, np.asarray(encoded.indices).astype(np.uint32), encoded.dictionary.cast(pa.large_binary()).to_pylist()
+
+
+def pack(docs: DataFrame, builder: Callable[[], ListBuilder | SpaceBuilder], block_bytes: int = BLOCK_BYTES, buckets: int | None = None) -> DataFrame:
     """The blocks of docs (doc_id, text), as a written table (bucketed by block if so asked), so that all its readers see the same.
 
-    split gives a text's words. Null texts count as empty; null or repeated doc_ids are kept row by row.
+    A block is named by its task and its number there. Null texts count as empty; null or repeated doc_ids are kept row by row.
     """
     prepare(docs.sparkSession)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from secrets import randbits
-
-        def fresh():
-            words: dict[bytes, int] = defaultdict()
-            words.default_factory = count().__next__
-            return [], [], words, 0
-
-        ids, parts, words, held = fresh()
+        names = count(TaskContext.get().partitionId() << 24)
+        made, ids, held = builder(), [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = split(text or "")
-                ids.append(doc_id)
-                parts.append(np.fromiter(map(words.__getitem__, found), np.uint32, len(found)))
-                held += len(text or "") + 16
+            sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(1)), 0)) + 16
+            at = 0
+            while at < batch.num_rows:
+                room = np.searchsorted(np.cumsum(sizes[at:]), block_bytes - held)
+                upto = min(at + int(room) + 1, batch.num_rows)
+                made.add(batch.column(1).slice(at, upto - at))
+                ids += batch.column(0).slice(at, upto - at).to_pylist()
+                held += int(sizes[at:upto].sum())
+                at = upto
                 if held >= block_bytes:
-                    yield _close(randbits(63), ids, parts, words)  # readers only see the attempt that was committed
-                    ids, parts, words, held = fresh()
+                    yield _close(next(names), ids, *made.done())
+                    made, ids, held = builder(), [], 0
         if ids:
-            yield _close(randbits(63), ids, parts, words)
+            yield _close(next(names), ids, *made.done())
 
     packed = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(rows, SCHEMA)
     return materialize_bucketed(packed, "blocks", "block", buckets) if buckets else materialize(packed, "blocks")
 
 
-def send_words(packed: DataFrame, count: Callable[[list, np.ndarray, np.ndarray, int], np.ndarray] | None = None) -> DataFrame:
-    """The distinct words of each block, dealt out by the word: part, block, idx (places in the block's list), words, n.
+# ---- items -----------------------------------------------------------------------------------------------------------
 
-    Equal words of all blocks meet in one part. The number of parts follows the number of pairs of block and word, so a part keeps
-    its size whatever the corpus. Rows of a part stand together. count(doc_ids, sizes, codes, number of words) gives what n sends
-    along with each word (numbers below 2**32); without it n is null.
-    """
-    spark = packed.sparkSession
-    pairs = packed.agg(F.sum("n_words")).first()[0] or 0
-    parts = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-pairs // PART_WORDS))
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                block, words = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
-                n = None
-                if count is not None:
-                    n = count(batch.column(2)[k].as_py(), np.frombuffer(batch.column(3)[k].as_py(), "<u4"), unsqueeze(batch.column(4)[k].as_py()), len(words))
-                part = np.fromiter(map(crc32, words), np.uint32, len(words)) % parts
-                order = np.argsort(part, kind="stable")
-                cuts = np.searchsorted(part[order], np.arange(parts + 1)).tolist()
-                rows = []
-                for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                    if a < b:
-                        own = np.array(sorted(order[a:b].tolist(), key=words.__getitem__), np.uint32)
-                        rows.append((p, block, squeeze(own), squeeze_strings([words[i] for i in own.tolist()]), None if n is None else squeeze(n[own])))
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows, strict=True), DEALT_TYPES, strict=True)] if rows else [pa.array([], t) for t in DEALT_TYPES], ["part", "block", "idx", "words", "n"])
-
-    columns = ["block", "words"] + ([] if count is None else ["doc_ids", "sizes", "codes"])
-    dealt = packed.select(*columns).mapInArrow(deal, "part int, block bigint, idx binary, words binary, n binary")
-    return dealt.repartition(min(parts, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))), "part").sortWithinPartitions("part")
+@dataclass
+class Items:
+    """Items of blocks: idx is the word's place in the block's list. Besides either words and maybe n (a number for each), or an
+    answer of lens numbers, all answers' numbers being vals."""
+
+    block: np.ndarray
+    idx: np.ndarray
+    words: list[bytes] | None = None
+    n: np.ndarray | None = None
+    lens: np.ndarray | None = None
+    vals: np.ndarray | None = None
+
+    def take(self, order: np.ndarray) -> Items:
+        lens = vals = None
+        if self.lens is not None:
+            lens = self.lens[order]
+            starts = np.cumsum(self.lens, dtype=np.int64) - self.lens
+            vals = self.vals[np.repeat(starts[order] - (np.cumsum(lens, dtype=np.int64) - lens), lens) + np.arange(int(lens.sum()))]
+        return Items(self.block[order], self.idx[order], None if self.words is None else [self.words[i] for i in order.tolist()], None if self.n is None else self.n[order], lens, vals)
+
+    def row(self, key: int, salt: int = 0) -> tuple:
+        """Packed; items of one block must stand together."""
+        first = np.flatnonzero(np.concatenate(([True], self.block[1:] != self.block[:-1])))
+        packed = lambda x: None if x is None else squeeze(x)
+        return key, salt, self.block[first].astype("<i8").tobytes(), squeeze(np.diff(np.append(first, len(self.block)))), squeeze(self.idx), None if self.words is None else squeeze_strings(self.words), packed(self.n), packed(self.lens), packed(self.vals)
+
+
+def unpack(row: tuple) -> Items:
+    """The items of a row's columns from blocks on."""
+    blocks, counts, idx, words, n, lens, vals = row
+    opened = lambda x: None if x is None else unsqueeze(x)
+    return Items(np.repeat(np.frombuffer(blocks, "<i8"), unsqueeze(counts)), unsqueeze(idx), None if words is None else unsqueeze_strings(words), opened(n), opened(lens), opened(vals))
+
+
+def joined(parts: list[Items]) -> Items:
+    if len(parts) == 1:
+        return parts[0]
+    whole = lambda name: None if getattr(parts[0], name) is None else np.concatenate([getattr(p, name) for p in parts])
+    return Items(whole("block"), whole("idx"), None if parts[0].words is None else [w for p in parts for w in p.words], whole("n"), whole("lens"), whole("vals"))
+
+
+def cut(items: Items, key: np.ndarray, salt: int = 0) -> list[tuple]:
+    """A row for each key that occurs; in it the items keep their order, but those of a block stand together."""
+    order = np.lexsort((items.block, key)) if len(items.block) and items.block[0] != items.block[-1] else np.argsort(key, kind="stable")
+    items, key = items.take(order), key[order]
+    cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)] if len(key) else []
+    starts = None if items.lens is None else np.concatenate(([0], np.cumsum(items.lens, dtype=np.int64)))
+    part = lambda x, a, b: None if x is None else x[a:b]
+    return [
+        Items(items.block[a:b], items.idx[a:b], part(items.words, a, b), part(items.n, a, b), part(items.lens, a, b), None if starts is None else items.vals[starts[a] : starts[b]]).row(int(key[a]), salt)
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True)
+    ]
+
+
+def batch_of(rows: list[tuple], schema: pa.Schema = ITEMS_ARROW) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, tuple]]:
+    """Key and packed columns of each row, one at a time."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.column(0)[k].as_py(), tuple(batch.column(c)[k].as_py() for c in range(2, 9))
+
+
+def merged(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, Items]]:
+    """Rows with equal keys (which stand together) as one, up to about most items."""
+    held: list[Items] = []
+    key, size = None, 0
+    for k, row in rows_of(batches):
+        if held and (k != key or size >= most):
+            yield key, joined(held)
+            held, size = [], 0
+        key = k
+        held.append(unpack(row))
+        size += len(held[-1].idx)
+    if held:
+        yield key, joined(held)
+
+
+def _gather(rows: DataFrame, tasks: int, *salt: Column | str) -> DataFrame:
+    return rows.repartition(max(1, min(tasks, MOST_TASKS)), "key", *salt).sortWithinPartitions("key")
+
+
+def part_of(words: list[bytes], parts: int) -> np.ndarray:
+    return np.fromiter(map(crc32, words), np.uint32, len(words)).astype(np.int64) % parts
+
+
+@dataclass(frozen=True)
+class Exchange:
+    """The sizes of an exchange: items in all, parts, rows of a sender, items merged at a time."""
+
+    items: int
+    parts: int
+    fan: int = FAN
+    merge: int = MERGE_ITEMS
+
+    @classmethod
+    def of(cls, packed: DataFrame, part_items: int = PART_ITEMS, fan: int = FAN, merge: int = MERGE_ITEMS) -> Exchange:
+        items = packed.agg(F.sum("n_words")).first()[0] or 0
+        return cls(items, max(2 * int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-items // part_items)), fan, merge)
+
+    @property
+    def deep(self) -> bool:
+        return self.parts > self.fan
+
+    @property
+    def salts(self) -> int:
+        """Tasks that share a range, so that each has about enough of it to merge."""
+        return max(1, self.items // (self.fan * self.merge))
+
+    def send_words(self, packed: DataFrame, count: Callable[[list, np.ndarray, np.ndarray, int], np.ndarray] | None = None) -> DataFrame:
+        """The distinct words of each block as items, dealt out by the word: equal words of all blocks have one key.
+
+        Rows of a key stand together. count(doc_ids, sizes, codes, number of words) gives n for each word.
+        """
+        parts, fan, merge = self.parts, self.fan, self.merge
+
+        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for k in range(batch.num_rows):
+                    block, listed = batch.column(0)[k].as_py(), batch.column(1)[k].values
+                    order = np.asarray(pc.sort_indices(listed)).astype(np.int64)  # neighbours compress better
+                    words = listed.take(pa.array(order)).to_pylist()
+                    n = None
+                    if count is not None:
+                        n = count(batch.column(2)[k].as_py(), np.frombuffer(batch.column(3)[k].as_py(), "<u4"), unsqueeze(batch.column(4)[k].as_py()), len(words))[order]
+                    yield batch_of(cut(Items(np.full(len(words), block), order.astype(np.uint32), words, n), part_of(words, parts) % fan, block % parts))
+
+        def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, items in merged(batches, merge):
+                yield batch_of(cut(items, part_of(items.words, parts)))
+
+        columns = ["block", "words"] + ([] if count is None else ["doc_ids", "sizes", "codes"])
+        dealt = packed.select(*columns).mapInArrow(deal, ITEMS)
+        if self.deep:
+            dealt = _gather(dealt, -(-self.items // merge), F.col("salt") % self.salts).mapInArrow(split, ITEMS)
+        return _gather(dealt, parts)
+
+    def send_back(self, answers: DataFrame, tasks: int) -> DataFrame:
+        """block, table: the answers (rows of items) gathered by block, in so many partitions by block."""
+        fan, merge = self.fan, self.merge
+
+        def to_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for key, items in merged(batches, merge):
+                yield batch_of(cut(items, items.block % fan, key))
+
+        def to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, items in merged(batches, merge):
+                yield batch_of(cut(items, np.unique(items.block, return_inverse=True)[1]))
+
+        if self.deep:
+            answers = _gather(answers.mapInArrow(to_ranges, ITEMS), -(-self.items // merge), F.col("salt") % self.salts).mapInArrow(to_blocks, ITEMS)
+        own = answers.mapInArrow(_named, ANSWERS)
+        return own.repartition(tasks, "block").groupBy("block").agg(F.collect_list(F.struct("idx", "lens", "vals")).alias("table"))
+
+
+ANSWERS = "block bigint, idx binary, lens binary, vals binary"
+
+
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one block each, with its name."""
+    for batch in batches:
+        names = [int(np.frombuffer(b, "<i8")[0]) for b in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), batch.column(4), batch.column(7), batch.column(8)], ["block", "idx", "lens", "vals"])
+
+
+def answers_of(table: list[dict] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """idx, lens and vals of a block's table."""
+    pieces = [[unsqueeze(row[k]) for k in ("idx", "lens", "vals")] for row in table or []]
+    return tuple(np.concatenate([p[k] for p in pieces]).astype(np.int64) if pieces else np.empty(0, np.int64) for k in range(3))

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from episodica.llm import blocks as bl
 from episodica.llm.common import prepare, text_or_empty
 
+#: Buckets of the block table at most; Spark refuses more than 100,000.
+MOST_BUCKETS = 20_000
 SCHEMA = "doc_id bigint, n_tokens bigint, ids binary"
 
 
@@ -57,38 +59,37 @@ def _vocabulary(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(load_ranks(path))
 
 
-def encode(docs: DataFrame, vocabulary: str, pattern: str, block_bytes: int = bl.BLOCK_BYTES, decoded: bool = False) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str, pattern: str, block_bytes: int = bl.BLOCK_BYTES, decoded: bool = False, **sizes: int) -> DataFrame:
     """doc_id, n_tokens long, ids binary (little-endian unsigned 32-bit) for each row of docs (doc_id, text).
 
     With decoded, the ids are decoded again in the same pass (see decode), which spares a second worker for each task.
 
     Each match of pattern is merged separately by the ranks in the file vocabulary; there are no special tokens. Null and empty
-    texts give no ids. Repeated rows and null doc_ids are encoded row by row; other columns are ignored.
+    texts give no ids. Repeated rows and null doc_ids are encoded row by row; other columns are ignored. sizes are those of the
+    exchange (``blocks.Exchange.of``).
     """
     ranks = _vocabulary(docs.sparkSession, vocabulary)
     own = docs.select("doc_id", text_or_empty().alias("text"))
-    buckets = 2 * max(docs.sparkSession.sparkContext.defaultParallelism, own.rdd.getNumPartitions())
-    packed = bl.pack(own, partial(pre_tokens, pattern), block_bytes, buckets)
+    buckets = min(MOST_BUCKETS, 2 * max(docs.sparkSession.sparkContext.defaultParallelism, own.rdd.getNumPartitions()))
+    packed = bl.pack(own, partial(bl.ListBuilder, partial(pre_tokens, pattern)), block_bytes, buckets)
+    exchange = bl.Exchange.of(packed, **sizes)
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merge = _encoder(vocabulary, ranks.value, pattern)._core_bpe.encode_single_piece
         part, known = None, {}
-        for batch in batches:
-            out = []
-            for p, data in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                if p != part:
-                    part, known = p, {}
-                words = bl.unsqueeze_strings(data)
-                for word in words:
-                    if word not in known:
-                        known[word] = merge(word)
-                ids = [known[word] for word in words]
-                out.append((bl.squeeze(np.fromiter(map(len, ids), np.uint32, len(ids))), bl.squeeze(np.fromiter(chain.from_iterable(ids), np.uint32))))
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array([n for n, _ in out], pa.binary()), pa.array([i for _, i in out], pa.binary())], ["block", "idx", "n", "ids"])
-
-    encoded = bl.send_words(packed).mapInArrow(encode_words, "block bigint, idx binary, n binary, ids binary")
-    per_block = encoded.repartition(buckets, "block").groupBy("block").agg(F.collect_list(F.struct("idx", "n", "ids")).alias("table"))
-    joined = packed.select("block", "doc_ids", "sizes", "codes").join(per_block, "block", "left")
+        for key, (blocks, counts, idx, words, *_) in bl.rows_of(batches):
+            if key != part:
+                part, known = key, {}
+            words = bl.unsqueeze_strings(words)
+            for word in words:
+                if word not in known:
+                    known[word] = merge(word)
+            ids = [known[word] for word in words]
+            lens, vals = np.fromiter(map(len, ids), np.uint32, len(ids)), np.fromiter(chain.from_iterable(ids), np.uint32)
+            yield bl.batch_of([(key, 0, blocks, counts, idx, None, None, bl.squeeze(lens), bl.squeeze(vals))])
+
+    encoded = exchange.send_words(packed).mapInArrow(encode_words, bl.ITEMS)
+    joined = packed.select("block", "doc_ids", "sizes", "codes").join(exchange.send_back(encoded, buckets), "block", "left")
     joined = joined.select("doc_ids", "sizes", "codes", "table")
     if not decoded:
         return joined.mapInArrow(_assemble, SCHEMA)
@@ -105,8 +106,7 @@ def _documents(doc_ids: list, sizes: bytes, codes: bytes, table: list[dict] | No
     """The documents of one block, a few at a time."""
     ends = np.cumsum(np.frombuffer(sizes, "<u4"), dtype=np.int64).tolist()
     codes = bl.unsqueeze(codes)
-    pieces = [tuple(bl.unsqueeze(row[k]).astype(np.int64) for k in ("idx", "n", "ids")) for row in table or []]
-    idx, n, flat = (np.concatenate([p[k] for p in pieces]) if pieces else np.empty(0, np.int64) for k in range(3))
+    idx, n, flat = bl.answers_of(table)
     if len(codes) and int(codes.max()) >= len(idx):
         raise ValueError("a block lacks the ids of some of its words")
     lengths, starts = np.empty_like(n), np.empty_like(n)
@@ -143,8 +143,32 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(lambda batches: _decode(batches, ranks.value), f"{SCHEMA}, decoded binary")
 
 
+def token_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The token-byte table: where the bytes of each id begin, how many they are (-1: no such id), and all bytes."""
+    tokens = sorted(ranks.items(), key=lambda x: x[1])
+    starts, lengths = np.zeros(tokens[-1][1] + 1 if tokens else 0, np.int64), np.full(tokens[-1][1] + 1 if tokens else 0, -1)
+    at = 0
+    for token, i in tokens:
+        starts[i], lengths[i] = at, len(token)
+        at += len(token)
+    return starts, lengths, np.frombuffer(b"".join(t for t, _ in tokens), np.uint8)
+
+
 def _decode(batches: Iterator[pa.RecordBatch], ranks: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
-    token_bytes = {i: token for token, i in ranks.items()}.__getitem__
+    """An index join of the ids of each text with the token-byte table."""
+    starts, lengths, table = token_table(ranks)
+
+    def bytes_of(ids: bytes) -> bytes:
+        own = np.frombuffer(ids, "<u4")
+        if len(own) and (int(own.max()) >= len(lengths) or int(lengths[own].min()) < 0):
+            raise ValueError("an id that the vocabulary lacks")
+        out, step = [], 1 << 20
+        for at in range(0, len(own), step):
+            part = own[at : at + step]
+            n = lengths[part]
+            out.append(table[np.repeat(starts[part] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))].tobytes())
+        return b"".join(out)
+
     for batch in batches:
-        texts = [None if ids is None else b"".join(map(token_bytes, np.frombuffer(ids, "<u4").tolist())) for ids in batch.column(2).to_pylist()]
+        texts = [None if ids is None else bytes_of(ids) for ids in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, "decoded"])

@@ -7,21 +7,20 @@ count and cut into classes of CLASS neighbours. With q = P1[previous word] + P2[
     p(outcome | context) = softmax over classes (q . A + a)  x  softmax within the class (q . B + b)
 
 Both softmaxes are computed in full by batched matrix products, so scores are normalised. An "other" word costs its own smoothed
-count among the other words besides. Parameters are learned by noise-contrastive estimation with unigram noise: every task
-trains on its own blocks from common parameters, the results are averaged (weighted by tokens), and that is repeated ROUNDS times.
-Every position of every training text is learned from in one of the rounds, so what is learned from grows with the corpus.
+count among the other words besides. Parameters are learned by noise-contrastive estimation with unigram noise, shared by the
+positions of a batch: every block trains from common parameters, the results are averaged (weighted by tokens), and that is
+repeated ROUNDS times. Every position of every training text is learned from in one of the rounds, so what is learned from grows
+with the corpus. Blocks are shards by the hash of the document, so scores don't depend on how the input is partitioned.
 """
 
 from __future__ import annotations
 
-import heapq
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,11 +30,13 @@ from episodica.llm.common import materialize, text_or_empty
 MODEL_WORDS = 4094
 CLASS = 64
 DIM = 24
-NOISE = 6
+NOISE = 16
 ROUNDS = 2
-BATCH = 1024
+BATCH = 2048
 RATE = 0.15
 SMOOTH = 0.1
+#: Bytes of text that are dealt to one shard, about; they make one block, and so one unit of learning.
+SHARD_BYTES = 20 << 20
 #: Parameter blobs are averaged in so many slices, and this many at a time.
 SLICES = FAN_IN = 64
 
@@ -94,7 +95,7 @@ class Model:
     def log10_probs(self, one: np.ndarray, two: np.ndarray, target: np.ndarray, rows: int = 1 << 14) -> np.ndarray:
         """Of target after the outcomes two, one (one stands last)."""
         out = np.empty(len(target))
-        order = np.argsort(target // CLASS, kind="stable")
+        order = np.argsort((target // CLASS).astype(np.uint16), kind="stable")
         for at in range(0, len(order), rows):
             own = order[at : at + rows]
             q = self.p1[one[own]] + self.p2[two[own]]
@@ -109,54 +110,85 @@ class Model:
         return out / np.log(10)
 
     def train(self, one: np.ndarray, two: np.ndarray, target: np.ndarray, rng: np.random.Generator, state: dict[str, np.ndarray]) -> None:
-        """One pass of stochastic gradient steps on the noise-contrastive loss, with a step size by row (Adagrad)."""
-        cdf, log_class = np.cumsum(self.prob), np.log(NOISE * self.class_prob)
-        class_cdf = np.cumsum(self.class_prob)
-        low = np.concatenate(([0], class_cdf[:-1]))
-        log_inner = np.log(NOISE) + self.b0_noise
+        """One pass of stochastic gradient steps on the noise-contrastive loss, with a step size by row (Adagrad).
+
+        A batch shares its noise: NOISE classes, and NOISE words within each class that it meets, so that all noise scores and their
+        gradients are matrix products.
+        """
+        class_cdf, cdf = np.cumsum(self.class_prob), np.cumsum(self.prob)
+        inner = np.maximum(self.prob / np.repeat(self.class_prob, CLASS), 1e-30)
+        log_class, log_inner = (np.log(NOISE * x).astype(np.float32) for x in (self.class_prob, inner))
         shuffled = rng.permutation(len(target))
         for at in range(0, len(target), BATCH):
             own = shuffled[at : at + BATCH]
+            own = own[np.argsort(target[own].astype(np.uint16), kind="stable")]  # targets, and so classes, stand together
             i, j, w = one[own], two[own], target[own]
-            q = self.p1[i] + self.p2[j]
             kind = w // CLASS
-            noise_k = np.minimum(np.searchsorted(class_cdf, rng.random((len(own), NOISE)) * class_cdf[-1]), len(class_cdf) - 1)
-            noise_w = np.searchsorted(cdf, low[kind][:, None] + rng.random((len(own), NOISE)) * self.class_prob[kind][:, None])
-            noise_w = np.clip(noise_w, (kind * CLASS)[:, None], (kind * CLASS + CLASS - 1)[:, None])
-            grad_q = np.zeros_like(q)
-            for table, bias, offset, true, noise in (("a", "a0", log_class, kind, noise_k), ("b", "b0", log_inner, w, noise_w)):
-                ids = np.concatenate((true[:, None], noise), axis=1)
-                rows = getattr(self, table)[ids]
-                score = np.einsum("nd,nkd->nk", q, rows) + getattr(self, bias)[ids] - offset[ids]
-                error = -1 / (1 + np.exp(-np.clip(score, -30, 30)))
-                error[:, 0] += 1
-                error = error.astype(np.float32)
-                grad_q += np.einsum("nk,nkd->nd", error, rows)
-                grad = (error[:, :, None] * q[:, None, :]).reshape(-1, DIM)
-                self._step(table, ids.ravel(), grad, state)
-                self._step(bias, ids.ravel(), error.ravel()[:, None], state)
-            self._step("p1", i, grad_q, state)
-            self._step("p2", j, grad_q, state)
-
-    @property
-    def b0_noise(self) -> np.ndarray:
-        with np.errstate(divide="ignore"):
-            return np.maximum(np.log(self.prob / np.repeat(self.class_prob, CLASS)), -1e4)
-
-    def _step(self, name: str, ids: np.ndarray, grad: np.ndarray, state: dict[str, np.ndarray]) -> None:
-        order = np.argsort(ids, kind="stable")
+            q = self.p1[i] + self.p2[j]
+            class_runs, word_runs = (np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) for x in (kind, w))
+            noise_k = np.minimum(np.searchsorted(class_cdf, rng.random(NOISE) * class_cdf[-1]), len(class_cdf) - 1)
+            # classes
+            k = kind[class_runs]
+            error = _miss(np.einsum("nd,nd->n", q, self.a[kind]) + (self.a0 - log_class)[kind])
+            noise = _miss_noise(q @ self.a[noise_k].T + (self.a0 - log_class)[noise_k])
+            grad_q = error[:, None] * self.a[kind] + noise @ self.a[noise_k]
+            rows, grads, sums = [k, noise_k], [np.add.reduceat(error[:, None] * q, class_runs, axis=0), noise.T @ q], [np.add.reduceat(error, class_runs), noise.sum(0)]
+            # words within their classes
+            own_b = self.b[w]
+            error = _miss(np.einsum("nd,nd->n", q, own_b) + (self.b0 - log_inner)[w])
+            grad_q += error[:, None] * own_b
+            places = np.searchsorted(cdf, (class_cdf[k] - self.class_prob[k])[:, None] + rng.random((len(k), NOISE)) * self.class_prob[k][:, None])
+            ids = np.clip(places, (k * CLASS)[:, None], (k * CLASS + CLASS - 1)[:, None])
+            tables = self.b[ids]
+            runs = list(zip(class_runs.tolist(), [*class_runs[1:].tolist(), len(w)], strict=True))
+            noise = np.empty((len(w), NOISE), np.float32)
+            for (lo, hi), table in zip(runs, tables, strict=True):
+                np.matmul(q[lo:hi], table.T, out=noise[lo:hi])
+            noise = _miss_noise(noise + np.repeat(self.b0[ids] - log_inner[ids], [hi - lo for lo, hi in runs], axis=0))
+            b_grads = np.empty((len(runs), NOISE, DIM), np.float32)
+            for (lo, hi), table, out in zip(runs, tables, b_grads, strict=True):
+                grad_q[lo:hi] += noise[lo:hi] @ table
+                np.matmul(noise[lo:hi].T, q[lo:hi], out=out)
+            rows_b = np.concatenate((w[word_runs], ids.ravel()))
+            grads_b = np.concatenate((np.add.reduceat(error[:, None] * q, word_runs, axis=0), b_grads.reshape(-1, DIM)))
+            sums_b = np.concatenate((np.add.reduceat(error, word_runs), np.add.reduceat(noise, class_runs, axis=0).ravel()))
+            self._step("a", "a0", np.concatenate(rows), np.concatenate(grads), np.concatenate(sums), state)
+            self._step("b", "b0", rows_b, grads_b, sums_b, state)
+            self._step("p1", None, i, grad_q, None, state)
+            self._step("p2", None, j, grad_q, None, state)
+
+    def _step(self, name: str, bias: str | None, ids: np.ndarray, grad: np.ndarray, bias_grad: np.ndarray | None, state: dict[str, np.ndarray]) -> None:
+        order = np.argsort(ids.astype(np.uint16), kind="stable")
         ids = ids[order]
         first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
-        total, rows = np.add.reduceat(grad[order], first, axis=0), ids[first]
-        held = state.setdefault(name, np.full(len(getattr(self, name)), 1e-2))
-        held[rows] += (total**2).mean(axis=1)
-        step = RATE * total / np.sqrt(held[rows])[:, None]
-        getattr(self, name)[rows] += step if getattr(self, name).ndim == 2 else step[:, 0]
+        rows = ids[first]
+        for key, total in ((name, np.add.reduceat(grad[order], first, axis=0)), (bias, None if bias_grad is None else np.add.reduceat(bias_grad[order], first))):
+            if total is None:
+                continue
+            table = getattr(self, key)
+            held = state.setdefault(key, np.full(len(table), 1e-2, np.float32))
+            held[rows] += total**2 if total.ndim == 1 else (total**2).mean(axis=1)
+            step = np.float32(RATE) / np.sqrt(held[rows])
+            table[rows] += total * (step if total.ndim == 1 else step[:, None])
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def _miss(score: np.ndarray) -> np.ndarray:
+    """What data lacks to be told from noise."""
+    return (1 - _sigmoid(score)).astype(np.float32)
+
+
+def _miss_noise(score: np.ndarray) -> np.ndarray:
+    return (-_sigmoid(score)).astype(np.float32)
 
 
 def _logsumexp(x: np.ndarray) -> np.ndarray:
     top = x.max(axis=1)
-    return top + np.log(np.exp(x - top[:, None]).sum(axis=1))
+    shifted = x - top[:, None]
+    return top + np.log(np.exp(shifted, out=shifted).sum(axis=1))
 
 
 def _runs(x: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -186,6 +218,15 @@ def _sequences(sizes: np.ndarray, codes: np.ndarray, outcome: np.ndarray, model:
 # ---- over the corpus -------------------------------------------------------------------------------------------------
 
 
+def shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """docs (doc_id, text) dealt out by the hash of id and text to shards of about shard_bytes and put in order there, so that blocks,
+    and what is learned from each, are the same however the input is partitioned."""
+    own = docs.select(F.col("doc_id").cast("bigint"), text_or_empty().alias("text"))
+    size = own.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
+    hashed = own.withColumn("h", F.xxhash64("doc_id", "text"))
+    return hashed.repartition(max(1, -(-size // shard_bytes)), "h").sortWithinPartitions("h", "doc_id").drop("h")
+
+
 def _training_counts(doc_ids: list, sizes: np.ndarray, codes: np.ndarray, n_words: int) -> np.ndarray:
     """How often each word of a block stands in its training texts."""
     train = np.array([not held_out(i) for i in doc_ids], bool)
@@ -195,51 +236,47 @@ def _training_counts(doc_ids: list, sizes: np.ndarray, codes: np.ndarray, n_word
 def _count_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The corpus counts of the words of each part.
 
-    For every block of a part a row (block, idx, c) answers it; one row more has the part's distinct words, tokens and most
-    frequent words. A part has a bounded size, so its rows are held until it is complete.
+    Every row of items is answered by counts (two numbers of 32 bits each); one row more has the part's distinct words, tokens and
+    most frequent words. What is held of a part are its distinct words, and its rows as they came, packed: a word that every block
+    has takes some bytes of each.
     """
     held: list[tuple] = []
     part = None
 
     def close():
         total: Counter[bytes] = Counter()
-        for _, _, words, n in held:
-            for word, c in zip(bl.unsqueeze_strings(words), bl.unsqueeze(n).tolist(), strict=True):
+        for row in held:
+            for word, c in zip(bl.unsqueeze_strings(row[3]), bl.unsqueeze(row[4]).tolist(), strict=True):
                 if c:
                     total[word] += c
-        rows = [(block, idx, _pack64(np.fromiter(map(total.__getitem__, bl.unsqueeze_strings(words)), np.int64)), None, None, None, None) for block, idx, words, _ in held]
-        top = heapq.nsmallest(MODEL_WORDS, total.items(), key=lambda x: (-x[1], x[0]))
-        rows.append((None, None, None, len(total), sum(total.values()), [w for w, _ in top], [c for _, c in top]))
-        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows, strict=True), COUNT_TYPES, strict=True)], COUNT_NAMES)
-
-    for batch in batches:
-        for p, *row in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-            if held and p != part:
-                yield close()
-                held = []
-            part = p
-            held.append(tuple(row))
+        for blocks, counts, idx, words, *_ in held:
+            c = np.array(list(map(total.__getitem__, bl.unsqueeze_strings(words))), np.int64)
+            halves = np.stack((c & 0xFFFFFFFF, c >> 32), axis=1).ravel()
+            yield bl.batch_of([(part, 0, blocks, counts, idx, None, None, bl.squeeze(np.full(len(c), 2)), bl.squeeze(halves), None, None, None, None)], COUNTS_ARROW)
+        known, c = list(total), np.fromiter(total.values(), np.int64, len(total))
+        near = range(len(known)) if len(known) <= MODEL_WORDS else np.flatnonzero(c >= np.partition(c, -MODEL_WORDS)[-MODEL_WORDS]).tolist()
+        top = sorted(((known[i], int(c[i])) for i in near), key=lambda x: (-x[1], x[0]))[:MODEL_WORDS]
+        yield bl.batch_of([(part, *[None] * 8, len(total), int(c.sum()), [w for w, _ in top], [c for _, c in top])], COUNTS_ARROW)
+
+    for key, row in bl.rows_of(batches):
+        if held and key != part:
+            yield from close()
+            held = []
+        part = key
+        held.append(row)
     if held:
-        yield close()
-
-
-COUNTS = "block bigint, idx binary, c binary, kinds bigint, tokens bigint, top array<binary>, top_c array<bigint>"
-COUNT_NAMES = [c.split()[0] for c in COUNTS.split(", ")]
-COUNT_TYPES = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
-
+        yield from close()
 
-def _pack64(x: np.ndarray) -> bytes:
-    return zlib.compress(x.astype("<i8").tobytes(), 1)
 
-
-def _unpack64(data: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data), "<i8")
+COUNTS = f"{bl.ITEMS}, kinds bigint, tokens bigint, top array<binary>, top_c array<bigint>"
+COUNTS_ARROW = pa.schema([*bl.ITEMS_ARROW, ("kinds", pa.int64()), ("tokens", pa.int64()), ("top", pa.list_(pa.binary())), ("top_c", pa.list_(pa.int64()))])
 
 
 def _average(parts: DataFrame, size: int) -> np.ndarray | None:
-    """The mean of the parameters by weight: FAN_IN blobs of a slice at a time, until one is left."""
+    """The mean of the parameters by weight: FAN_IN blobs of a slice at a time, in the order of their slots, until one is left."""
 
     def mean(key, table):
+        table = table.sort_by("slot")
         weights = np.array(table.column("weight").to_pylist(), float)
         blobs = np.stack([np.frombuffer(b, "<f4") for b in table.column("blob").to_pylist()])
         got = (weights[:, None] * blobs).sum(0) / max(weights.sum(), 1e-9)
@@ -249,7 +286,7 @@ def _average(parts: DataFrame, size: int) -> np.ndarray | None:
     if most is None:
         return None
     while True:
-        parts = parts.withColumn("slot", F.floor(F.col("slot") / FAN_IN).cast("bigint")).groupBy("slice", "slot").applyInArrow(mean, "slot bigint, slice int, weight double, blob binary")
+        parts = parts.withColumn("up", F.floor(F.col("slot") / FAN_IN).cast("bigint")).groupBy("slice", "up").applyInArrow(mean, "slot bigint, slice int, weight double, blob binary")
         most //= FAN_IN
         if not most:
             break
@@ -260,39 +297,40 @@ def _average(parts: DataFrame, size: int) -> np.ndarray | None:
 
 def fit(packed: DataFrame, top: list[tuple[bytes, int]], texts: int, tokens: int, rounds: int = ROUNDS) -> Model:
     """The model of the training texts in packed. top: the model's words and their counts; texts: how many training texts there
-    are; tokens: how many words they have."""
+    are; tokens: how many words they have. Every block is learned from on its own, from common parameters."""
     known = top
     model = Model([("other", tokens - sum(c for _, c in known)), ("end", texts), *known])
     size = len(model.flat())
     width = -(-size // SLICES)
+    # a block's slot is its shard, or, where a shard has several blocks, they make a first group of their own
+    alone = not packed.agg(F.max(F.col("block").bitwiseAND(F.lit((1 << 24) - 1)))).first()[0]
+    slot = F.shiftright("block", 24) if alone else F.shiftright("block", 24) * FAN_IN + F.col("block") % FAN_IN
     for number in range(rounds):
         shared = packed.sparkSession.sparkContext.broadcast(model)  # of a fixed size
 
         def learn(batches: Iterator[pa.RecordBatch], shared=shared, number=number) -> Iterator[pa.RecordBatch]:
-            own, base = None, shared.value
-            seen, state = 0, {}
+            base = shared.value
             for batch in batches:
                 for k in range(batch.num_rows):
-                    if own is None:
-                        own = Model.__new__(Model)
-                        own.__dict__.update(base.__dict__)
-                        own.load(base.flat())
+                    own = Model.__new__(Model)
+                    own.__dict__.update(base.__dict__)
+                    own.load(base.flat())
                     sizes = np.frombuffer(batch.column(1)[k].as_py(), "<u4")
                     train = np.array([not held_out(i) for i in batch.column(0)[k].as_py()], bool)
                     one, two, target, text = _sequences(sizes, bl.unsqueeze(batch.column(2)[k].as_py()), own.outcomes(batch.column(3)[k].as_py()), own)
                     rng = np.random.default_rng([len(target), number])
                     picked = np.flatnonzero(train[text] & (np.arange(len(target)) % rounds == number))
-                    own.train(one[picked], two[picked], target[picked], rng, state)
-                    seen += len(picked)
-            if seen:
-                flat = np.pad(own.flat(), (0, width * SLICES - size)).astype("<f4").reshape(SLICES, width)
-                slot = TaskContext.get().partitionId()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([slot] * SLICES, pa.int64()), pa.array(range(SLICES), pa.int32()), pa.array([float(seen)] * SLICES), pa.array([row.tobytes() for row in flat], pa.binary())],
-                    ["slot", "slice", "weight", "blob"],
-                )
-
-        parts = packed.select("doc_ids", "sizes", "codes", "words").mapInArrow(learn, "slot bigint, slice int, weight double, blob binary")
+                    if not len(picked):
+                        continue
+                    own.train(one[picked], two[picked], target[picked], rng, {})
+                    flat = np.pad(own.flat(), (0, width * SLICES - size)).astype("<f4").reshape(SLICES, width)
+                    at = batch.column(4)[k].as_py()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([at] * SLICES, pa.int64()), pa.array(range(SLICES), pa.int32()), pa.array([float(len(picked))] * SLICES), pa.array([row.tobytes() for row in flat], pa.binary())],
+                        ["slot", "slice", "weight", "blob"],
+                    )
+
+        parts = packed.select("doc_ids", "sizes", "codes", "words", slot.cast("bigint").alias("slot")).mapInArrow(learn, "slot bigint, slice int, weight double, blob binary")
         mean = _average(materialize(parts, "parameters"), size)
         if mean is not None:
             model.load(mean)
@@ -316,15 +354,17 @@ def most_frequent(counts: DataFrame, n: int) -> list[tuple[bytes, int]]:
     return [(bytes(r["word"]), r["c"]) for r in counts.filter(level >= least).orderBy(F.desc("c"), "word").limit(n).collect()]
 
 
-def score(docs: DataFrame, rounds: int = ROUNDS, block_bytes: int = bl.BLOCK_BYTES) -> DataFrame:
+def score(docs: DataFrame, rounds: int = ROUNDS, block_bytes: int = bl.BLOCK_BYTES, shard_bytes: int = SHARD_BYTES, **sizes: int) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of docs (doc_id, text).
 
     Training texts are those with held_out false. base_score is the smoothed unigram log10 probability, score that of the neural
-    model. Null texts count as empty (the end alone); without any training text every count is 0. Repeated rows each count.
+    model. Null texts count as empty (the end alone); without any training text every count is 0. Repeated rows each count. Scores
+    don't depend on how docs is partitioned. sizes are those of the exchange (``blocks.Exchange.of``).
     """
-    packed = bl.pack(docs.select("doc_id", text_or_empty().alias("text")), words_of, block_bytes)
-    counted = materialize(bl.send_words(packed, _training_counts).mapInArrow(_count_parts, COUNTS), "counts")
-    parts = counted.filter("block is null")
+    packed = bl.pack(shards(docs, shard_bytes), bl.SpaceBuilder, block_bytes)
+    exchange = bl.Exchange.of(packed, **sizes)
+    counted = materialize(exchange.send_words(packed, _training_counts).mapInArrow(_count_parts, COUNTS), "counts")
+    parts = counted.filter("blocks is null")
     distinct, tokens = parts.agg(F.coalesce(F.sum("kinds"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
     most = parts.select(F.explode(F.arrays_zip("top", "top_c")).alias("t")).select(F.col("t.top").alias("word"), F.col("t.top_c").alias("c"))
     top = most_frequent(most, MODEL_WORDS)
@@ -344,8 +384,8 @@ def score(docs: DataFrame, rounds: int = ROUNDS, block_bytes: int = bl.BLOCK_BYT
                 codes = bl.unsqueeze(batch.column(2)[k].as_py())
                 words = batch.column(3)[k].as_py()
                 seen = np.zeros(len(words), np.int64)
-                for answer in batch.column(4)[k].as_py() or []:
-                    seen[bl.unsqueeze(answer["idx"])] = _unpack64(answer["c"])
+                idx, _, halves = bl.answers_of(batch.column(4)[k].as_py())
+                seen[idx] = halves[::2] + (halves[1::2] << 32)
                 outcome = own.outcomes(words)
                 base = np.log10((seen + SMOOTH) / (total + SMOOTH * (kinds + 1)))
                 extra = np.where(outcome == own.other, np.log10((seen + SMOOTH) / (other_total + SMOOTH * (others + 1))), 0)
@@ -373,6 +413,6 @@ def score(docs: DataFrame, rounds: int = ROUNDS, block_bytes: int = bl.BLOCK_BYT
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
-    answers = counted.filter("block is not null").groupBy("block").agg(F.collect_list(F.struct("idx", "c")).alias("answers"))
-    joined = packed.join(answers, "block", "left").select("doc_ids", "sizes", "codes", "words", "answers")
+    answers = exchange.send_back(counted.filter("blocks is not null").select(*bl.ITEMS_ARROW.names), packed.rdd.getNumPartitions())
+    joined = packed.join(answers, "block", "left").select("doc_ids", "sizes", "codes", "words", "table")
     return joined.mapInArrow(rows, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
