@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -12,9 +13,12 @@ _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share (spark.checkpoint.dir); a temporary one of our own only where it is unset."""
+    """The folder that all executors share (spark.checkpoint.dir); where it is unset, a temporary one of our own in local mode, where
+    there is one machine only, and an error on a cluster."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     app = spark.sparkContext.applicationId
+    if not found and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not found and app not in _OWN:
         _OWN[app] = tempfile.mkdtemp(prefix="episodica-")
     return found or _OWN[app]
@@ -39,7 +43,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = staging_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found._staged = path
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that materialize() returned, before the driver ends. Nothing may read them any more."""
+    for table in tables:
+        _delete(table.sparkSession, table._staged.rpartition("/")[0])
 
 
 def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
