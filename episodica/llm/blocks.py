@@ -46,6 +46,11 @@ ITEMS = "key int, salt int, blocks binary, counts binary, idx binary, words bina
 ITEMS_ARROW = pa.schema([("key", pa.int32()), ("salt", pa.int32()), *((c, pa.binary()) for c in ("blocks", "counts", "idx", "words", "n", "lens", "vals"))])
 
 
+def spread(blocks: np.ndarray | int, n: int) -> np.ndarray:
+    """Names of blocks, which follow patterns, evenly over n."""
+    return ((np.asarray(blocks).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % n
+
+
 def squeeze(codes: np.ndarray) -> bytes:
     """Integers below 2**32 as four compressed byte planes."""
     planes = codes.astype("<u4").view(np.uint8).reshape(-1, 4).T
@@ -156,8 +161,8 @@ def pack(docs: DataFrame, builder: Callable[[], ListBuilder | SpaceBuilder], blo
 
 @dataclass
 class Items:
-    """Items of blocks: idx is the word's place in the block's list. Besides either words and maybe n (a number for each), or an
-    answer of lens numbers, all answers' numbers being vals."""
+    """Items of blocks: idx is the word's place in the block's list. Besides either words and maybe n (a number for each), or lens
+    numbers of each, all of them being vals."""
 
     block: np.ndarray
     idx: np.ndarray
@@ -254,6 +259,7 @@ class Exchange:
 
     @classmethod
     def of(cls, packed: DataFrame, part_items: int = PART_ITEMS, fan: int = FAN, merge: int = MERGE_ITEMS) -> Exchange:
+        """For the sum of n_words of packed."""
         items = packed.agg(F.sum("n_words")).first()[0] or 0
         return cls(items, max(2 * int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-items // part_items)), fan, merge)
 
@@ -266,12 +272,27 @@ class Exchange:
         """Tasks that share a range, so that each has about enough of it to merge."""
         return max(1, self.items // (self.fan * self.merge))
 
+    def send(self, rows: DataFrame, part: Callable[[Items, int], np.ndarray]) -> DataFrame:
+        """Items dealt out by part(items, number of parts), their key; rows of a key stand together.
+
+        rows has each sender's items already cut by their part modulo fan, with a salt from the sender's block.
+        """
+        parts, merge = self.parts, self.merge
+
+        def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, items in merged(batches, merge):
+                yield batch_of(cut(items, part(items, parts)))
+
+        if self.deep:
+            rows = _gather(rows, -(-self.items // merge), F.col("salt") % self.salts).mapInArrow(split, ITEMS)
+        return _gather(rows, parts)
+
     def send_words(self, packed: DataFrame, count: Callable[[list, np.ndarray, np.ndarray, int], np.ndarray] | None = None) -> DataFrame:
-        """The distinct words of each block as items, dealt out by the word: equal words of all blocks have one key.
+        """The distinct words of each block as items, dealt out by the word, so that equal words of all blocks have one key.
 
-        Rows of a key stand together. count(doc_ids, sizes, codes, number of words) gives n for each word.
+        count(doc_ids, sizes, codes, number of words) gives n for each word.
         """
-        parts, fan, merge = self.parts, self.fan, self.merge
+        parts, fan = self.parts, self.fan
 
         def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -282,17 +303,10 @@ class Exchange:
                     n = None
                     if count is not None:
                         n = count(batch.column(2)[k].as_py(), np.frombuffer(batch.column(3)[k].as_py(), "<u4"), unsqueeze(batch.column(4)[k].as_py()), len(words))[order]
-                    yield batch_of(cut(Items(np.full(len(words), block), order.astype(np.uint32), words, n), part_of(words, parts) % fan, block % parts))
-
-        def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for _, items in merged(batches, merge):
-                yield batch_of(cut(items, part_of(items.words, parts)))
+                    yield batch_of(cut(Items(np.full(len(words), block), order.astype(np.uint32), words, n), part_of(words, parts) % fan, int(spread(block, parts))))
 
         columns = ["block", "words"] + ([] if count is None else ["doc_ids", "sizes", "codes"])
-        dealt = packed.select(*columns).mapInArrow(deal, ITEMS)
-        if self.deep:
-            dealt = _gather(dealt, -(-self.items // merge), F.col("salt") % self.salts).mapInArrow(split, ITEMS)
-        return _gather(dealt, parts)
+        return self.send(packed.select(*columns).mapInArrow(deal, ITEMS), lambda items, n: part_of(items.words, n))
 
     def send_back(self, answers: DataFrame, tasks: int) -> DataFrame:
         """block, table: the answers (rows of items) gathered by block, in so many partitions by block."""
@@ -300,7 +314,7 @@ class Exchange:
 
         def to_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for key, items in merged(batches, merge):
-                yield batch_of(cut(items, items.block % fan, key))
+                yield batch_of(cut(items, spread(items.block, fan), key))
 
         def to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for _, items in merged(batches, merge):

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from episodica.llm import blocks as bl
 from episodica.llm.common import prepare, text_or_empty
 
+#: Bytes of text of a block.
+BLOCK_BYTES = 10 << 20
 #: Buckets of the block table at most; Spark refuses more than 100,000.
 MOST_BUCKETS = 20_000
 SCHEMA = "doc_id bigint, n_tokens bigint, ids binary"
@@ -59,7 +61,7 @@ def _vocabulary(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(load_ranks(path))
 
 
-def encode(docs: DataFrame, vocabulary: str, pattern: str, block_bytes: int = bl.BLOCK_BYTES, decoded: bool = False, **sizes: int) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str, pattern: str, block_bytes: int = BLOCK_BYTES, decoded: bool = False, **sizes: int) -> DataFrame:
     """doc_id, n_tokens long, ids binary (little-endian unsigned 32-bit) for each row of docs (doc_id, text).
 
     With decoded, the ids are decoded again in the same pass (see decode), which spares a second worker for each task.

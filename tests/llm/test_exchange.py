@@ -58,3 +58,11 @@ def test_answers_come_back_to_their_items():
     answers = bl.Items(np.array([1, 1, 2]), np.arange(3, dtype=np.uint32), lens=np.array([2, 0, 1]), vals=np.array([5, 6, 7]))
     turned = answers.take(np.array([2, 1, 0]))
     assert turned.lens.tolist() == [1, 0, 2] and turned.vals.tolist() == [7, 5, 6]
+
+
+def test_an_id_beyond_the_vocabulary_is_an_error(spark):
+    from array import array
+
+    encoded = spark.createDataFrame([(1, 1, bytearray(array("I", [4_000_000]).tobytes()))], bpe.SCHEMA)
+    with pytest.raises(Exception, match="vocabulary lacks"):
+        bpe.decode(encoded, BPE_VOCABULARY).collect()
