@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from episodica.functions.ship import ship_package
-from episodica.functions.staging import materialize, materialize_bucketed, staging_path
+from episodica.functions.staging import discard, materialize, materialize_bucketed, staging_path
 
-__all__ = ["ascii_lower", "materialize", "materialize_bucketed", "prepare", "read_table", "staging_path", "text_or_empty"]
+__all__ = ["ascii_lower", "discard", "materialize", "materialize_bucketed", "prepare", "read_table", "staging_path", "text_or_empty"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from episodica.llm import blocks as bl
-from episodica.llm.common import materialize, text_or_empty
+from episodica.llm.common import discard, materialize, text_or_empty
 
 MODEL_WORDS = 4094
 CLASS = 64
@@ -100,12 +100,12 @@ class Model:
             own = order[at : at + rows]
             q = self.p1[one[own]] + self.p2[two[own]]
             kind = target[own] // CLASS
-            logits = q @ self.a.T + self.a0
-            got = logits[np.arange(len(own)), kind] - _logsumexp(logits)
+            logits = self.a @ q.T + self.a0[:, None]  # positions along the rows, so that sums over classes run over whole rows
+            got = logits[kind, np.arange(len(own))] - _logsumexp(logits)
             for lo, hi in _runs(kind):
                 k = kind[lo]
-                inner = q[lo:hi] @ self.b[k * CLASS : (k + 1) * CLASS].T + self.b0[k * CLASS : (k + 1) * CLASS]
-                got[lo:hi] += inner[np.arange(hi - lo), target[own[lo:hi]] - k * CLASS] - _logsumexp(inner)
+                inner = self.b[k * CLASS : (k + 1) * CLASS] @ q[lo:hi].T + self.b0[k * CLASS : (k + 1) * CLASS, None]
+                got[lo:hi] += inner[target[own[lo:hi]] - k * CLASS, np.arange(hi - lo)] - _logsumexp(inner)
             out[own] = got
         return out / np.log(10)
 
@@ -173,22 +173,27 @@ class Model:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    """In place."""
+    with np.errstate(over="ignore"):
+        np.exp(np.negative(x, out=x), out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def _miss(score: np.ndarray) -> np.ndarray:
-    """What data lacks to be told from noise."""
-    return (1 - _sigmoid(score)).astype(np.float32)
+    """What data lacks to be told from noise; score is used up."""
+    return 1 - _sigmoid(score)
 
 
 def _miss_noise(score: np.ndarray) -> np.ndarray:
-    return (-_sigmoid(score)).astype(np.float32)
+    return np.negative(_sigmoid(score), out=score)
 
 
 def _logsumexp(x: np.ndarray) -> np.ndarray:
-    top = x.max(axis=1)
-    shifted = x - top[:, None]
-    return top + np.log(np.exp(shifted, out=shifted).sum(axis=1))
+    """Over the first axis; x is used up."""
+    top = x.max(axis=0)
+    x -= top
+    return top + np.log(np.exp(x, out=x).sum(axis=0))
 
 
 def _runs(x: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -273,25 +278,33 @@ COUNTS_ARROW = pa.schema([*bl.ITEMS_ARROW, ("kinds", pa.int64()), ("tokens", pa.
 
 
 def _average(parts: DataFrame, size: int) -> np.ndarray | None:
-    """The mean of the parameters by weight: FAN_IN blobs of a slice at a time, in the order of their slots, until one is left."""
+    """The mean of the changes of parameters by weight: FAN_IN blobs of a slice at a time, in the order of their slots, until one is
+    left. Blocks send 16-bit floats, means are 32-bit."""
 
-    def mean(key, table):
-        table = table.sort_by("slot")
-        weights = np.array(table.column("weight").to_pylist(), float)
-        blobs = np.stack([np.frombuffer(b, "<f4") for b in table.column("blob").to_pylist()])
-        got = (weights[:, None] * blobs).sum(0) / max(weights.sum(), 1e-9)
-        return pa.table({"slot": [key[1].as_py()], "slice": pa.array([key[0].as_py()], pa.int32()), "weight": [weights.sum()], "blob": [got.astype("<f4").tobytes()]})
+    def mean_of(kind: str):
+        def mean(key, table):
+            table = table.sort_by("slot")
+            weights = np.array(table.column("weight").to_pylist(), float)
+            blobs = np.stack([np.frombuffer(b, kind) for b in table.column("blob").to_pylist()])
+            got = (weights[:, None] * blobs).sum(0) / max(weights.sum(), 1e-9)
+            return pa.table({"slot": [key[1].as_py()], "slice": pa.array([key[0].as_py()], pa.int32()), "weight": [weights.sum()], "blob": [got.astype("<f4").tobytes()]})
+
+        return mean
 
     most = parts.agg(F.max("slot")).first()[0]
     if most is None:
         return None
+    kind, staged = "<f2", []
     while True:
-        parts = parts.withColumn("up", F.floor(F.col("slot") / FAN_IN).cast("bigint")).groupBy("slice", "up").applyInArrow(mean, "slot bigint, slice int, weight double, blob binary")
+        parts = parts.withColumn("up", F.floor(F.col("slot") / FAN_IN).cast("bigint")).groupBy("slice", "up").applyInArrow(mean_of(kind), "slot bigint, slice int, weight double, blob binary")
         most //= FAN_IN
         if not most:
             break
         parts = materialize(parts, "means")
+        staged.append(parts)
+        kind = "<f4"
     rows = sorted(parts.select("slice", "blob").collect())  # SLICES rows, the size of the parameters in all
+    discard(*staged)
     return np.concatenate([np.frombuffer(r["blob"], "<f4") for r in rows])[:size]
 
 
@@ -310,11 +323,12 @@ def fit(packed: DataFrame, top: list[tuple[bytes, int]], texts: int, tokens: int
 
         def learn(batches: Iterator[pa.RecordBatch], shared=shared, number=number) -> Iterator[pa.RecordBatch]:
             base = shared.value
+            start = base.flat()
             for batch in batches:
                 for k in range(batch.num_rows):
                     own = Model.__new__(Model)
                     own.__dict__.update(base.__dict__)
-                    own.load(base.flat())
+                    own.load(start)
                     sizes = np.frombuffer(batch.column(1)[k].as_py(), "<u4")
                     train = np.array([not held_out(i) for i in batch.column(0)[k].as_py()], bool)
                     one, two, target, text = _sequences(sizes, bl.unsqueeze(batch.column(2)[k].as_py()), own.outcomes(batch.column(3)[k].as_py()), own)
@@ -323,7 +337,7 @@ def fit(packed: DataFrame, top: list[tuple[bytes, int]], texts: int, tokens: int
                     if not len(picked):
                         continue
                     own.train(one[picked], two[picked], target[picked], rng, {})
-                    flat = np.pad(own.flat(), (0, width * SLICES - size)).astype("<f4").reshape(SLICES, width)
+                    flat = np.pad(own.flat() - start, (0, width * SLICES - size)).astype("<f2").reshape(SLICES, width)
                     at = batch.column(4)[k].as_py()
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([at] * SLICES, pa.int64()), pa.array(range(SLICES), pa.int32()), pa.array([float(len(picked))] * SLICES), pa.array([row.tobytes() for row in flat], pa.binary())],
@@ -331,9 +345,11 @@ def fit(packed: DataFrame, top: list[tuple[bytes, int]], texts: int, tokens: int
                     )
 
         parts = packed.select("doc_ids", "sizes", "codes", "words", slot.cast("bigint").alias("slot")).mapInArrow(learn, "slot bigint, slice int, weight double, blob binary")
-        mean = _average(materialize(parts, "parameters"), size)
+        parts = materialize(parts, "parameters")
+        mean = _average(parts, size)
+        discard(parts)
         if mean is not None:
-            model.load(mean)
+            model.load(model.flat() + mean)
     return model
 
 
