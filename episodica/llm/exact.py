@@ -1,14 +1,16 @@
 """Exact deduplication by a streaming aggregation with disk-backed keyed state.
 
 Every row's normalised text (A-Z lower-cased) is reduced to a SHA-256 digest. The digests run as a stream through keyed state that
-never expires: for each digest it retains the stable identifier (the largest doc_id so far), the number of rows and a locator of
-the retained content (the file that holds it). The state lives in RocksDB on the executors' disks and is checkpointed to
+never expires: for each digest it retains the stable identifier (the largest doc_id so far), the number of rows and the locator of
+the retained row (its file and place there). The state lives in RocksDB on the executors' disks and is checkpointed to
 the shared folder, so a lost executor, or a later run over new rows, continues from it. On a hit (a digest with more than one
-row) the full texts are compared with the retained one; where they differ, equality of texts decides instead of the digest.
+row) the rows are read again by their locators, and the full texts are compared with that at the retained locator; where they
+differ, equality of texts decides instead of the digest. Texts without a copy are never moved.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -23,6 +25,9 @@ STORE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+#: Rows that are looked up by a broadcast of their locators' hashes (some 50 bytes each) instead of a shuffle.
+BROADCAST_ROWS = 500_000
+
 STATE = "digest binary, keep_id bigint, group_size bigint, locator string, batch bigint"
 
 
@@ -32,7 +37,22 @@ def digest_of(text: Column) -> Column:
 
 def keyed_state(rows: DataFrame) -> DataFrame:
     """The state of a stream of rows (digest, doc_id, locator): digest, keep_id, group_size, locator. It never expires."""
-    return rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"), F.max_by("locator", "doc_id").alias("locator"))
+    groups = rows.groupBy("digest").agg(F.max(F.struct("doc_id", "locator")).alias("one"), F.count("*").alias("group_size"))
+    return groups.select("digest", F.col("one.doc_id").alias("keep_id"), "group_size", F.col("one.locator").alias("locator"))
+
+
+def located(docs: DataFrame) -> DataFrame:
+    """docs with __locator: a row's file and place there, or, where docs isn't read from files, its doc_id and the hash of its text
+    (which rows that repeat both share)."""
+    try:
+        return docs.withColumn("__locator", F.concat(F.col("_metadata.file_path"), F.lit("#"), F.col("_metadata.row_index").cast("string")))
+    except AnalysisException:
+        return docs.withColumn("__locator", F.concat_ws("#", F.lit("row"), F.col("doc_id").cast("string"), F.sha2(text_or_empty(), 256)))
+
+
+def _looked_up(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """rows joined by __locator with found: by a broadcast, if that is small."""
+    return rows.join(F.broadcast(found) if found.count() <= BROADCAST_ROWS else found, "__locator", how)
 
 
 def start(rows: DataFrame, state_dir: str, checkpoint: str) -> StreamingQuery:
@@ -62,38 +82,51 @@ def latest(state: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, digest=digest_of, files_per_batch: int = 1000) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 for each row of docs (doc_id, text).
+    """doc_id, keep_id, group_size, kept, text_sha256, locator, stays for each row of docs (doc_id, text).
 
     Texts are equal when identical after lower-casing A-Z; null counts as empty. Of equal texts the largest doc_id stays. Rows
-    that repeat it, text and id alike, are all marked kept. Null doc_ids count in group_size, and stay only if the group has no
-    other (keep_id null). digest can be replaced, say by a short one in tests: results don't depend on it.
+    that repeat it, text and id alike, are all marked kept, but stays is true for one row of a group (for those with one locator,
+    see located). Null doc_ids count in group_size, and stay only if the group has no other (keep_id null). digest can be
+    replaced, say by a short one in tests: results don't depend on it.
     """
     spark = docs.sparkSession
-    own = docs.select(F.col("doc_id").cast("bigint"), text_or_empty().alias("text"))
+    own = located(docs.select("doc_id", "text")).select(F.col("doc_id").cast("bigint"), text_or_empty().alias("text"), "__locator")
     normal = ascii_lower(F.col("text"))
     staged = staging_path(spark, "digests")
-    own.select("doc_id", digest(F.col("text")).alias("digest"), F.sha2(normal, 256).alias("text_sha256"), F.input_file_name().alias("locator")).write.parquet(staged)
+    own.select("doc_id", digest(F.col("text")).alias("digest"), F.sha2(normal, 256).alias("text_sha256"), F.col("__locator").alias("locator")).write.parquet(staged)
     rows = spark.read.parquet(staged)
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files_per_batch).parquet(staged).select("digest", "doc_id", "locator")
     state_dir, checkpoint = staging_path(spark, "state"), staging_path(spark, "state_checkpoint")
     start(stream, state_dir, checkpoint).awaitTermination()
     # an empty input makes no batch, so the folder may be missing: its parent always exists
     state = spark.read.schema(STATE).option("ignoreMissingFiles", "true").option("recursiveFileLookup", "true").parquet(staged_or_empty(spark, state_dir))
-    groups = materialize(latest(state), "groups")
-    hits = groups.filter("group_size > 1")
-    # full bytes: the texts of hits against the retained text of their digest
-    texts = materialize(own.withColumn("digest", digest(F.col("text"))).join(hits.select("digest", "keep_id"), "digest").select("digest", "doc_id", "keep_id", normal.alias("text")), "hits")
-    # written, as an aggregation on either side of the join would keep its hot groups from being split
-    retained = materialize(texts.filter("doc_id <=> keep_id").groupBy("digest").agg(F.min("text").alias("retained")), "retained")
+    groups = materialize(latest(state).withColumnRenamed("locator", "one"), "groups")
+    # full bytes: the texts of hits, read by their locators, against the text at the retained locator of their digest. Both sides of
+    # a join by digest are written first, as an aggregation on either would keep its hot groups from being split
+    hits = materialize(groups.filter("group_size > 1").select("digest", "one"), "hits")
+    wanted = materialize(rows.select("digest", F.col("locator").alias("__locator")).join(hits, "digest").distinct(), "wanted")
+    texts = materialize(_looked_up(own, wanted, "inner").select("digest", "doc_id", F.col("__locator").alias("locator"), "one", normal.alias("text")), "texts")
+    retained = materialize(texts.filter("locator = one").groupBy("digest").agg(F.min("text").alias("retained")), "retained")
     clashing = materialize(texts.join(retained, "digest").filter("text <> retained").select("digest"), "clashing").distinct()
-    by_digest = rows.join(groups.join(clashing, "digest", "left_anti").select("digest", "keep_id", "group_size"), "digest")
-    by_text = texts.join(clashing, "digest", "left_semi").groupBy("text").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    by_text = by_text.select(F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size")
+    alone = materialize(groups.join(clashing, "digest", "left_anti").select("digest", "keep_id", "group_size", "one"), "alone")
+    by_digest = rows.join(alone, "digest")
+    by_text = texts.join(clashing, "digest", "left_semi").groupBy("text").agg(F.max(F.struct("doc_id", "locator")).alias("o"), F.count("*").alias("group_size"))
+    by_text = materialize(by_text.select(F.sha2("text", 256).alias("text_sha256"), F.col("o.doc_id").alias("keep_id"), "group_size", F.col("o.locator").alias("one")), "by_text")
     rest = rows.join(clashing, "digest", "left_semi").join(by_text, "text_sha256")
-    columns = ["doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"]
+    columns = ["doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", "locator", (F.col("locator") == F.col("one")).alias("stays")]
     return by_digest.select(columns).union(rest.select(columns))
 
 
+def staying(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of docs that stay by found (see deduplicate): one of each group. Only what goes is looked up."""
+    gone = materialize(found.filter("not stays").select(F.col("locator").alias("__locator")).distinct(), "gone")
+    rows = located(docs)
+    left = _looked_up(rows, gone, "left_anti")
+    if "_metadata" not in str(rows._jdf.queryExecution().analyzed()):
+        left = left.dropDuplicates(["__locator"])
+    return left.select(docs.columns)
+
+
 def staged_or_empty(spark, path: str) -> str:
     """path, made if it doesn't exist."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -10,9 +10,7 @@ from pyspark.sql import functions as F
 
 from episodica.llm import bpe, exact, html, langid, licenses, lm, mixing, pii, simhash, vectors
 from episodica.llm.common import materialize, read_table
-
-BPE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
-
+from episodica.llm.stages import BPE_VOCABULARY
 
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 best inner products for each vector whose id is divisible by 100, the stated query set, against all rows."""
@@ -66,7 +64,7 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's group of equal texts and the document of it that stays."""
-    return exact.deduplicate(read_table(spark, sf_dir, "documents"))
+    return exact.deduplicate(read_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 OP7_SQL = """
@@ -97,10 +95,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-#: Near copies: five words, and a Jaccard similarity of 0.8 or more, found by an exact join.
-NEAR_DUPLICATES = {"width": 5, "similarity": 0.8}
-
-
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint and component_id of every document, linked at 2 or fewer differing bits of 64."""
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), width=3, max_bits=2, rotations=3)
