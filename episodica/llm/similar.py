@@ -1,13 +1,17 @@
 """Near copies: the components of all pairs of texts whose distinct shingles have a Jaccard similarity of at least some value.
 
-An exact similarity join. Shingles are ordered by the number of texts that hold them, rarest first. Of two sets of n and m shingles
-with a similarity of at least s, each holds s n (s m) of the other's, so they share one among the first n - ceil(s n) + 1 (m - ...)
-in that order. Texts that share none there are never compared, and all others are, exactly; no pair is given up before that.
-
-Equal sets, told by a SHA-256, are one item. To order the shingles, their hashes are cut into parts of bounded size; blocks of texts
-send packed hashes to the parts and are sent back the places of those that more than one text holds. Hashes are cut to 32 bits
-within a part, which can only add candidates. Of the texts that share a shingle each is first compared with the least one; only keys
-whose texts aren't all connected by then form pairs, between the classes.
+Candidates come from two sides. The SimHash trie (``simhash.links``) links fingerprints within a few bits, which finds most copies of
+long texts; no bit budget finds all pairs of a given similarity, so an exact join on prefixes completes it. There shingles are
+ordered by the number of texts that hold them, rarest first. Of two sets of n and m shingles with a similarity of at least s, each
+holds s n (s m) of the other's, so they share one among the first n - ceil(s n) + 1 (m - ...) in that order. Texts that share none
+there are never compared, and all others are, exactly; no pair is given up before that.
+
+Equal sets, told by a SHA-256, are one item. Blocks of texts send their shingles' hashes through the packed exchange (``blocks``) and
+are sent back the numbers of those that more than one text holds. Hashes are cut to the part and 32 bits, which can only add
+candidates. Shingles that are common in a sample of texts aren't sent: they stand last in the order, by their hashes, so no part
+has to hold a shingle of a third of all texts. (Any one order gives the same pairs, so the sample only decides on the work.) Of the
+texts that share a shingle each is first compared with the least one; only keys whose texts aren't all connected by then form
+pairs, between the classes.
 """
 
 from __future__ import annotations
@@ -21,116 +25,167 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from episodica.llm import components
+from episodica.llm import blocks as bl
+from episodica.llm import components, simhash
 from episodica.llm.common import materialize, prepare, text_or_empty
 from episodica.llm.simhash import _signed, majority_bits, shingle_hashes
 
-#: Bytes of text whose shingles make one part, about.
-PART_BYTES = 16 << 20
-#: Rows of a block at most: places are sent as 16 bits.
-BLOCK_ROWS = 1 << 16
+#: Shingles that make one part of the exchange, about.
+PART_ITEMS = 1_000_000
+#: Texts of a block at most, and the bytes of their texts, about.
+BLOCK_ROWS, BLOCK_BYTES = 1 << 16, 4 << 20
+#: Texts that common shingles are looked for in, about; the share of them that makes a shingle common; how many such at most.
+SAMPLE_TEXTS, COMMON_SHARE, COMMON_MOST = 20_000, 0.005, 1 << 16
+#: Texts that are joined by a broadcast of their hashes (some 50 bytes each) instead of moving all texts.
+BROADCAST_TEXTS = 500_000
+#: What the trie finds: bits and rotations.
+TRIE_BITS, TRIE_ROTATIONS = 2, 3
 
-SHINGLED = "row bigint, doc_id bigint, fp bigint, text_hash bigint, digest binary, base bigint, sizes binary, part int, places binary, tokens binary"
-SHINGLED_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary())
-SHINGLED_NAMES = [c.split()[0] for c in SHINGLED.split(", ")]
+SHINGLED = f"{bl.ITEMS}, row bigint, doc_id bigint, fp bigint, text_hash bigint, digest binary, sizes binary"
+SHINGLED_ARROW = pa.schema([*bl.ITEMS_ARROW, ("row", pa.int64()), ("doc_id", pa.int64()), ("fp", pa.int64()), ("text_hash", pa.int64()), ("digest", pa.binary()), ("sizes", pa.binary())])
+_NO_ITEMS, _NO_TEXT = (None,) * 9, (None,) * 6
 
 
-def _batch(rows: list[tuple], types, names) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [()] * len(types)
-    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, types, strict=True)], names)
+def set_digest(own: np.ndarray) -> bytes:
+    return hashlib.sha256(own.astype("<u8").tobytes()).digest()
+
+
+def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
+    return (((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
 
 
-def shingled(docs: DataFrame, width: int, parts: int) -> DataFrame:
-    """For each text a row (row, doc_id, fp, text_hash, digest), for each block one (base, sizes), and for each block and part one
-    (base, part, places, tokens), the text at a place having the row base + place."""
+def common_shingles(docs: DataFrame, texts: int, width: int) -> np.ndarray:
+    """The hashes, in order, of shingles that are common in a sample of docs by the hash of the text: a bounded list."""
+    every = max(1, texts // SAMPLE_TEXTS)
+    chosen = docs.select(text_or_empty().alias("text")).filter(F.pmod(F.xxhash64("text", F.lit("common")), F.lit(every)) == 0)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(text, width)) for text in batch.column(0).to_pylist()]
+            hashes, n = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.empty(0, np.uint64), np.empty(0))
+            many = n > 1 if len(sets) > 100 else n > 0  # a shingle of half a per cent of all texts meets itself in most batches
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[many].view(np.int64)), pa.array(n[many].astype(np.int64))], ["h", "n"])
+
+    least = max(8, COMMON_SHARE * texts / every)
+    counts = chosen.mapInArrow(rows, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    found = counts.orderBy(F.desc("n"), "h").limit(COMMON_MOST).collect()
+    return np.sort(np.array([r["h"] for r in found], np.int64).view(np.uint64))
+
+
+def shingled(docs: DataFrame, width: int, parts: int, fan: int, common: np.ndarray) -> DataFrame:
+    """For each text a row (row, doc_id, fp, text_hash, digest), for each block one (sizes, and the common shingles as its items), and
+    the block's other shingles as items cut by part; the text at place idx of a block has the row block + idx."""
     prepare(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(common)  # COMMON_MOST hashes at most
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, BLOCK_ROWS):
-                batch = whole.slice(at, BLOCK_ROWS)
-                ids = batch.column(0).to_pylist()
-                out, sets = [], []
-                for row, doc_id, text_hash, text in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                    every = shingle_hashes(text, width)
-                    sets.append(np.unique(every))
-                    out.append((row, doc_id, _signed(majority_bits(every)), text_hash, set_digest(sets[-1]), None, None, None, None, None))
-                base = ids[0]
-                sizes = np.fromiter(map(len, sets), "<u4", len(sets))
-                hashes = np.concatenate(sets)
-                own = (((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.uint32)
-                order = np.argsort(own, kind="stable")
-                cuts = np.searchsorted(own[order], np.arange(parts + 1)).tolist()
-                places = np.repeat(np.arange(len(sets)), sizes).astype("<u2")[order]
-                tokens = hashes.astype("<u4")[order]
-                out.append((None, None, None, None, None, base, sizes.tobytes(), None, None, None))
-                out += [(None, None, None, None, None, base, None, p, places[a:b].tobytes(), tokens[a:b].tobytes()) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
-                yield _batch(out, SHINGLED_TYPES, SHINGLED_NAMES)
+        usual = shared.value
+        for batch in filter(lambda b: b.num_rows, batches):
+            lengths = np.array([len(t) for t in batch.column(3).to_pylist()])
+            number = np.maximum(np.cumsum(lengths) // BLOCK_BYTES, np.arange(len(lengths)) // BLOCK_ROWS)
+            cuts = [0, *(np.flatnonzero(number[1:] != number[:-1]) + 1).tolist(), len(lengths)]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                yield from block(batch.slice(lo, hi - lo), usual)
+
+    def block(batch: pa.RecordBatch, usual: np.ndarray) -> Iterator[pa.RecordBatch]:
+        out, sets = [], []
+        for row, doc_id, text_hash, text in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            every = shingle_hashes(text, width)
+            sets.append(np.unique(every))
+            out.append((*_NO_ITEMS, row, doc_id, _signed(majority_bits(every)), text_hash, set_digest(sets[-1]), None))
+        name = out[0][9]
+        sizes = np.fromiter(map(len, sets), "<u4", len(sets))
+        hashes, place = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.uint32), sizes)
+        at = np.searchsorted(usual, hashes)
+        is_common = usual[np.minimum(at, len(usual) - 1)] == hashes if len(usual) else np.zeros(len(hashes), bool)
+        out.append((*(_items(name, place[is_common], hashes[is_common]).row(-1) if is_common.any() else (-1, 0, np.array([name], "<i8").tobytes(), *[None] * 6)), *_NO_TEXT[:5], sizes.tobytes()))
+        rest = ~is_common
+        if rest.any():
+            out += [(*row, *_NO_TEXT) for row in bl.cut(_items(name, place[rest], hashes[rest]), part_of(hashes[rest], parts) % fan, int(bl.spread(name, parts)))]
+        yield bl.batch_of(out, SHINGLED_ARROW)
 
     # the ids of a task's rows are consecutive
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint"), F.xxhash64(text_or_empty()).alias("text_hash"), text_or_empty().alias("text"))
     return materialize(numbered.mapInArrow(rows, SHINGLED), "shingled")
 
 
-def set_digest(own: np.ndarray) -> bytes:
-    return hashlib.sha256(own.astype("<u8").tobytes()).digest()
+def _items(name: int, place: np.ndarray, hashes: np.ndarray) -> bl.Items:
+    """n is the lower half of a hash; vals are the upper halves."""
+    return bl.Items(np.full(len(place), name), place, n=(hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32), lens=np.ones(len(place), np.uint32), vals=(hashes >> np.uint64(32)).astype(np.uint32))
+
+
+def _hashes(items: bl.Items) -> np.ndarray:
+    return (items.vals.astype(np.uint64) << np.uint64(32)) | items.n.astype(np.uint64)
 
 
 def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows part, base, places, tokens, a part's together, to the tokens of each base that stand more than once in the part, with their counts."""
+    """Items, a part's together, to answers for those whose hash stands more than once in the part: how often, and the hash."""
     held: list[tuple] = []
     part = None
 
-    def close():
-        lengths = [len(t) // 4 for _, _, t in held]
-        tokens = np.frombuffer(b"".join(t for _, _, t in held), "<u4")
-        _, inverse, times = np.unique(tokens, return_inverse=True, return_counts=True)
-        times, out, at = times[inverse], [], 0
-        for (base, places, own), n in zip(held, lengths, strict=True):
-            many = times[at : at + n] > 1
+    def close() -> Iterator[pa.RecordBatch]:
+        whole = [bl.unpack(row) for row in held]
+        held.clear()
+        hashes = np.concatenate([_hashes(items) for items in whole])
+        order = np.argsort(hashes)
+        first = np.flatnonzero(np.concatenate(([True], hashes[order][1:] != hashes[order][:-1])))
+        times = np.empty(len(hashes), np.uint32)
+        times[order] = np.repeat(np.diff(np.append(first, len(hashes))), np.diff(np.append(first, len(hashes))))
+        at = 0
+        for items in whole:
+            own, mine = times[at : at + len(items.idx)], hashes[at : at + len(items.idx)]
+            at += len(items.idx)
+            many = own > 1
             if many.any():
-                out.append((base, part, np.frombuffer(places, "<u2")[many].tobytes(), times[at : at + n][many].astype("<u4").tobytes(), np.frombuffer(own, "<u4")[many].tobytes()))
-            at += n
-        return _batch(out, COMMON_TYPES, COMMON_NAMES)
-
-    for batch in batches:
-        for p, *row in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-            if held and p != part:
-                yield close()
-                held = []
-            part = p
-            held.append(tuple(row))
+                vals = np.stack((own[many], (mine[many] >> np.uint64(32)).astype(np.uint32), items.n[many]), axis=1).ravel()
+                yield bl.batch_of([bl.Items(items.block[many], items.idx[many], lens=np.full(int(many.sum()), 3, np.uint32), vals=vals).row(part)])
+
+    for key, row in bl.rows_of(batches):
+        if held and key != part:
+            yield from close()
+        part = key
+        held.append(row)
     if held:
-        yield close()
-
+        yield from close()
 
-COMMON = "base bigint, part int, places binary, times binary, tokens binary"
-COMMON_TYPES = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-COMMON_NAMES = [c.split()[0] for c in COMMON.split(", ")]
 
-
-def prefixes(table: DataFrame, similarity: float) -> DataFrame:
-    """key, row, n: the shared shingles among the first n - ceil(similarity n) + 1 of each text's n, rarest first."""
-    tasks = 4 * int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = table.filter("part is not null").select("part", "base", "places", "tokens").repartition(tasks, "part").sortWithinPartitions("part")
-    common = dealt.mapInArrow(_common, COMMON).groupBy("base").agg(F.collect_list(F.struct("part", "places", "times", "tokens")).alias("held"))
-    sizes = table.filter("sizes is not null").select("base", "sizes")
+def prefixes(table: DataFrame, exchange: bl.Exchange, similarity: float) -> DataFrame:
+    """key, row, n: the shared shingles among the first n - ceil(similarity n) + 1 of each text's n, rarest first, common ones last."""
+    sent = exchange.send(table.filter("key >= 0").select(*bl.ITEMS_ARROW.names), lambda items, n: part_of(_hashes(items), n))
+    tasks = max(exchange.parts // 4, int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    back = exchange.send_back(sent.mapInArrow(_common, bl.ITEMS), min(tasks, bl.MOST_TASKS))
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for base, packed, held in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            for k in range(batch.num_rows):
+                name, packed, idx, n, vals = (batch.column(c)[k].as_py() for c in range(5))
                 size = np.frombuffer(packed, "<u4").astype(np.int64)
-                place, times, token = (np.concatenate([np.frombuffer(h[name], kind) for h in held]).astype(np.int64) for name, kind in (("places", "<u2"), ("times", "<u4"), ("tokens", "<u4")))
-                key = (np.repeat([h["part"] for h in held], [len(h["tokens"]) // 4 for h in held]).astype(np.int64) << 32) | token
+                place, _, answer = bl.answers_of(batch.column(5)[k].as_py())
+                answer = answer.reshape(-1, 3)
+                times, key = answer[:, 0], (answer[:, 1] << 32) | answer[:, 2]
+                if idx is not None:
+                    usual = bl.unsqueeze(idx).astype(np.int64)
+                    place, times = np.concatenate((place, usual)), np.concatenate((times, np.full(len(usual), 1 << 40)))
+                    key = np.concatenate((key, (bl.unsqueeze(vals).astype(np.int64) << 32) | bl.unsqueeze(n)))
                 order = np.lexsort((key, times, place))
                 place, key = place[order], key[order]
-                shared = np.bincount(place, minlength=len(size))
-                rank = np.arange(len(place)) - (np.cumsum(shared) - shared)[place]
-                reach = size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1 - (size - shared)  # shingles of no other text come first
+                known = np.bincount(place, minlength=len(size))
+                rank = np.arange(len(place)) - (np.cumsum(known) - known)[place]
+                reach = size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1 - (size - known)  # shingles of no other text come first
                 near = rank < reach[place]
-                yield pa.RecordBatch.from_arrays([pa.array(key[near]), pa.array(base + place[near]), pa.array(size[place[near]])], ["key", "row", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(key[near]), pa.array(name + place[near]), pa.array(size[place[near]])], ["key", "row", "n"])
+
+    own = table.filter("key = -1").select("blocks", "sizes", "idx", "n", "vals").mapInArrow(_block_names, BLOCKS)
+    return own.join(back, "block", "left").select("block", "sizes", "idx", "n", "vals", "table").mapInArrow(first, "key bigint, row bigint, n bigint").distinct()
+
 
-    return common.join(sizes, "base").select("base", "sizes", "held").mapInArrow(first, "key bigint, row bigint, n bigint").distinct()
+BLOCKS = "block bigint, sizes binary, idx binary, n binary, vals binary"
+
+
+def _block_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        names = [int(np.frombuffer(b, "<i8")[0]) for b in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), *batch.columns[1:]], ["block", "sizes", "idx", "n", "vals"])
 
 
 def verified(pairs: DataFrame, items: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
@@ -143,34 +198,46 @@ def verified(pairs: DataFrame, items: DataFrame, docs: DataFrame, width: int, si
                 own = np.unique(shingle_hashes(text, width))
                 if set_digest(own) == digest:
                     out.append((row, own.tobytes()))
-            yield _batch(out, (pa.int64(), pa.binary()), ["row", "held"])
+            yield bl.batch_of(out, pa.schema([("row", pa.int64()), ("held", pa.binary())]))
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                shared = len(np.intersect1d(p, q, assume_unique=True))
+            for k in range(batch.num_rows):
+                p, q = (np.frombuffer(batch.column(c)[k].as_py() or b"", np.uint64) for c in (2, 3))
+                at = np.searchsorted(p, q)
+                shared = int((p[np.minimum(at, len(p) - 1)] == q).sum()) if len(p) else 0
                 keep.append(shared >= similarity * (len(p) + len(q) - shared))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    ends = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct().join(items, "row").select("row", "text_hash", "digest")
-    texts = docs.select(F.xxhash64(text_or_empty()).alias("text_hash"), text_or_empty().alias("text")).join(ends, "text_hash").select("row", "digest", "text")
+    ends = materialize(pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct().join(items, "row").select("row", "text_hash", "digest"), "ends")
+    wanted = F.broadcast(ends) if ends.count() <= BROADCAST_TEXTS else ends
+    texts = docs.select(F.xxhash64(text_or_empty()).alias("text_hash"), text_or_empty().alias("text")).join(wanted, "text_hash").select("row", "digest", "text")
     held = materialize(texts.mapInArrow(sets, "row bigint, held binary").dropDuplicates(["row"]), "shingles")
     side = lambda c: held.select(F.col("row").alias(c), F.col("held").alias(f"held_{c}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "held_a", "held_b").mapInArrow(similar, "a bigint, b bigint")
+    first = materialize(pairs.join(side("a"), "a").select("a", "b", "held_a"), "sides")  # written, so that either join can be split
+    return first.join(side("b"), "b").select("a", "b", "held_a", "held_b").mapInArrow(similar, "a bigint, b bigint")
 
 
-def links(table: DataFrame, items: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Links a, b between rows of items that connect all pairs of at least similarity."""
+def trie_candidates(rows: DataFrame) -> DataFrame:
+    """a, b: pairs of rows (row, fp) that connect all whose fingerprints are equal or linked by the trie."""
+    fps = materialize(rows.groupBy("fp").agg(F.min("row").alias("least")).withColumn("fp2", F.lit(0).cast("bigint")), "fps")
+    found = simhash.links(fps.select("fp", "fp2"), TRIE_BITS, TRIE_ROTATIONS)
+    end = lambda c: fps.select(F.col("fp").alias(c), F.col("least").alias(f"row_{c}"))
+    linked = found.join(end("a"), "a").join(end("b"), "b").select(F.least("row_a", "row_b").alias("a"), F.greatest("row_a", "row_b").alias("b"))
+    equal = rows.join(fps, "fp").filter("row > least").select(F.col("least").alias("a"), F.col("row").alias("b"))
+    return linked.union(equal)
+
+
+def links(keys: DataFrame, candidates: DataFrame, items: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Links a, b between rows of items that connect all pairs of at least similarity: keys are their prefixes."""
     near = lambda n, m: F.least(n, m) >= F.lit(similarity) * F.greatest(n, m) - 1e-9
-    keys = materialize(prefixes(table, similarity).join(items.select("row"), "row", "left_semi"), "prefixes")
-    least = keys.groupBy("key").agg(F.min_by(F.struct("row", "n"), "row").alias("least"))
-    star = keys.join(least, "key").filter((F.col("row") > F.col("least.row")) & near(F.col("n"), F.col("least.n")))
-    tried = materialize(star.select(F.col("least.row").alias("a"), F.col("row").alias("b")).distinct(), "star")
+    least = materialize(keys.groupBy("key").agg(F.min_by(F.struct("row", "n"), "row").alias("least")), "least")
+    star = keys.join(least, "key").filter((F.col("row") > F.col("least.row")) & near(F.col("n"), F.col("least.n"))).select(F.col("least.row").alias("a"), F.col("row").alias("b"))
+    tried = materialize(star.union(candidates).distinct(), "tried")
     found = materialize(verified(tried, items, docs, width, similarity), "links")
     root = components.roots(found)
-    placed = keys.join(root.select(F.col("node").alias("row"), "root"), "row", "left").withColumn("root", F.coalesce("root", "row"))
+    placed = materialize(keys.join(root.select(F.col("node").alias("row"), "root"), "row", "left").withColumn("root", F.coalesce("root", "row")), "placed")
     open_keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
     placed = materialize(placed.join(open_keys, "key", "left_semi"), "open")
     a = placed.select("key", F.col("row").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
@@ -180,19 +247,26 @@ def links(table: DataFrame, items: DataFrame, docs: DataFrame, width: int, simil
     return found.union(materialize(verified(rest, items, docs, width, similarity), "links"))
 
 
-def near_copies(docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """doc_id, fp (the SimHash, long) and component_id for each row of docs (doc_id, text).
+def near_copies(docs: DataFrame, width: int, similarity: float, part_items: int = PART_ITEMS, fan: int = bl.FAN, merge: int = bl.MERGE_ITEMS) -> DataFrame:
+    """doc_id, fp (the SimHash, long), text_hash (xxhash64), component_id and kept for each row of docs (doc_id, text).
 
-    component_id is the smallest doc_id that is reachable over pairs of at least similarity, the document's own included. Documents
-    without words are copies of each other. Null doc_ids are kept but name no component (null if nothing else does).
+    component_id is the smallest doc_id that is reachable over pairs of at least similarity, the document's own included; kept is
+    true for one row of each component, that with the smallest doc_id (of several the one with the smallest hash). Documents
+    without words are copies of each other. Null doc_ids name no component (null if nothing else does) and are kept last. Rows
+    that repeat a doc_id with another text have components of their own.
     """
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    table = shingled(docs, width, max(1, math.ceil(size / PART_BYTES)))
+    size, texts = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    guess = (size or 0) // 6  # bytes of a word, about
+    exchange = bl.Exchange(guess, max(1, math.ceil(guess / part_items)), fan, merge)
+    table = shingled(docs, width, exchange.parts, fan, common_shingles(docs, texts, width))
     own = table.filter("row is not null").select("row", "doc_id", "fp", "text_hash", "digest")
-    sets = materialize(own.groupBy("digest").agg(F.min("row").alias("row"), F.min("doc_id").alias("first")), "sets")
-    items = own.join(sets.select("row"), "row", "left_semi").select("row", "text_hash", "digest")
-    root = components.roots(links(table, items, docs, width, similarity))
-    placed = sets.join(root, sets.row == root.node, "left").select("digest", "first", F.coalesce("root", "row").alias("root"))
-    smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = placed.join(smallest, "root").select("digest", "component_id")
-    return own.select("doc_id", "fp", "digest").join(classes, "digest").select("doc_id", "fp", "component_id")
+    place = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "text_hash", "row")
+    sets = materialize(own.groupBy("digest").agg(F.min("row").alias("row"), F.min("doc_id").alias("least"), F.min(place).alias("first")), "sets")
+    items = materialize(own.join(sets.select("row"), "row", "left_semi").select("row", "fp", "text_hash", "digest"), "items")
+    keys = materialize(prefixes(table, exchange, similarity).join(items.select("row"), "row", "left_semi"), "prefixes")
+    found = links(keys, trie_candidates(items.select("row", "fp")), items.drop("fp"), docs, width, similarity)
+    root = components.roots(found)
+    placed = sets.join(root, sets.row == root.node, "left").select("digest", "least", "first", F.coalesce("root", "row").alias("root"))
+    smallest = placed.groupBy("root").agg(F.min("least").alias("component_id"), F.min("first").alias("one"))
+    classes = materialize(placed.join(smallest, "root").select("digest", "component_id", F.col("one.row").alias("one")), "classes")
+    return own.join(classes, "digest").select("doc_id", "fp", "text_hash", "component_id", (F.col("row") == F.col("one")).alias("kept"))

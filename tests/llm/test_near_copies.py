@@ -1,9 +1,12 @@
 """Near copies against brute force where fingerprints say little."""
 
 import random
+from collections import Counter
 
-from episodica.llm import simhash
-from episodica.llm.queries import NEAR_DUPLICATES
+import pytest
+
+from episodica.llm import simhash, similar
+from episodica.llm.stages import NEAR_DUPLICATES
 
 
 def classes(spark, texts):
@@ -59,3 +62,53 @@ def test_a_similar_pair_between_two_nearer_ones(spark):
         if jaccard(a, b) >= 0.8 and found:
             break
     assert classes(spark, [a, b, found[0]]) == [0, 0, 2]
+
+
+def brute(rows, width=5, least=0.8):
+    """component and kept of each (doc_id, text) by comparing all pairs."""
+    sets = [set(simhash.shingle_hashes(t or "", width).tolist()) for _, t in rows]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            shared = len(sets[i] & sets[j])
+            if sets[i] == sets[j] or shared >= least * (len(sets[i]) + len(sets[j]) - shared):
+                old, new = label[i], label[j]
+                label = [new if x == old else x for x in label]
+    ids = lambda k: [rows[m][0] for m in range(len(rows)) if label[m] == label[k] and rows[m][0] is not None]
+    return [min(ids(k), default=None) for k in range(len(rows))], len(set(label))
+
+
+@pytest.mark.parametrize("sizes", [{}, {"part_items": 300, "fan": 3, "merge": 50}])
+def test_components_equal_brute_force(spark, monkeypatch, sizes):
+    """Passages that many share, chains of edits, short texts, nulls, repeated ids; also at other sizes of the exchange and of blocks."""
+    if sizes:
+        monkeypatch.setattr(similar, "BROADCAST_TEXTS", 0)
+        monkeypatch.setattr(similar, "COMMON_SHARE", 0.05)
+    rnd = random.Random(9)
+    word = lambda: f"w{rnd.randrange(400)}"
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(None, None), (1, ""), (2, " \n"), (3, "one"), (4, "ONE"), (None, "one two")]
+    for k in range(40):
+        words = [word() for _ in range(rnd.randrange(1, 60))]
+        rows.append((10 + k, " ".join(words) + (f" {passage}" if k % 3 == 0 else "")))
+        for _ in range(rnd.randrange(3)):  # a chain of edits
+            words = list(words)
+            words[rnd.randrange(len(words))] = word()
+            rows.append((rnd.choice([None, 200 + len(rows), 10 + k]), " ".join(words) + (f" {passage}" if k % 3 == 0 else "")))
+    want, groups = brute(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = similar.near_copies(docs, 5, 0.8, **sizes).collect()
+    assert Counter((r["doc_id"], r["component_id"]) for r in got) == Counter((i, c) for (i, _), c in zip(rows, want, strict=True))
+    assert sum(r["kept"] for r in got) == groups < len(rows)
+    assert similar.near_copies(docs.limit(0), 5, 0.8).count() == 0
+
+
+def test_stage_drops_rows_not_ids(spark, tmp_path):
+    """A row that repeats a near copy's id with another text stays; of a group one row stays, whatever its ids."""
+    from episodica.llm import stages
+
+    text = " ".join(f"a{k}" for k in range(60))
+    rows = [(2, text), (5, text + " tail"), (5, "something else altogether is told here"), (None, text + " end"), (7, None), (8, ""), (None, "no id")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    got = stages.drop_near_copies(spark, spark.read.parquet(str(tmp_path / "d")), "").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(2, text), (5, rows[2][1]), (7, None), (None, "no id")], key=str)

@@ -170,7 +170,7 @@ def test_trie_join_finds_every_link(spark, max_bits, rotations, depth, node_item
 
 
 def test_near_copies_at_five_words(spark):
-    from episodica.llm.queries import NEAR_DUPLICATES
+    from episodica.llm.stages import NEAR_DUPLICATES
 
     rnd = random.Random(9)
     vocabulary = [f"w{k}" for k in range(3000)]
