@@ -2,54 +2,17 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
-from pyspark.sql import functions as F
-
-from episodica.llm import bpe, exact, langid, mixing, simhash
-from episodica.llm.common import ascii_lower, materialize, text_or_empty
-from episodica.llm.queries import BPE_VOCABULARY, NEAR_DUPLICATES
-
-
-def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is identified with calibrated confidence."""
-    return langid.identify(docs, langid.fit(docs)).filter(~F.col("rejected")).select(docs.columns)
-
-
-def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts (A-Z lower-cased) the row with the largest doc_id; of rows that repeat it, one."""
-    found = exact.deduplicate(docs).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    rows = docs.withColumn("__text_sha", F.sha2(ascii_lower(text_or_empty()), 256))
-    rows = rows.join(found, rows["doc_id"].eqNullSafe(found["__id"]) & (rows["__text_sha"] == found["__sha"]), "left_semi")
-    one = F.row_number().over(W.partitionBy("doc_id", "__text_sha").orderBy("text"))
-    return rows.withColumn("__one", one).filter("__one = 1").select(docs.columns)
-
-
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest doc_id, of each group of near copies; null ids stay."""
-    found = simhash.near_duplicates(docs, **NEAR_DUPLICATES)
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-
-
-def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample of the documents whose tokens have the target marginals."""
-    return mixing.mix(mixing.measure(docs)).filter("sampled").select(docs.columns)
-
-
-def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document (packed 32-bit), and digests of them and of what they decode to."""
-    found = bpe.encode(docs, BPE_VOCABULARY, public_tokenizers.PATTERN, decoded=True)
-    return found.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
+from episodica.llm import stages
+from episodica.llm.common import materialize
 
 STAGES = [
-    ("language", identify_language),
-    ("exact_dedup", drop_copies),
-    ("simhash_dedup", drop_near_copies),
-    ("mixing", mix_sources),
-    ("bpe", encode_tokens),
+    ("language", stages.identify_language),
+    ("exact_dedup", stages.drop_copies),
+    ("simhash_dedup", stages.drop_near_copies),
+    ("mixing", stages.mix_sources),
+    ("bpe", stages.encode_tokens),
 ]
 
 #: Language identification and SimHash have no SQL form; tests hold the stages against brute force.
