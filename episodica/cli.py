@@ -6,6 +6,8 @@ import argparse
 import json
 import os
 import sys
+import time
+import tomllib
 from collections.abc import Callable
 from pathlib import Path
 
@@ -13,10 +15,11 @@ from pyspark.sql import SparkSession
 
 from episodica import config as settings
 from episodica.operators import ledger as lg
-from episodica.operators import snapshot
+from episodica.operators import redact, snapshot
 from episodica.plans import jobs
 from episodica.sources import readers, registry, sinks
 
+VERSION = "0.2.0"
 SPLIT_SEED = "episodica-split-v1"
 
 
@@ -116,7 +119,36 @@ def parser() -> argparse.ArgumentParser:
 
 
 def _sink(to: Path | None, conf: settings.Config):
-    return sinks.DirectorySink(to or conf.home / "outbox")
+    """The service of the settings; a folder, where one is given or no service is set."""
+    if to or not conf.worker_url:
+        return sinks.DirectorySink(to or conf.home / "outbox")
+    return sinks.HttpSink(conf.worker_url, conf.worker_token, conf.upload_mode, conf.index_url, conf.index_token, conf.timeout_seconds, conf.allow_insecure_http)
+
+
+def _remote(conf: settings.Config, transport=sinks.http) -> registry.RemoteRegistry | None:
+    """The remote registry, if the settings ask for one."""
+    if not conf.registry_enabled or not conf.registry_url:
+        return None
+    sinks.ensure_secure(conf.registry_url, conf.allow_insecure_http)
+
+    def fetch(etag: str | None) -> tuple[int, str | None, str]:
+        status, text, headers = transport("GET", conf.registry_url, {"If-None-Match": etag} if etag else {}, None, conf.timeout_seconds)
+        return status, headers.get("etag"), text
+
+    return registry.RemoteRegistry(fetch, conf.home / "registry-cache.json", time.time, conf.registry_ttl_hours)
+
+
+def _latest(conf: settings.Config, transport=sinks.http) -> str:
+    """The name of the latest release at the settings' address (JSON with tag_name)."""
+    status, text, _ = transport("GET", conf.update_url, {"User-Agent": "episodica"}, None, 2)
+    if status != 200:
+        raise OSError(f"status={status}")
+    return json.loads(text)["tag_name"]
+
+
+def _pack(conf: settings.Config) -> str:
+    """The rule pack of the settings' policy file (TOML, rules = "default" or "strict")."""
+    return tomllib.loads(conf.policy_path.read_text()).get("rules", "default") if conf.policy_path else "default"
 
 
 def _print(values: dict) -> None:
@@ -128,16 +160,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     args = parser().parse_args(argv)
     conf = settings.load(args.config)
     sources_file = conf.sources_path or conf.home / "sources.toml"
+    if conf.update_url and (notice := update_notice(VERSION, lambda: _latest(conf))):
+        print(notice, file=sys.stderr)
     if args.command == "sources":
-        return _sources(args, sources_file)
+        return _sources(args, sources_file, _remote(conf))
     spark = spark or SparkSession.builder.appName("episodica").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     book = lg.Ledger(spark, conf.ledger)
     raw = getattr(args, "include_raw", False) or not conf.allowlist_mode
     if args.command == "run":
-        found, warnings = registry.resolve(sources_file)
+        found, warnings = registry.resolve(sources_file, _remote(conf))
         for warning in warnings:
             print(warning, file=sys.stderr)
-        result = jobs.run(spark, registry.select(found, args.source), book, jobs.load_salt(conf.home / "anonymization_salt"), _sink(args.to, conf), args.dry_run, args.yes and args.review, raw, args.max_upload_bytes, args.preview_limit if args.dry_run or args.show_payload else 0, args.export_payload, args.export_limit)
+        result = jobs.run(spark, registry.select(found, args.source), book, jobs.load_salt(conf.home / "anonymization_salt"), _sink(args.to, conf), args.dry_run, args.yes and args.review, raw, args.max_upload_bytes, args.preview_limit if args.dry_run or args.show_payload else 0, args.export_payload, args.export_limit, pack=_pack(conf), scanner=redact.find_scanner())
         shown = vars(result) | {}
         previews, stats = shown.pop("payload_preview"), shown.pop("source_stats")
         _print(shown)
@@ -170,9 +204,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif args.command == "scan":
         _print(jobs.scan(spark, args.input, args.out))
     elif args.command == "sanitize":
-        _print(jobs.sanitize(spark, args.input, args.out, args.policy))
+        _print(jobs.sanitize(spark, args.input, args.out, args.policy, redact.find_scanner()))
     elif args.command == "publish":
-        result = jobs.publish(spark, args.input, book, _sink(args.to, conf), args.namespace or conf.namespace, args.dry_run, args.yes and args.review, raw, args.max_upload_bytes)
+        result = jobs.publish(spark, args.input, book, _sink(args.to, conf), args.namespace or conf.namespace, args.dry_run, args.yes and args.review, raw, args.max_upload_bytes, salt=jobs.load_salt(conf.home / "anonymization_salt"))
         _print({k: v for k, v in vars(result).items() if k in {"produced_docs", "would_upload_docs", "uploaded_docs", "skipped_existing_docs", "capped_docs", "would_upload_bytes", "uploaded_bytes", "capped_bytes"}})
     elif args.command == "status":
         state = book.consent()
@@ -191,12 +225,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     return 0
 
 
-def _sources(args: argparse.Namespace, sources_file: Path) -> int:
+def _sources(args: argparse.Namespace, sources_file: Path, remote: registry.RemoteRegistry | None = None) -> int:
     if args.action == "add":
         registry.add_local(sources_file, registry.Source(args.name, (args.root,), (args.glob,), args.format, parser_hint=args.parser))
         print(f"added={args.name}")
         return 0
-    found, warnings = registry.resolve(sources_file)
+    if args.action == "update":
+        print(f"remote sources={len(remote.load())}" if remote else "remote registry is not enabled")
+    found, warnings = registry.resolve(sources_file, remote)
     for source in found:
         present = any(Path(registry.expand(r)).is_dir() for r in source.roots)
         if args.action != "detect" or present:

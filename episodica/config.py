@@ -21,6 +21,13 @@ class Config:
     upload_mode: str = "legacy"
     timeout_seconds: int = 30
     namespace: str | None = None
+    worker_url: str | None = None
+    worker_token: str | None = None
+    index_url: str | None = None
+    index_token: str | None = None
+    policy_path: Path | None = None
+    allow_insecure_http: bool = False
+    update_url: str | None = None
 
     @property
     def ledger(self) -> str:
@@ -36,6 +43,13 @@ VARIABLES = {
     "registry_url": "EPISODICA_REGISTRY_URL",
     "upload_mode": "EPISODICA_UPLOAD_MODE",
     "namespace": "EPISODICA_NAMESPACE",
+    "worker_url": "EPISODICA_WORKER_URL",
+    "worker_token": "EPISODICA_WORKER_TOKEN",
+    "index_url": "EPISODICA_INDEX_URL",
+    "index_token": "EPISODICA_INDEX_TOKEN",
+    "policy_path": "EPISODICA_POLICY_PATH",
+    "allow_insecure_http": "EPISODICA_ALLOW_INSECURE_HTTP",
+    "update_url": "EPISODICA_UPDATE_URL",
 }
 
 
@@ -46,9 +60,10 @@ def load(path: str | Path | None = None, env: dict[str, str] | None = None) -> C
     given = tomllib.loads(file.read_text()) if file.exists() else {}
     given |= {k: env[v] for k, v in VARIABLES.items() if v in env}
     given["home"] = Path(given.get("home", home))
-    for key in ("allowlist_mode", "registry_enabled"):
+    for key in ("allowlist_mode", "registry_enabled", "allow_insecure_http"):
         if isinstance(given.get(key), str):
             given[key] = given[key] in _YES
-    if given.get("sources_path"):
-        given["sources_path"] = Path(given["sources_path"])
+    for key in ("sources_path", "policy_path"):
+        if given.get(key):
+            given[key] = Path(given[key])
     return Config(**{k: v for k, v in given.items() if k in Config.__dataclass_fields__})

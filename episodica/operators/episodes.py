@@ -31,18 +31,23 @@ def with_windows(events: DataFrame, max_events: int = WINDOW_EVENTS) -> DataFram
     """
     order = W.partitionBy("path").orderBy("seq")
     turn = F.sum(F.coalesce(is_turn_boundary(F.col("kind"), F.col("text")), F.lit(False)).cast("int")).over(order.rowsBetween(W.unboundedPreceding, 0))
+    return with_parts(events.withColumn("turn", turn.cast("bigint")), max_events)
+
+
+def with_parts(events: DataFrame, max_events: int = WINDOW_EVENTS) -> DataFrame:
+    """events that have turn, with part."""
     place = F.row_number().over(W.partitionBy("path", "turn").orderBy("seq"))
-    return events.withColumn("turn", turn.cast("bigint")).withColumn("part", F.floor((place - 1) / max(max_events, 50)).cast("bigint"))
+    return events.withColumn("part", F.floor((place - 1) / max(max_events, 50)).cast("bigint"))
 
 
-def collect_windows(events: DataFrame, max_events: int = WINDOW_EVENTS) -> DataFrame:
+def collect_windows(events: DataFrame, max_events: int = WINDOW_EVENTS, in_turns: bool = False) -> DataFrame:
     """path, turn, part, session_id (that of the path's first event, for all its windows) and ev: the window's events in order.
 
-    A window holds at most max_events events, so its array is bounded.
+    A window holds at most max_events events, so its array is bounded. in_turns: events have turn and the path's session_id already.
     """
     first = F.first("session_id").over(W.partitionBy("path").orderBy("seq"))
     step = F.struct("seq", "ts", "kind", "text", "tool", "meta")
-    windows = with_windows(events.withColumn("session_id", first), max_events)
+    windows = with_parts(events, max_events) if in_turns else with_windows(events.withColumn("session_id", first), max_events)
     return windows.groupBy("path", "turn", "part").agg(F.first("session_id").alias("session_id"), F.array_sort(F.collect_list(step)).alias("ev"))
 
 
@@ -156,7 +161,7 @@ def summary_trace(ev: Column) -> Column:
 DEFAULTS = {"source_tool": "manual_scan", "accepted_at": "", "consent_version": "", "license": "CC0-1.0", "policy_version": "", "sanitizer_version": "", "os": "linux"}
 
 
-def build_episodes(events: DataFrame, include_raw: bool = False, profile: str = "blake3", gate: bool = True, max_events: int = WINDOW_EVENTS, **constants: str) -> DataFrame:
+def build_episodes(events: DataFrame, include_raw: bool = False, profile: str = "blake3", gate: bool = True, max_events: int = WINDOW_EVENTS, in_turns: bool = False, **constants: str) -> DataFrame:
     """One episode record for each window of events, with path, turn and part before its 16 fields.
 
     With include_raw the prompt, context, trace and result are the texts themselves, else summaries. Episodes whose prompt, context
@@ -165,7 +170,7 @@ def build_episodes(events: DataFrame, include_raw: bool = False, profile: str =
     """
     given = DEFAULTS | constants
     ev = F.col("ev")
-    windows = collect_windows(events, max_events)
+    windows = collect_windows(events, max_events, in_turns)
     if include_raw:
         content = {"prompt": raw_prompt(ev), "context": raw_context(ev), "trace": raw_trace(ev), "result": raw_result(ev)}
     else:

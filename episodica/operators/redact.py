@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
+import json
+import re
+import shutil
+import subprocess
+import tempfile
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import partial, reduce
 from operator import or_
+from pathlib import Path, PurePath
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from episodica.functions.ship import ship_package
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -166,22 +176,52 @@ def samples(before: DataFrame, after: DataFrame, order: list[str], n: int = 5) -
     return after.join(old, order).filter("text <> __old").orderBy(*order).limit(n).select(*order, "text")
 
 
-def apply_scanner(df: DataFrame, scan, column: str = "text") -> DataFrame:
-    """Optional hook for an outside secret scanner: scan(texts) gives for each text the secrets it reports, each of which
-    is replaced wherever it stands. Off unless a scanner is passed; its failures leave texts as they are."""
+def find_scanner(name: str = "gitleaks") -> Callable[[list[str]], list[list[str]]] | None:
+    """The outside secret scanner of that name on the path, as a function for apply_scanner; None where there is none."""
+    program = shutil.which(name)
+    return partial(scan_with, program) if program else None
+
+
+def scan_with(program: str, texts: list[str]) -> list[list[str]]:
+    """The secrets that the program reports for each text. It reads files, which are gone when it has ended."""
+    found: list[list[str]] = [[] for _ in texts]
+    with tempfile.TemporaryDirectory() as folder:
+        for k, text in enumerate(texts):
+            (Path(folder) / f"event-{k}.txt").write_text(text)
+        report = Path(folder) / "report.json"
+        subprocess.run([program, "detect", "--no-git", "--source", folder, "--report-format", "json", "--report-path", str(report)], capture_output=True, check=False)
+        # it ends with an error where it found something, so only the report counts
+        listed = json.loads(report.read_text() or "[]") if report.exists() else []
+    for finding in listed:
+        m = re.fullmatch(r"event-(\d+)\.txt", PurePath(finding.get("File") or "").name)
+        if m and int(m[1]) < len(texts) and finding.get("Secret"):
+            found[int(m[1])].append(finding["Secret"])
+    return found
+
+
+def apply_scanner(df: DataFrame, scan: Callable[[list[str]], list[list[str]]] | None, column: str = "text") -> DataFrame:
+    """df after an outside secret scanner: scan(texts) gives for each text the secrets it reports, each of which is replaced wherever
+    it stands, and counts once in n_secret and n_total where df has these. Without a scanner df stays; a scanner's failures leave
+    texts as they are."""
+    if scan is None:
+        return df
+    counters = [c for c in ("n_secret", "n_total") if c in df.columns]
 
     def rows(batches):
-        for pdf in batches:
+        for batch in batches:
+            texts = batch.column(batch.schema.names.index(column)).to_pylist()
             try:
-                found = scan(pdf[column].fillna("").tolist())
+                found = scan([t or "" for t in texts])
             except Exception:  # noqa: BLE001  an outside tool's failure must not stop the run
-                found = [[] for _ in range(len(pdf))]
-            texts = []
-            for text, secrets in zip(pdf[column], found, strict=True):
+                found = [[] for _ in texts]
+            hits = [0] * len(texts)
+            for k, secrets in enumerate(found):
                 for secret in secrets:
-                    if secret and text:
-                        text = text.replace(secret, "[REDACTED_GITLEAKS]")
-                texts.append(text)
-            yield pdf.assign(**{column: texts})
-
-    return df.mapInPandas(rows, df.schema)
+                    if secret and texts[k] and secret in texts[k]:
+                        texts[k] = texts[k].replace(secret, "[REDACTED_GITLEAKS]")
+                        hits[k] += 1
+            fresh = {column: pa.array(texts, pa.string())} | {c: pc.add(batch.column(batch.schema.names.index(c)), pa.array(hits, pa.int64())) for c in counters}
+            yield pa.RecordBatch.from_arrays([fresh.get(name, batch.column(i)) for i, name in enumerate(batch.schema.names)], batch.schema.names)
+
+    ship_package(df.sparkSession)
+    return df.mapInArrow(rows, df.schema)

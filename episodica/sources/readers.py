@@ -103,19 +103,27 @@ def _strict(rows: DataFrame, schema: T.StructType, required: dict[str, tuple[str
 
 
 def read_events(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Canonical events from strict JSON lines."""
+    return parse_events(lines(whole_files(spark, paths)))
+
+
+def parse_events(rows: DataFrame) -> DataFrame:
+    """Canonical events from strict JSON lines (path, seq, line)."""
     plain = ["source", "session_id", "kind", "text"]
     schema = T.StructType([*(T.StructField(c, T.StringType()) for c in (*plain, "ts")), T.StructField("tool", TOOL), T.StructField("meta", META)])
     required = {f"$.{c}": ("STRING",) for c in (*plain, "ts")} | {"$.tool": ("VOID", "OBJECT"), "$.meta": ("VOID", "OBJECT")}
-    rows = _strict(lines(whole_files(spark, paths)), schema, required).withColumn("ts", parse_rfc3339(F.col("ts")))
+    rows = _strict(rows, schema, required).withColumn("ts", parse_rfc3339(F.col("ts")))
     named = F.col("tool").isNull() | F.col("tool.name").isNotNull()
     tagged = F.col("meta").isNull() | F.col("meta.tags").isNotNull()
     return rows.filter(F.col("ts").isNotNull() & named & tagged).withColumn("ts_inferred", F.lit(False))
 
 
 def read_episodes(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Episode records from strict JSON lines, with path and seq."""
+    return parse_episodes(lines(whole_files(spark, paths)))
+
+
+def parse_episodes(rows: DataFrame) -> DataFrame:
+    """Episode records from strict JSON lines (path, seq, line), with path and seq."""
     texts = "id source_tool session_id ts_start ts_end prompt context result license policy_version sanitizer_version content_hash".split()
     required = {f"$.{c}": ("STRING",) for c in texts} | {"$.trace": ("ARRAY",), "$.outcome": ("OBJECT",), "$.outcome.success": ("BOOLEAN",), "$.outcome.signals": ("OBJECT",), "$.meta": ("OBJECT",), "$.meta.tool_names": ("ARRAY",), "$.meta.error_types": ("ARRAY",), "$.meta.raw_content_included": ("BOOLEAN",), "$.consent": ("OBJECT",), "$.consent.accepted_at": ("STRING",), "$.consent.consent_version": ("STRING",), "$.consent.public_searchable": ("BOOLEAN",), "$.consent.trainable": ("BOOLEAN",)}
-    schema = spark.createDataFrame([], EPISODE).schema
-    return _strict(lines(whole_files(spark, paths)), schema, required)
+    schema = rows.sparkSession.createDataFrame([], EPISODE).schema
+    return _strict(rows, schema, required)

@@ -236,3 +236,46 @@ def test_repeated_keys_in_one_batch(spark):
     assert rows(lg.merge(old, new, "k", ["moved"], ["kept"])) == [("a", 1, 3), ("b", 4, 5), (None, 6, 6), (None, 6, 6)]
     assert rows(lg.merge(old, new, "k")) == [("a", 3, 3), ("b", 5, 5), (None, 6, 6), (None, 6, 6)]
     assert rows(lg.insert_or_ignore(old, new, "k", ["kept"])) == [("a", 1, 1), ("b", 4, 4), (None, 6, 6), (None, 6, 6)]
+
+
+def test_runs_index_what_they_upload(spark, home, book):
+    sink = sinks.DirectorySink(home / "box")
+    done = jobs.run(spark, [SOURCE], book, "salt", sink, dry_run=False, confirmed=True)
+    ids = {p.stem for p in (home / "box" / "episodes").iterdir()}
+    vectors = [json.loads(p.read_text()) for p in (home / "box" / "index").iterdir()]
+    assert done.uploaded_docs == 3 == len(ids) and {v["id"] for v in vectors} == ids
+    assert all(v["metadata"]["pointer"]["object_key"] == f"episodes/{v['id']}.json" and len(v["metadata"]["source_tool"]) == 64 for v in vectors)
+    rows = book.read("episodes").collect()
+    assert {r["r2_object_key"] for r in rows} == {f"episodes/{i}.json" for i in ids} and all(r["session_id_hash"] for r in rows)
+
+
+def test_events_of_all_files_are_one_session(spark):
+    rows = [(f"f{k // 40}", k % 40, "user_msg" if k % 13 == 0 else "assistant_msg", f"t{k}", f"s{k}") for k in range(400)]
+    events = spark.createDataFrame(rows, "path string, seq long, kind string, text string, session_id string").repartition(5)
+    from pyspark.sql import Window as W
+
+    from episodica.operators import episodes
+
+    got = jobs.one_session(events, "all")
+    place = F.row_number().over(W.orderBy("path", "seq")).cast("bigint")
+    first = events.orderBy("path", "seq").first()["session_id"]
+    want = episodes.with_windows(events.withColumns({"seq": place, "path": F.lit("all"), "session_id": F.lit(first)}))
+    key = ["path", "seq", "kind", "text", "session_id", "turn", "part"]
+    assert sorted(episodes.with_parts(got).select(key).collect()) == sorted(want.select(key).collect())
+
+
+def test_service_settings(tmp_path):
+    env = {"EPISODICA_HOME": str(tmp_path), "EPISODICA_WORKER_URL": "https://w", "EPISODICA_INDEX_URL": "https://i", "EPISODICA_UPLOAD_MODE": "auto", "EPISODICA_REGISTRY_ENABLED": "1", "EPISODICA_REGISTRY_URL": "https://r/x.toml", "EPISODICA_UPDATE_URL": "https://u"}
+    conf = config.load(env=env)
+    sink = cli._sink(None, conf)
+    assert isinstance(sink, sinks.HttpSink) and (sink.mode, sink.index) == ("auto", "https://i") and isinstance(cli._sink(tmp_path, conf), sinks.DirectorySink)
+    manifest = rg.format_manifest([rg.Source("far", ("~/logs",), ("*.jsonl",), "jsonl")])
+    remote = cli._remote(conf, lambda *a: (200, manifest, {"etag": "t"}))
+    assert [s.id for s in remote.load()] == ["far"]
+    assert cli._latest(conf, lambda *a: (200, '{"tag_name": "v9.9.9"}', {})) == "v9.9.9"
+    with pytest.raises(OSError):
+        cli._latest(conf, lambda *a: (500, "", {}))
+    (tmp_path / "policy.toml").write_text('rules = "strict"\n')
+    assert cli._pack(conf) == "default" and cli._pack(config.load(env=env | {"EPISODICA_POLICY_PATH": str(tmp_path / "policy.toml")})) == "strict"
+    with pytest.raises(ValueError):
+        cli._remote(config.load(env=env | {"EPISODICA_REGISTRY_URL": "http://r"}))

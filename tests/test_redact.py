@@ -134,3 +134,19 @@ def test_long_texts_take_linear_time(spark, text, clean, n):
     began = time.perf_counter()
     df.select(redact.is_sensitive(F.col("text"))).first()
     assert time.perf_counter() - began < 4
+
+
+def test_outside_scanner_program(spark, tmp_path, monkeypatch):
+    """A program of the scanner's name on the path, which reports a secret and fails as such programs do when they find one."""
+    program = tmp_path / "gitleaks"
+    program.write_text("""#!/bin/sh
+while [ $# -gt 0 ]; do case "$1" in --source) src="$2";; --report-path) out="$2";; esac; shift; done
+echo '[{"File":"'$src'/event-0.txt","Secret":"s3cr3t"},{"File":"'$src'/event-99.txt","Secret":"x"},{"File":null,"Secret":"y"}]' > "$out"
+exit 1
+""")
+    program.chmod(0o755)
+    monkeypatch.setenv("PATH", str(tmp_path), prepend=":")
+    rows = redact.redact(spark.createDataFrame([("my s3cr3t and s3cr3t",)], "text string"))
+    got = redact.apply_scanner(rows, redact.find_scanner()).first()
+    assert (got["text"], got["n_secret"], got["n_total"]) == ("my [REDACTED_GITLEAKS] and [REDACTED_GITLEAKS]", 1, 1)
+    assert redact.find_scanner("no-such-program") is None and redact.apply_scanner(rows, None) is rows

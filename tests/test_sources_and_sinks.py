@@ -1,5 +1,6 @@
 """Source registry, discovery, transport policy."""
 
+import json
 import re
 
 import pytest
@@ -131,3 +132,57 @@ def test_secure_urls():
     sinks.ensure_secure("http://a.b", allow_http=True)
     with pytest.raises(ValueError):
         sinks.ensure_secure("http://a.b")
+
+
+class Service:
+    """A transport that answers like the service and remembers what was asked."""
+
+    def __init__(self, missing=(), key="k"):
+        self.asked, self.missing, self.key = [], missing, key
+
+    def __call__(self, method, url, headers, body, timeout):
+        self.asked.append((method, url, headers, body, timeout))
+        path = url.removeprefix("https://w")
+        if path in self.missing:
+            return 404, "", {}
+        if path == "/v1/episodes/presign":
+            return 200, '{"upload_url": "https://store/x", "object_key": "p"}', {}
+        return 200, json.dumps({"object_key": self.key, "object_prefix": "snap"}), {}
+
+
+def test_http_sink():
+    body = json.dumps({"content_hash": "h"})
+    service = Service()
+    sink = sinks.HttpSink("https://w/", "tok", index="https://i", index_token="it", timeout=1, transport=service)
+    assert sink.upload("e", body) == "k"
+    method, url, headers, sent, timeout = service.asked[-1]
+    assert (method, url, headers["Authorization"], sent, timeout) == ("POST", "https://w/v1/episodes", "Bearer tok", body.encode(), 5)
+    sink.push_revocation("e", None, "2026")
+    assert json.loads(service.asked[-1][3]) == {"episode_id": "e", "revoked_at": "2026", "reason": None}
+    assert sink.publish_snapshot("1", {"total_records": 2}, "c", [], "card") == "snap"
+    sink.index_snapshot("1", {"total_records": 2}, "snap")
+    vector = json.loads(service.asked[-1][3])["vectors"][0]
+    assert service.asked[-1][1] == "https://i/upsert-data" and vector["id"] == "snapshot:1" and vector["metadata"]["pointer"]["object_key"] == "snap"
+
+
+def test_http_sink_modes():
+    body = json.dumps({"content_hash": "h"})
+    for mode, missing, paths in (("presigned", (), ["/v1/episodes/presign", "https://store/x", "/v1/episodes/complete"]), ("auto", ("/v1/episodes/presign",), ["/v1/episodes/presign", "/v1/episodes"])):
+        service = Service(missing)
+        assert sinks.HttpSink("https://w", mode=mode, transport=service).upload("e", body) == "k"
+        assert [url.removeprefix("https://w") for _, url, *_ in service.asked] == paths
+    with pytest.raises(sinks.HttpError):
+        sinks.HttpSink("https://w", mode="presigned", transport=Service(("/v1/episodes/presign",))).upload("e", body)
+    with pytest.raises(ValueError):
+        sinks.HttpSink("http://w")
+    with pytest.raises(ValueError):
+        sinks.HttpSink("https://w", transport=Service()).index_vectors([])
+
+
+def test_pointer_of_an_episode():
+    pointer = json.dumps({"prompt": "p", "source_tool": "s", "session_id": "x", "license": "CC0-1.0", "consent": {"consent_version": "v", "public_searchable": True, "trainable": True}, "meta": {"tool_names": ["t"], "error_types": ["error"]}})
+    got = sinks.pointer_of("e", pointer, "key", "salt")
+    assert got["id"] == "e" and got["data"] == "p" and got["metadata"]["pointer"] == {"storage": "r2", "object_key": "key", "snapshot_version": None}
+    from episodica.functions.blake3 import digests
+
+    assert [got["metadata"]["source_tool"], got["metadata"]["session_id"], *got["metadata"]["tool_names"]] == digests([b"salt|s", b"salt|x", b"salt|t"])
