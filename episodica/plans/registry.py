@@ -10,6 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from episodica.functions.blake3 import content_digest, digests
+from episodica.functions.staging import staging_path
 from episodica.functions.text import blank, format_bytes, is_newer, normalize_text, preview, role_of
 from episodica.operators import chunks, episodes, ledger, redact, snapshot
 from episodica.operators.events import from_activity, from_conversations
@@ -342,3 +344,195 @@ def read_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def payload_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = episodes.build_episodes(conversation_events(spark, sf_dir), include_raw=True, profile="sha256")
     return sinks.head(made, 5).select("path", "turn", "part", "id", F.substring("prompt", 1, 240).alias("prompt"))
+
+
+# ---- what the jobs and readers are made of ---------------------------------------------------------------------------
+
+
+@query(sql.NORMALIZE_META)
+def normalize_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with offsets and nanoseconds, nested texts, metadata inside and outside the payload, wrapped exit codes, and bad lines."""
+    e = table(spark, sf_dir, "events")
+    number = F.col("event_id").cast("string")
+    payload = F.struct(F.lit("tool_result").alias("type"), F.array(F.struct(F.lit("a").alias("text"), F.lit(None).cast("string").alias("value")), F.struct(F.lit(None).cast("string").alias("text"), number.alias("value"))).alias("content"), F.lit("/w").alias("cwd"), (F.col("event_id") * 3_000_000_000).alias("exit_code"))
+    later = F.concat(F.date_format(F.col("ts") + F.expr("interval 2 hours"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("789+02:00"))
+    called = F.to_json(F.struct(later.alias("time"), F.lit("event_msg").alias("type"), F.lit("r").alias("repo"), payload.alias("payload")))
+    plain = F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("ts"), F.lit("note").alias("kind"), number.alias("text"), F.lit("m").alias("model")))
+    line = F.when(F.col("event_type") == "error", F.concat(F.lit("{bad "), number)).when(F.col("event_type") == "purchase", called).otherwise(plain)
+    files = e.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("event_id", line.alias("line")))).alias("l"))
+    files = files.select(F.concat(F.lit("/logs/"), F.col("user_id").cast("string"), F.lit(".jsonl")).alias("path"), F.array_join("l.line", "\r\n").alias("content"))
+    found = normalize_files(files, "s", "jsonl")
+    return found.select("path", "seq", "kind", "text", "ts_inferred", F.when(~F.col("ts_inferred"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("at"), F.col("meta.cwd").alias("cwd"), F.col("meta.repo").alias("repo"), F.col("meta.exit_code").alias("exit_code"), F.col("meta.model").alias("model"))
+
+
+@query(sql.SESSION_FILES)
+def session_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation as a file of one session by key."""
+    parts = F.array(F.struct(F.lit("text").alias("type"), F.col("text")), F.struct(F.lit("image").alias("type"), F.lit("no").alias("text")))
+    message = F.struct("turn", "role", F.lit("2026-01-02T03:04:05Z").alias("created_at"), parts.alias("parts"))
+    files = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(message)).alias("messages"))
+    session = F.struct(F.concat(F.lit("s"), F.col("conv_id").cast("string")).alias("id"), F.lit("/w").alias("workspace_root"), "messages")
+    key = F.concat(F.lit("c"), F.col("conv_id").cast("string"))
+    files = files.select(key.alias("path"), F.to_json(F.map_from_arrays(F.array(key), F.array(session))).alias("content"))
+    found = normalize_files(files, "tool", "json", "tandem_v1")
+    return found.select("path", "seq", "session_id", "kind", "text", F.col("meta.cwd").alias("cwd"), F.array_join("meta.tags", ",").alias("tags"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"))
+
+
+@query(sql.MIXED_FILES)
+def mixed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as whole JSON files, JSON lines, and files of another suffix that hold anything."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("k"), "text", (F.col("doc_id") % 3).alias("way"))
+    whole = F.to_json(F.struct(F.lit("page").alias("type"), F.struct(F.struct(F.col("text").alias("value")).alias("content")).alias("message")))
+    lines = F.concat(F.to_json(F.struct(F.lit("first").alias("kind"), F.col("k").alias("input"))), F.lit("\n\n"), F.to_json(F.struct(F.col("k").alias("text"))))
+    path = F.concat("k", F.when(F.col("way") == 0, ".json").when(F.col("way") == 1, ".JSONL").otherwise(".log"))
+    files = docs.select(path.alias("path"), F.when(F.col("way") == 0, whole).when(F.col("way") == 1, lines).otherwise(F.concat(F.lit("log "), "k", F.lit("\nend"))).alias("content"))
+    return normalize_files(spread(files), "s", "mixed").select("path", "seq", "session_id", "kind", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query(sql.STRICT_EVENTS)
+def strict_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as strict lines, some with a field that is missing or has another type."""
+    made = activity_events(spark, sf_dir)
+    value = sinks.event_lines(made.withColumn("meta", F.lit(None).cast(made.schema["meta"].dataType)))
+    kind = F.get_json_object("value", "$.kind")
+    broken = F.when(kind == "error", F.regexp_replace("value", '"text":"', '"texts":"')).when(kind == "tool_call", F.regexp_replace("value", '"name":"[^"]*"', '"name":null')).when(kind == "user_msg", F.regexp_replace("value", '"ts":"([^"]*)"', '"ts":"later"')).otherwise(F.col("value"))
+    found = readers.parse_events(value.select("path", "seq", broken.alias("line")))
+    return found.select("path", "seq", "source", "session_id", "kind", "text", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"))
+
+
+@query(sql.STRICT_EPISODES)
+def strict_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Episode records written as lines and read back; those of a first turn have a number for a flag."""
+    made = episodes.build_episodes(conversation_events(spark, sf_dir), include_raw=True, profile="sha256")
+    values = sinks.episode_lines(made.withColumn("path", F.concat_ws("/", "path", "turn", "part")))
+    line = F.when(F.split("path", "/")[1] == "1", F.regexp_replace("value", '"trainable":true', '"trainable":1')).otherwise(F.col("value"))
+    found = readers.parse_episodes(values.select("path", F.lit(0).cast("bigint").alias("seq"), line.alias("line")))
+    return found.select("path", "id", "prompt", F.size("trace").cast("bigint").alias("n_steps"), F.col("consent.trainable").alias("trainable"), F.col("meta.raw_content_included").alias("raw"))
+
+
+@query(sql.SUMMARY_TRACE)
+def summary_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every step of the summarised traces."""
+    windows = episodes.collect_windows(activity_events(spark, sf_dir))
+    steps = windows.select("path", "turn", "part", F.posexplode(episodes.summary_trace(F.col("ev"))).alias("step", "s"))
+    return steps.select("path", "turn", "part", "step", F.col("s.role").alias("role"), F.col("s.content").alias("content"), F.col("s.name").alias("name"), F.col("s.ts").alias("ts"))
+
+
+@query(sql.EVENT_LINES)
+def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as the lines that scans write."""
+    return sinks.event_lines(conversation_events(spark, sf_dir)).select("path", "seq", F.sha2("value", 256).alias("line_sha256"))
+
+
+@query(sql.INDEX_POINTERS)
+def index_pointers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the search index gets for each episode, but for hashes and key."""
+    made = sinks.pointer_rows(episodes.build_episodes(conversation_events(spark, sf_dir), include_raw=True, profile="sha256"))
+    part = lambda path: F.get_json_object("pointer", path)
+    return made.select("id", part("$.prompt").alias("data"), part("$.source_tool").alias("source_tool"), part("$.session_id").alias("session_id"), part("$.license").alias("license"), part("$.consent.trainable").alias("trainable"), part("$.meta.tool_names").alias("tool_names"))
+
+
+@query(sql.BLAKE3)
+def blake3_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of published texts, by the column function, and of the published bytes 0 to 250 repeated."""
+    texts = spark.createDataFrame([(t,) for t in sql.BLAKE3_TEXTS], "input string")
+    lengths = spark.createDataFrame([(f"{n} bytes", d) for n, d in zip(sql.BLAKE3_LENGTHS, digests([bytes(k % 251 for k in range(n)) for n in sql.BLAKE3_LENGTHS]), strict=True)], "input string, digest string")
+    return texts.select("input", content_digest(F.col("input")).alias("digest")).union(lengths)
+
+
+# ---- the ledger's tables ---------------------------------------------------------------------------------------------
+
+
+def new_ledger(spark: SparkSession) -> ledger.Ledger:
+    return ledger.Ledger(spark, staging_path(spark, "ledger"))
+
+
+@query(sql.LEDGER_RESET_SOURCE)
+def ledger_reset_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uploads of all documents and cursors of two sources, after one source was reset."""
+    book = new_ledger(spark)
+    none = F.lit(None).cast("string")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), F.sha2("text", 256).alias("content_hash"), F.col("source").alias("source_name"), none.alias("session_id"), none.alias("ts_start"), none.alias("ts_end"), F.lit("2026").alias("uploaded_at"))
+    book.insert_uploads(docs)
+    for name in ("src1", "src2"):
+        book.set_cursor(name, "{}", "1")
+    book.reset_source("src1")
+    left = book.read("uploads").select("doc_id", "content_hash", "source_name")
+    return left.union(book.read("sources").select("source_name", "cursor_json", F.lit("cursor")))
+
+
+@query(sql.LEDGER_RUNS)
+def ledger_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs that were started, and one that was finished; they outlive a reset."""
+    book = new_ledger(spark)
+    book.start_run("a", "1")
+    book.start_run("b", "2")
+    book.finish_run("a", "3", scanned_files=4, produced_docs=5, uploaded_docs=6, redactions=7, errors=0)
+    book.finish_run("missing", "9", errors=1)
+    book.reset_all()
+    return book.read("runs")
+
+
+@query(sql.LEDGER_CONSENT)
+def ledger_consent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consent given twice: the last one counts."""
+    book = new_ledger(spark)
+    book.init_consent("CC0-1.0", "v1", "1")
+    book.init_consent("CC-BY-4.0", "v2", "2")
+    return spark.createDataFrame([(k, str(v)) for k, v in book.require_consent().items()], "name string, value string")
+
+
+@query(sql.LEDGER_REVOCATIONS)
+def ledger_revocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three revocations pushed, one of them made again after that, and the ids for releases."""
+    book = new_ledger(spark)
+    for k, name in enumerate("cab"):
+        book.revoke(name, None, f"2026-0{k + 1}")
+    book.sync_revocations(sinks.MemorySink(), lambda: "pushed")
+    book.revoke("a", "again", "2027")
+    return book.read("revocations").join(book.revoked_ids(), "episode_id")
+
+
+@query(sql.LEDGER_SNAPSHOTS)
+def ledger_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Releases recorded and one published, beside cursors and file fingerprints."""
+    book = new_ledger(spark)
+    book.record_snapshot("1", "1", 2, 3, "m")
+    book.record_snapshot("2", "2", 4, 5, "n")
+    book.mark_snapshot_published("1", "9")
+    book.mark_snapshot_published("none", "9")
+    return book.read("snapshots")
+
+
+@query(sql.LEDGER_CURSORS)
+def ledger_cursors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cursors and fingerprints by point reads: the last ones, null for unknown names."""
+    book = new_ledger(spark)
+    book.set_cursor("s", "{}", "1")
+    book.set_cursor("s", '{"files":{}}', "2")
+    book.put("files", path="p", fingerprint="f", last_seen_ts="1")
+    return spark.createDataFrame([("s", book.cursor("s")), ("t", book.cursor("t")), ("p", book.fingerprint("p")), ("q", book.fingerprint("q"))], "name string, value string")
+
+
+@query(sql.MARK_PUSHED)
+def mark_pushed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.mark_pushed(revocation_rows(spark, sf_dir), ["1", "2", "3"], "now").select("episode_id", "pushed_at", "push_status")
+
+
+@query(sql.SOURCE_CHECKS)
+def source_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources that are refused, and one that isn't."""
+
+    def verdict(*sources: registry.Source, version: int | None = 1) -> bool:
+        try:
+            registry.validate_manifest(version, list(sources))
+        except ValueError:
+            return False
+        return True
+
+    good = registry.Source("logs", ("~/logs",), ("*.jsonl",), "jsonl")
+    changed = {"id": "a b", "roots": (), "globs": (), "format": "xml"}
+    rows = [("good", verdict(good)), ("none", verdict()), ("version", verdict(good, version=2)), ("repeated", verdict(good, good))]
+    rows += [(name, verdict(registry.Source(**({"id": "logs", "roots": ("~/logs",), "globs": ("*",), "format": "jsonl"} | {name: value})))) for name, value in changed.items()]
+    rows += [("traversal", verdict(registry.Source("logs", ("~/logs/../x",), ("*",), "jsonl"))), ("parent", verdict(registry.Source("logs", ("~/logs",), ("../*",), "jsonl"))), ("outside", verdict(registry.Source("logs", ("/etc",), ("*",), "jsonl")))]
+    return spark.createDataFrame(rows, "name string, valid boolean")

@@ -233,3 +233,58 @@ case when event_type = 'purchase' then 'shop' end as tool_name, case when event_
 READ_LINES = r"""with l as (select doc_id, strlen(text) as size, unnest(string_split(text, chr(10))) as p, generate_subscripts(string_split(text, chr(10)), 1) - 1 as seq from documents)
 select path, seq, line_sha256, next_offset from (select doc_id::varchar as path, seq, p, sha256(regexp_replace(p, '[\r]+$', '')) as line_sha256,
 least(sum(strlen(p) + 1) over (partition by doc_id order by seq), size)::integer as next_offset from l) where regexp_matches(p, '\S')"""
+
+# ---- what the jobs and readers are made of ---------------------------------------------------------------------------
+
+NORMALIZE_META = """select '/logs/' || user_id || '.jsonl' as path, row_number() over (partition by user_id order by event_id) - 1 as seq,
+case event_type when 'error' then 'system' when 'purchase' then 'tool_result' else 'note' end as kind,
+case event_type when 'error' then '{bad ' || event_id when 'purchase' then 'a ' || event_id else event_id::varchar end as text, event_type = 'error' as ts_inferred,
+case when event_type <> 'error' then strftime(ts, '%Y-%m-%d %H:%M:%S.%f') end as at, case when event_type = 'purchase' then '/w' end as cwd, case when event_type = 'purchase' then 'r' end as repo,
+case when event_type = 'purchase' then ((event_id * 3000000000 + 2147483648) % 4294967296 - 2147483648)::integer end as exit_code, case when event_type not in ('error', 'purchase') then 'm' end as model from events"""
+SESSION_FILES = r"""select 'c' || conv_id as path, row_number() over (partition by conv_id order by turn) - 1 as seq, 's' || conv_id as session_id,
+case role when 'user' then 'user_msg' when 'assistant' then 'assistant_msg' else 'system' end as kind, text, '/w' as cwd, 'tandem_v1' as tags, '2026-01-02 03:04:05' as at
+from conversations where regexp_matches(text, '\S')"""
+MIXED_FILES = """with d as (select doc_id, doc_id::varchar as k, text from documents)
+select k || '.json' as path, 0::bigint as seq, k as session_id, 'page' as kind, sha256(case when regexp_matches(text, '\\S') then text else '' end) as text_sha256 from d where doc_id % 3 = 0
+union all select k || '.JSONL', n, k, case n when 0 then 'first' else 'system' end, sha256(k) from d, (values (0), (1)) v(n) where doc_id % 3 = 1
+union all select k || '.log', n, k, 'system', sha256(case n when 0 then 'log ' || k else 'end' end) from d, (values (0), (1)) v(n) where doc_id % 3 = 2"""
+STRICT_EVENTS = f"""with {ACTIVITY_EVENTS} select path, seq, source, session_id, kind, text, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as at
+from act where kind not in ('error', 'tool_call', 'user_msg')"""
+STRICT_EPISODES = f"""with {CONVERSATION_EVENTS}, {raw_episodes('conv')} select path || '/' || turn || '/' || part as path, id, prompt, len(trace) as n_steps, true as trainable, true as raw
+from raw where {_GATE} and turn <> 1"""
+SUMMARY_TRACE = f"""with {ACTIVITY_EVENTS}, {windows('act')}, h as {_HISTOGRAM},
+g as (select path, turn, part, count(*) as n, arg_min(ts, seq) as t0, arg_max(ts, seq) as t1 from win group by path, turn, part),
+m as (select *, row_number() over (partition by path, turn, part order by seq) as rn from win where {_MEANINGFUL})
+select path, turn, part, 0 as step, 'system' as role, 'summary: total_events=' || n || ' duration_secs=' || greatest(0, floor((epoch_us(t1) - epoch_us(t0)) / 1000000.0)::bigint) || ' source_kinds_compacted=true' as content,
+null::varchar as name, {stamp('t0')} as ts from g
+union all select path, turn, part, 1, 'system', 'summary: by_kind=' || kinds, null, {stamp('t0')} from g join h using (path, turn, part)
+union all select path, turn, part, rn + 1, {_ROLE}, 'summary_event: kind=' || kind || ' chars=' || strlen(text) || ' tool_args_bytes=' || coalesce(strlen(args), 0) || ' tool_result_bytes=0 preview="' || {preview('text', 140)} || '"',
+tool, {stamp('ts')} from m where rn <= 10"""
+EVENT_LINES = f"""with {CONVERSATION_EVENTS} select path, seq,
+sha256(to_json({{'source': source, 'session_id': session_id, 'ts': replace({stamp('ts')}, '+00:00', 'Z'), 'kind': kind, 'text': text, 'tool': null, 'meta': null}})::varchar) as line_sha256 from conv"""
+INDEX_POINTERS = f"""with {CONVERSATION_EVENTS}, {raw_episodes('conv')} select id, prompt as data, 'manual_scan' as source_tool, session_id, 'CC0-1.0' as license, 'true' as trainable, '[]' as tool_names from raw where {_GATE}"""
+
+# Published texts, lengths of the published bytes, and their digests.
+BLAKE3_TEXTS = ("", "abc", "hello world", "The quick brown fox jumps over the lazy dog")
+BLAKE3_LENGTHS = (0, 1, 1024, 1025, 2048)
+BLAKE3 = """select * from (values ('', 'af1349b9f5f9a1a6a0404dea36dcc9499bcb25c9adc112b7cc9a93cae41f3262'),
+('abc', '6437b3ac38465133ffb63b75273a8db548c558465d79db03fd359c6cd5bd9d85'), ('hello world', 'd74981efa70a0c880b8d8c1985d075dbcbf679b99a5f9914e5aaf96b831a9e24'),
+('The quick brown fox jumps over the lazy dog', '2f1514181aadccd913abd94cfa592701a5686ab23f8df1dff1b74710febc6d4a'),
+('0 bytes', 'af1349b9f5f9a1a6a0404dea36dcc9499bcb25c9adc112b7cc9a93cae41f3262'), ('1 bytes', '2d3adedff11b61f14c886e35afa036736dcd87a74d27b5c1510225d0f592e213'),
+('1024 bytes', '42214739f095a406f3fc83deb889744ac00df831c10daa55189b5d121c855af7'), ('1025 bytes', 'd00278ae47eb27b34faecf67b4fe263f82d5412916c1ffd97c8cb7fb814b8444'),
+('2048 bytes', 'e776b6028c7cd22a4d0ba182a8bf62205d2ef576467e838ed6f2529b85fba24a')) v(input, digest)"""
+
+LEDGER_RESET_SOURCE = """select doc_id::varchar as doc_id, sha256(text) as content_hash, source as source_name from documents where source <> 'src1'
+union all select 'src2', '{}', 'cursor'"""
+LEDGER_RUNS = """select * from (values ('a', '1', '3', 4, 5, 6, 7, 0), ('b', '2', null, 0, 0, 0, 0, 0))
+v(run_id, started_at, finished_at, scanned_files, produced_docs, uploaded_docs, redactions, errors)"""
+LEDGER_CONSENT = """select * from (values ('accepted_at', '2'), ('consent_version', 'v2'), ('license', 'CC-BY-4.0'), ('public_searchable', 'True'), ('trainable', 'True'),
+('ack_sanitization', 'True'), ('ack_public_search', 'True'), ('ack_training_release', 'True')) v(name, value)"""
+LEDGER_REVOCATIONS = """select * from (values ('c', null, '2026-01', 'pushed', 'pushed'), ('a', 'again', '2027', 'pushed', 'pending'), ('b', null, '2026-03', 'pushed', 'pushed'))
+v(episode_id, reason, revoked_at, pushed_at, push_status)"""
+LEDGER_SNAPSHOTS = "select * from (values ('1', '1', 2, 3, 'm', '9'), ('2', '2', 4, 5, 'n', null)) v(version, built_at, train_count, val_count, manifest_hash, published_at)"
+LEDGER_CURSORS = """select * from (values ('s', '{"files":{}}'), ('t', null), ('p', 'f'), ('q', null)) v(name, value)"""
+MARK_PUSHED = f"""with {_REVOCATIONS} select episode_id, case when episode_id in ('1', '2', '3') then 'now' else pushed_at end as pushed_at,
+case when episode_id in ('1', '2', '3') then 'pushed' else push_status end as push_status from rev"""
+SOURCE_CHECKS = """select * from (values ('good', true), ('none', false), ('version', false), ('repeated', false), ('id', false), ('roots', false), ('globs', false), ('format', false),
+('traversal', false), ('parent', false), ('outside', false)) v(name, valid)"""
