@@ -10,13 +10,15 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from episodica.llm.common import prepare
+from episodica.llm.common import lean, prepare
 
 # Fixed values of the HTML standard: elements by how they are laid out and closed.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -82,13 +84,13 @@ class Flow:
 
 
 class Node:
-    __slots__ = ("tag", "flow", "hidden", "rows", "number", "depth")
+    __slots__ = ("tag", "flow", "hidden", "rows", "number", "down")
 
     def __init__(self, tag: str, flow: Flow, hidden: bool) -> None:
         self.tag, self.flow, self.hidden = tag, flow, hidden
-        self.rows: list[list[list[str]]] = []
+        self.rows: list = []
         self.number = 0
-        self.depth = 0
+        self.down = 1
 
 
 def attributes(raw: str) -> dict[str, str]:
@@ -102,6 +104,35 @@ def is_hidden(attrs: dict[str, str]) -> bool:
     return "hidden" in attrs or ("style" in attrs and bool(_HIDING.search(attrs["style"]))) or attrs.get("type", "").lower() == "hidden"
 
 
+def span_of(value: str, most: int) -> int:
+    """A colspan or rowspan; 1 for what is none."""
+    return min(int(value), most) if value.isdigit() and value.isascii() and len(value) < 7 else 1
+
+
+def grid(rows: list[list[tuple[list[str], int, int]]]) -> list[list[list[str]]]:
+    """Rows of cells (lines, columns, rows that they take) as columns: places that a cell reaches into stay empty."""
+    out, down = [], {}  # column: how many more rows a cell from above takes
+    for row in rows:
+        line: list[list[str]] = []
+
+        def pass_over(line=line) -> None:
+            while down.get(len(line)):
+                down[len(line)] -= 1
+                line.append([])
+
+        for lines, across, deep in row:
+            pass_over()
+            at = len(line)
+            line += [lines] + [[]] * (across - 1)
+            if deep > 1:
+                down.update(dict.fromkeys(range(at, at + across), deep - 1))
+        pass_over()
+        for column in [c for c, left in down.items() if left and c >= len(line)]:
+            down[column] -= 1
+        out.append(line)
+    return out
+
+
 def table_lines(rows: list[list[list[str]]]) -> list[str]:
     """Rows of cells of lines, columns aligned and parted by " | "."""
     if not rows:
@@ -119,18 +150,23 @@ def table_lines(rows: list[list[list[str]]]) -> list[str]:
 class Builder:
     def __init__(self) -> None:
         self.stack = [Node("#root", Flow(), False)]
-        self.open: dict[str, int] = {}
+        #: By tag: where its open elements stand in the stack.
+        self.open: dict[str, list[int]] = defaultdict(list)
 
     @property
     def top(self) -> Node:
         return self.stack[-1]
 
+    def last(self, *tags: str) -> int:
+        """The place of the innermost open element of tags; 0 for none."""
+        return max((self.open[t][-1] for t in tags if self.open.get(t)), default=0)
+
     def text(self, raw: str) -> None:
         if raw and not self.top.hidden:
             self.top.flow.text(html.unescape(raw) if "&" in raw else raw)
 
     def start(self, tag: str, raw: str) -> None:
-        if self.open:
+        if len(self.stack) > 1:
             if tag in CLOSES:
                 self._imply(CLOSES[tag], BARRIERS.get(tag, {"table"}))
             if tag in CLOSES_P and self.open.get("p"):
@@ -161,10 +197,9 @@ class Builder:
         if tag == "pre" and not hidden:
             flow.pre += 1
         if tag in {"td", "th"}:
-            span = attrs.get("colspan", "")
-            node.number = min(int(span), 1000) - 1 if span.isdigit() and span.isascii() and len(span) < 5 and int(span) else 0
+            node.number, node.down = max(1, span_of(attrs.get("colspan", ""), 1000)), span_of(attrs.get("rowspan", ""), 65534) or 65534
+        self.open[tag].append(len(self.stack))
         self.stack.append(node)
-        self.open[tag] = self.open.get(tag, 0) + 1
 
     def _void(self, tag: str, attrs: dict[str, str]) -> None:
         flow = self.top.flow
@@ -182,24 +217,18 @@ class Builder:
             flow.text("")
 
     def _imply(self, tags: set[str], barriers: set[str]) -> None:
-        """Close the nearest of tags, and again, up to the nearest barrier."""
-        if not any(self.open.get(t) for t in tags):
-            return
-        last = None
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k].tag in tags:
-                last = k
-            elif self.stack[k].tag in barriers:
-                break
-        if last is not None:
-            self._close_to(last)
+        """Close all of tags that are open within the nearest barrier."""
+        barrier = self.last(*barriers)
+        places = [own[k] for t in tags if (own := self.open.get(t)) and (k := bisect_right(own, barrier)) < len(own)]
+        if places:
+            self._close_to(min(places))
 
     def end(self, tag: str) -> None:
         if tag == "br":
             self.start("br", "")
         elif self.open.get(tag):
-            k = next(k for k in range(len(self.stack) - 1, 0, -1) if self.stack[k].tag == tag)
-            if tag not in BLOCK and any(n.tag in {"td", "th", "li", "table"} for n in self.stack[k + 1 :]):
+            k = self.open[tag][-1]
+            if tag not in BLOCK and self.last("td", "th", "li", "table") > k:
                 return  # a stray inline end tag doesn't tear a cell or an item
             self._close_to(k)
         elif tag == "p":
@@ -211,7 +240,7 @@ class Builder:
 
     def _close(self, node: Node) -> None:
         tag = node.tag
-        self.open[tag] -= 1
+        self.open[tag].pop()
         if node.hidden:
             return
         parent = self.top
@@ -219,8 +248,8 @@ class Builder:
             node.flow.line()
             node.flow.pre -= 1
         if tag == "li":
-            holder = next((n for n in reversed(self.stack) if n.tag in {"ul", "ol", "menu"}), None)
-            if holder is not None and holder.tag == "ol":
+            holder = self.stack[self.last("ul", "ol", "menu")]
+            if holder.tag == "ol":
                 holder.number += 1
                 mark = f"{holder.number}. "
             else:
@@ -229,21 +258,19 @@ class Builder:
             if lines:
                 parent.flow.put([mark + lines[0], *(" " * len(mark) + x if x else "" for x in lines[1:])])
         elif tag in {"td", "th"}:
-            row = next((n for n in reversed(self.stack) if n.tag in {"tr", "table", "#root"}), parent)
+            row = self.stack[self.last("tr", "table")]
             if row.tag == "tr":
-                row.rows.append([node.flow.done()] + [[]] * node.number)
+                row.rows.append((node.flow.done(), node.number, node.down))
             else:  # a cell without a row
                 parent.flow.put(node.flow.done())
         elif tag == "tr":
-            cells = [cell for group in node.rows for cell in ([group[0]] + group[1:])]
-            holder = next((n for n in reversed(self.stack) if n.tag == "table"), None)
-            if holder is not None:
-                holder.rows.append(cells)
+            if k := self.last("table"):
+                self.stack[k].rows.append(node.rows)
             else:
-                parent.flow.put(table_lines([cells]))
+                parent.flow.put(table_lines(grid([node.rows])))
         elif tag == "table":
             parent.flow.line()
-            parent.flow.put(table_lines(node.rows))
+            parent.flow.put(table_lines(grid(node.rows)))
         elif tag == "blockquote":
             parent.flow.put([f"> {x}".rstrip() for x in node.flow.done()])
         elif tag == "dd":
@@ -308,4 +335,4 @@ def extract(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([t.count("\n") + 1 if t else 0 for t in texts], pa.int64()), pa.array(list(map(len, texts)), pa.int64())], ["page_id", "url", "text", "n_lines", "n_chars"])
 
     own = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.col("html").cast("string"))
-    return own.mapInArrow(rows, "page_id bigint, url string, text string, n_lines bigint, n_chars bigint")
+    return own.mapInArrow(lean(rows), "page_id bigint, url string, text string, n_lines bigint, n_chars bigint")
