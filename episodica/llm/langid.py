@@ -4,10 +4,13 @@ A text is lower-cased; everything but letters becomes a boundary. Its subwords a
 their boundaries, hashed into BUCKETS rows of an embedding table. The mean of its rows goes through a linear layer and a
 softmax. As both are linear up to the softmax, prediction folds them into one table of bucket x language.
 
-Rejection is calibrated on labelled texts that training didn't see: a temperature makes the softmax honest, and the threshold is
-the confidence that all but REJECT of those texts which are predicted rightly exceed, but EVEN at most: a prediction that is likelier
-right than wrong is never rejected for its confidence. A text is also rejected when fewer than LETTER_SHARE of its visible
-characters are letters, or none.
+Rejection is calibrated on labelled texts that training didn't see. A temperature makes the softmax honest, and a prediction that is
+likelier wrong than right is rejected. As a softmax is sure of any text that leans to one language, a second test asks whether
+the text looks like that language at all: its familiarity is the mean log frequency of its subwords among those of the training
+texts of the language, in standard deviations from what texts of its length have there. The threshold is what all but REJECT of the
+rightly predicted calibration texts exceed, less SLACK of the way to it from their median, so that clean texts of a larger corpus
+stay; gibberish and texts half in another language fall far below. A text is also rejected when fewer than LETTER_SHARE of its
+visible characters are letters, or none.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from episodica.llm.common import prepare, text_or_empty
+from episodica.llm.common import lean, prepare, text_or_empty
 
 BUCKETS = 1 << 15
 DIM = 16
@@ -29,8 +32,9 @@ EPOCHS = 12
 RATE = 4.0
 #: Bound of the labelled sample that the classifier is fitted on, in rows; they are those with the smallest hashes.
 SAMPLE_ROWS = 4000
-#: Share of rightly predicted calibration texts that rejection may cost at most.
-REJECT = 0.0005
+#: Share of rightly predicted calibration texts below the threshold of familiarity, before SLACK is added to the distance.
+REJECT = 0.01
+SLACK = 0.75
 EVEN = 0.5
 LETTER_SHARE = 0.2
 UNDETERMINED = "und"
@@ -69,13 +73,13 @@ def subwords(text: str) -> Iterator[np.ndarray]:
             yield ((h[ok] * _PRIME) >> np.uint32(32 - 15)).astype(np.int32)
 
 
-def mean_counts(text: str) -> tuple[np.ndarray, np.ndarray] | None:
-    """Buckets of a text and their shares; None without subwords."""
+def mean_counts(text: str) -> tuple[np.ndarray, np.ndarray, int] | None:
+    """Buckets of a text, their shares and the number of subwords; None without subwords."""
     total = np.zeros(BUCKETS)
     for part in subwords(text):
         total += np.bincount(part, minlength=BUCKETS)
     own = np.flatnonzero(total)
-    return (own, total[own] / total.sum()) if len(own) else None
+    return (own, total[own] / total.sum(), int(total.sum())) if len(own) else None
 
 
 def letter_share(text: str) -> float:
@@ -90,33 +94,46 @@ _NOT_LETTERS = bytes(b for b in range(256) if not chr(b).isascii() or not chr(b)
 
 @dataclass
 class Classifier:
-    """table: bucket x language; bias; temperature and threshold of the calibrated rejection."""
+    """table: bucket x language; bias; temperature and threshold of the confidence; log_freq: bucket x language, and usual: language x
+    (mean familiarity, its variance between texts, its variance of one subword); least: the threshold of familiarity."""
 
     languages: list[str]
     table: np.ndarray
     bias: np.ndarray
     temperature: float = 1.0
     threshold: float = 0.0
+    log_freq: np.ndarray | None = None
+    usual: np.ndarray | None = None
+    least: float = -np.inf
 
-    def logits(self, text: str) -> np.ndarray | None:
-        total, n = np.zeros(len(self.languages)), 0
+    def __post_init__(self) -> None:
+        self.both = self.table if self.log_freq is None else np.ascontiguousarray(np.concatenate((self.table, self.log_freq), axis=1), np.float32)
+
+    def sums(self, text: str) -> tuple[np.ndarray, int]:
+        """The sums of the rows of both tables over a text's subwords, and their number."""
+        total, n = np.zeros(self.both.shape[1]), 0
         for part in subwords(text):
             n += len(part)
             if len(part) > BUCKETS // 2:
-                total += np.bincount(part, minlength=BUCKETS) @ self.table
+                total += np.bincount(part, minlength=BUCKETS) @ self.both
             else:
-                total += self.table[part].sum(axis=0)
-        return total / n + self.bias if n else None
+                total += self.both[part].sum(axis=0, dtype=np.float64)
+        return total, n
+
+    def familiarity(self, total: np.ndarray, n: int, lang: int) -> float:
+        mean, between, within = self.usual[lang]
+        return float((total[len(self.languages) + lang] / n - mean) / np.sqrt(between + within / n))
 
     def predict(self, text: str) -> tuple[str, float, bool]:
         """Language, calibrated confidence, rejected. Texts without letters are undetermined, with confidence 0."""
         share = letter_share(text)
-        got = self.logits(text) if share else None
-        if got is None or not self.languages:
+        total, n = self.sums(text) if share and self.languages else (None, 0)
+        if not n:
             return UNDETERMINED, 0.0, True
-        p = softmax(got[None] / self.temperature)[0]
+        p = softmax((total[: len(self.languages)] / n + self.bias)[None] / self.temperature)[0]
         best = int(p.argmax())
-        return self.languages[best], float(p[best]), bool(p[best] < self.threshold or share < LETTER_SHARE)
+        strange = self.usual is not None and self.familiarity(total, n, best) < self.least
+        return self.languages[best], float(p[best]), bool(p[best] < self.threshold or share < LETTER_SHARE or strange)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -126,11 +143,11 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 def train(rows: list[tuple[str, str]], seed: int = 11) -> Classifier:
     """Fit on (text, language) rows: a fifth of them, every fifth in the order given, calibrates and isn't learned from."""
-    rows = [(found, lang) for text, lang in rows if (found := mean_counts(text)) is not None]
-    languages = sorted({lang for _, lang in rows})
+    rows = [(found[:2], lang, found[2]) for text, lang in rows if (found := mean_counts(text)) is not None]
+    languages = sorted({lang for _, lang, _ in rows})
     if not languages:
         return Classifier([], np.zeros((BUCKETS, 0)), np.zeros(0))
-    y = np.array([languages.index(lang) for _, lang in rows])
+    y = np.array([languages.index(lang) for _, lang, _ in rows])
     is_cal = (np.arange(len(rows)) % 5 == 4) if len(rows) >= 50 else np.zeros(len(rows), bool)
     rng = np.random.default_rng(seed)
     emb = rng.normal(0, 0.1, (BUCKETS, DIM))
@@ -149,7 +166,10 @@ def train(rows: list[tuple[str, str]], seed: int = 11) -> Classifier:
             bias -= 0.01 * rate * p
             emb[own] -= rate * share[:, None] * grad
             done += 1
-    made = Classifier(languages, (emb @ out).astype(np.float32), bias)
+    counts = np.full((BUCKETS, len(languages)), 0.5)
+    for i in learn:
+        counts[rows[i][0][0], y[i]] += rows[i][0][1] * rows[i][2]
+    made = Classifier(languages, (emb @ out).astype(np.float32), bias, log_freq=np.log(counts / counts.sum(axis=0)).astype(np.float32))
     cal = np.flatnonzero(is_cal)
     if len(cal):
         logits = np.stack([rows[i][0][1] @ made.table[rows[i][0][0]] + bias for i in cal])
@@ -157,12 +177,35 @@ def train(rows: list[tuple[str, str]], seed: int = 11) -> Classifier:
         loss = [-np.log(softmax(logits / t)[np.arange(len(cal)), y[cal]] + 1e-12).mean() for t in grid]
         made.temperature = float(grid[int(np.argmin(loss))])
         p = softmax(logits / made.temperature)
-        right = p.max(axis=1)[p.argmax(axis=1) == y[cal]]
-        if len(right):
-            made.threshold = min(EVEN, float(np.quantile(right, REJECT, method="lower")))
+        right = p.argmax(axis=1) == y[cal]
+        if right.any():
+            made.threshold = min(EVEN, float(np.quantile(p.max(axis=1)[right], REJECT, method="lower")))
+            _calibrate(made, [rows[i] for i in cal[right]], y[cal[right]])
     return made
 
 
+def _calibrate(made: Classifier, rows: list, y: np.ndarray) -> None:
+    """Set usual and least from texts that training didn't see."""
+    means = np.array([share @ made.log_freq[own, lang] for ((own, share), _, _), lang in zip(rows, y, strict=True)])
+    spread = np.array([share @ (made.log_freq[own, lang] - m) ** 2 for ((own, share), _, _), lang, m in zip(rows, y, means, strict=True)])
+    n = np.array([n for _, _, n in rows], float)
+    everywhere = means.mean()
+    usual = []
+    for k in range(len(made.languages)):
+        own = y == k
+        mean = np.average(means[own], weights=n[own]) if own.any() else everywhere
+        # subwords of a word go together, so a text's mean varies by more than spread / n
+        within = spread[own].mean() if own.any() else spread.mean()
+        off = (means[own] - mean) ** 2
+        grouped = max(1.0, float(np.median(off * n[own] / within)) / 0.455) if own.any() else 1.0  # 0.455: the median of a squared normal
+        between = float(np.median(off[n[own] >= np.median(n[own])])) / 0.455 if own.any() else float(means.var())
+        usual.append((mean, between, within * grouped))
+    made.usual = np.array(usual)
+    z = np.array([(m - made.usual[k][0]) / np.sqrt(made.usual[k][1] + made.usual[k][2] / size) for m, k, size in zip(means, y, n, strict=True)])
+    low = float(np.quantile(z, REJECT, method="lower"))
+    made.least = low - SLACK * (float(np.median(z)) - low)
+
+
 def held_out(doc_id: int | None) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 4 == 2
 
@@ -203,4 +246,4 @@ def identify(docs: DataFrame, model: Classifier | None = None, sample_rows: int
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *more], [*names, *new])
 
     fields = kept.select(names).schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
-    return kept.mapInArrow(rows, fields)
+    return kept.mapInArrow(lean(rows), fields)
