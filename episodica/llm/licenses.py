@@ -1,6 +1,8 @@
 """License scan: exact phrases, and an exact set-similarity join of text blocks with license statements.
 
-A text block is a line. It matches a template if it contains at least THRESHOLD of the template's distinct words. The join orders
+A text block is a run of words, whatever the line ends between them: blocks begin at every multiple of the longest template's
+length and are twice as long, so that each passage as long as a template lies within one of them, wrapped or not. A block matches a
+template if it contains at least THRESHOLD of the template's distinct words. The join orders
 all template words by the number of blocks that hold them, rarest first. With a = ceil(THRESHOLD x size of the template), a match
 must share one of the template's first (size - a + 1) words in that order (prefix filter), have a of the words at all (length
 filter), and have room for a words from the shared one on (positional filter); what passes is verified exactly. Only DataFrame
@@ -36,11 +38,17 @@ TEMPLATES = [
     ("cc-by-sa", "licensed under cc by sa 4 0"),
     ("cc0", "to the extent possible under law the author has waived all copyright and related rights to this work"),
     ("public-domain", "this is free and unencumbered software released into the public domain"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"),
+    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version of the license or at your option any later version"),
+    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation"),
+    ("mpl", "if a copy of the mpl was not distributed with this file you can obtain one at"),
 ]
 THRESHOLD = 0.9
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-LINE_END = r"[\n\r]+"
 
 
 def spaced_words(text: Column) -> Column:
@@ -75,19 +83,28 @@ def template_sets(templates: list[tuple[str, str]] = TEMPLATES, threshold: float
     return [(label, words, math.ceil(threshold * len(words) - 1e-9)) for label, words in sets]
 
 
-def block_words(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """doc_id, h, block, words: the template words of every line that holds one. h tells texts of equal doc_id apart."""
-    lines = docs.select("doc_id", F.xxhash64("text").alias("h"), F.posexplode(F.split("text", LINE_END)).alias("block", "line"))
-    words = F.array_intersect(F.split(ascii_lower(F.col("line")), NOT_WORD), F.array(*map(F.lit, vocabulary)))
-    return lines.select("doc_id", "h", "block", words.alias("words")).filter(F.size("words") > 0)
+def span_of(templates: list[tuple[str, str]]) -> int:
+    """The words of the longest template."""
+    return max(len(text.split()) for _, text in templates)
+
+
+def block_words(docs: DataFrame, vocabulary: list[str], span: int) -> DataFrame:
+    """doc_id, h, block, words: the template words of every block that holds one: those of 2 x span words from block x span on. h tells
+    texts of equal doc_id apart."""
+    spaced = docs.select("doc_id", F.xxhash64("text").alias("h"), F.array_remove(F.split(ascii_lower(F.col("text")), NOT_WORD), "").alias("all"))
+    last = F.greatest(F.ceil(F.size("all") / span).cast("int") - 2, F.lit(0))
+    listed = F.array(*map(F.lit, vocabulary))
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda k: F.array_intersect(F.slice("all", k * span + 1, 2 * span), listed))
+    rows = spaced.select("doc_id", "h", F.posexplode(blocks).alias("block", "words"))
+    return rows.filter(F.size("words") > 0)
 
 
 def matches(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, h, block, label, score: every line and template whose containment reaches threshold, docs being (doc_id, text)."""
+    """doc_id, h, block, label, score: every block and template whose containment reaches threshold, docs being (doc_id, text)."""
     spark = docs.sparkSession
     sets = template_sets(templates, threshold)
     vocabulary = sorted(frozenset().union(*(words for _, words, _ in sets)))
-    blocks = materialize(block_words(docs, vocabulary), "blocks")
+    blocks = materialize(block_words(docs, vocabulary, span_of(templates)), "blocks")
     seen = blocks.select(F.explode("words").alias("word")).groupBy("word").count()
     found = dict(seen.collect())  # one row for each template word at most
     ranked = sorted(vocabulary, key=lambda w: (found.get(w, 0), w))
@@ -129,7 +146,8 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
 
 
 def oracle_sql() -> str:
-    """The scan as brute force in DuckDB: every line against every template."""
+    """The scan as brute force in DuckDB: every block against every template."""
+    span = span_of(TEMPLATES)
     rows = ", ".join(f"('{label}', [{', '.join(repr(w) for w in sorted(words))}], {need})" for label, words, need in template_sets())
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -146,7 +164,8 @@ p as (select doc_id, t, len(w) as n_words, {', '.join(f'{s} as p{k}' for k, s in
 b as (select *, list_concat({', '.join(f'p{k}' for k in range(len(PHRASES)))}) as places,
       list_filter([{labels}], lambda x: x is not null) as base from p),
 templates(label, words, need) as (values {rows}),
-lines as (select distinct doc_id, regexp_extract_all(unnest(string_split_regex(t, '[\n\r]+')), '{word}') as lw from d),
+starts as (select doc_id, w, unnest(range(0, greatest(ceil(len(w) / {span}.0)::bigint - 1, 1))) as k from w),
+lines as (select distinct doc_id, list_distinct(w[(k * {span} + 1):(k * {span} + 2 * {span})]) as lw from starts),
 hits as (select doc_id, label, len(list_intersect(lw, words)) / len(words) as score from lines join templates
          on len(list_intersect(lw, words)) >= need),
 m as (select doc_id, list(distinct label) as more, max(score) as best from hits group by doc_id)

@@ -72,8 +72,9 @@ def scan_by_hand(text):
         places += hits
         base |= {label} if hits else set()
     more, best = set(), 0.0
-    for line in re.split(r"[\n\r]+", text):
-        have = set(split(line))
+    span = licenses.span_of(licenses.TEMPLATES)
+    for start in range(0, max(len(words) - span, 1), span):
+        have = set(words[start : start + 2 * span])
         for label, template, need in licenses.template_sets():
             if len(have & template) >= need:
                 more.add(label)
@@ -100,19 +101,40 @@ def test_license_join_at_other_thresholds(spark):
     rnd = random.Random(4)
     words = "a b c d e f g h".split()
     templates = [(f"t{k}", " ".join(rnd.sample(words, rnd.randrange(2, 6)))) for k in range(6)]
-    docs = spark.createDataFrame([(k, "\n".join(" ".join(rnd.choices(words, k=rnd.randrange(1, 7))) for _ in range(3))) for k in range(60)], "doc_id long, text string")
+    docs = spark.createDataFrame([(k, "\n".join(" ".join(rnd.choices(words, k=rnd.randrange(0, 7))) for _ in range(3))) for k in range(60)], "doc_id long, text string")
+    span = licenses.span_of(templates)
     for threshold in (0.5, 0.75, 1.0):
         got = {(r["doc_id"], r["block"], r["label"], round(r["score"], 9)) for r in licenses.matches(docs, templates, threshold).collect()}
         want = set()
         for r in docs.collect():
-            for b, line in enumerate(r["text"].split("\n")):
+            own = r["text"].split()
+            for b, start in enumerate(range(0, max(len(own) - span, 1), span)):
                 for label, template, need in licenses.template_sets(templates, threshold):
-                    shared = len(set(line.split()) & template)
+                    shared = len(set(own[start : start + 2 * span]) & template)
                     if shared >= need:
                         want.add((r["doc_id"], b, label, round(shared / len(template), 9)))
         assert got == want
 
 
+MIT_TEXT = """Permission is hereby granted, free of charge, to any person obtaining a
+copy of this software and associated documentation files (the "Software"),
+to deal in the Software without restriction, including without limitation
+the rights to use, copy, modify, merge, publish, distribute, sublicense,
+and/or sell copies of the Software, and to permit persons to whom the
+Software is furnished to do so, subject to the following conditions:"""
+
+
+@pytest.mark.parametrize("before", [0, 50, 77, 1000])
+@pytest.mark.parametrize("width", [30, 76])
+def test_wrapped_statements_are_found(spark, before, width):
+    import textwrap
+
+    prose = " ".join(random.Random(before).choices(["lorem", "ipsum", "dolor"], k=before))
+    texts = [MIT_TEXT, "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."]
+    docs = spark.createDataFrame([(k, "\n".join(textwrap.wrap(f"{prose} {t} {prose}", width))) for k, t in enumerate(texts)] + [(9, prose)], "doc_id long, text string")
+    assert {r["doc_id"]: r["labels"] for r in licenses.scan(docs).collect()} == {0: "mit", 1: "bsd", 2: "isc", 9: ""}
+
+
 # ---- language --------------------------------------------------------------------------------------------------------
 
 GERMAN = "der die und das nicht ein mit von auf für ist sich auch eine werden über haben wird dass nach aus bei einer zum wie".split()
