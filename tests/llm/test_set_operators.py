@@ -54,6 +54,15 @@ def test_blocks_are_pruned():
     x = np.floor(np.repeat(rng.normal(size=(40, 8)), 64, axis=0) * 1024 + rng.normal(size=(2560, 8)))
     *_, scored = vectors.search_shard(np.array([-1]), x[:1], np.arange(len(x)), x, 10)
     assert scored < len(x) / 3
+    mixed = rng.permutation(len(x))  # neighbours are found, whatever the order of ids
+    row, found, score, scored = vectors.search_shard(np.array([-1]), x[:1], mixed, x[mixed], 10)
+    assert scored < len(x) / 3
+    want = sorted(zip((-(x @ x[0])).tolist(), range(len(x)), strict=True))[:10]
+    assert sorted(zip((-score).tolist(), found.tolist(), strict=True)) == want
+    # a floor from a few rows keeps a shard without near rows from being scored at all
+    far = np.floor(rng.normal(size=(640, 8)) * 10)
+    *_, scored = vectors.search_shard(np.array([-1]), x[:1], np.arange(640), far, 10, floor=np.array([-want[-1][0]], np.int64))
+    assert scored == 0
 
 
 # ---- exact duplicates ------------------------------------------------------------------------------------------------
