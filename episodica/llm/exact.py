@@ -25,8 +25,8 @@ STORE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-#: Rows that are looked up by a broadcast of their locators' hashes (some 50 bytes each) instead of a shuffle.
-BROADCAST_ROWS = 500_000
+#: Rows that are looked up by a broadcast of their locators' hashes (some 60 bytes each) instead of a shuffle.
+BROADCAST_ROWS = 250_000
 
 STATE = "digest binary, keep_id bigint, group_size bigint, locator string, batch bigint"
 
@@ -51,8 +51,11 @@ def located(docs: DataFrame) -> DataFrame:
 
 
 def _looked_up(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:
-    """rows joined by __locator with found: by a broadcast, if that is small."""
-    return rows.join(F.broadcast(found) if found.count() <= BROADCAST_ROWS else found, "__locator", how)
+    """rows with (left_semi) or without (left_anti) the __locator of found: by a broadcast of two hashes of 64 bits, if these are few."""
+    if found.count() > BROADCAST_ROWS:
+        return rows.join(found, "__locator", how)
+    hashes = lambda: {"__h1": F.xxhash64("__locator"), "__h2": F.xxhash64(F.lit(1), "__locator")}
+    return rows.withColumns(hashes()).join(F.broadcast(found.select(*(c.alias(k) for k, c in hashes().items()))), ["__h1", "__h2"], how).select(rows.columns)
 
 
 def start(rows: DataFrame, state_dir: str, checkpoint: str) -> StreamingQuery:
@@ -104,14 +107,15 @@ def deduplicate(docs: DataFrame, digest=digest_of, files_per_batch: int = 1000)
     # full bytes: the texts of hits, read by their locators, against the text at the retained locator of their digest. Both sides of
     # a join by digest are written first, as an aggregation on either would keep its hot groups from being split
     hits = materialize(groups.filter("group_size > 1").select("digest", "one"), "hits")
-    wanted = materialize(rows.select("digest", F.col("locator").alias("__locator")).join(hits, "digest").distinct(), "wanted")
-    texts = materialize(_looked_up(own, wanted, "inner").select("digest", "doc_id", F.col("__locator").alias("locator"), "one", normal.alias("text")), "texts")
-    retained = materialize(texts.filter("locator = one").groupBy("digest").agg(F.min("text").alias("retained")), "retained")
+    wanted = materialize(rows.select("digest", F.col("locator").alias("__locator")).join(hits, "digest").select("__locator").distinct(), "wanted")
+    texts = materialize(_looked_up(own, wanted, "left_semi").select(digest(F.col("text")).alias("digest"), "doc_id", "__locator", normal.alias("text")), "texts")
+    ones = materialize(hits.select(F.col("one").alias("__locator")), "ones")
+    retained = materialize(_looked_up(texts, ones, "left_semi").groupBy("digest").agg(F.min("text").alias("retained")), "retained")
     clashing = materialize(texts.join(retained, "digest").filter("text <> retained").select("digest"), "clashing").distinct()
     alone = materialize(groups.join(clashing, "digest", "left_anti").select("digest", "keep_id", "group_size", "one"), "alone")
     by_digest = rows.join(alone, "digest")
-    by_text = texts.join(clashing, "digest", "left_semi").groupBy("text").agg(F.max(F.struct("doc_id", "locator")).alias("o"), F.count("*").alias("group_size"))
-    by_text = materialize(by_text.select(F.sha2("text", 256).alias("text_sha256"), F.col("o.doc_id").alias("keep_id"), "group_size", F.col("o.locator").alias("one")), "by_text")
+    by_text = texts.join(clashing, "digest", "left_semi").groupBy("text").agg(F.max(F.struct("doc_id", "__locator")).alias("o"), F.count("*").alias("group_size"))
+    by_text = materialize(by_text.select(F.sha2("text", 256).alias("text_sha256"), F.col("o.doc_id").alias("keep_id"), "group_size", F.col("o.__locator").alias("one")), "by_text")
     rest = rows.join(clashing, "digest", "left_semi").join(by_text, "text_sha256")
     columns = ["doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", "locator", (F.col("locator") == F.col("one")).alias("stays")]
     return by_digest.select(columns).union(rest.select(columns))
