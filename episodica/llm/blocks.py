@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from episodica.llm.common import materialize, materialize_bucketed, prepare
+from episodica.llm.common import lean, materialize, materialize_bucketed, prepare
 
 #: A block is closed once it holds so many bytes of text; a single longer document makes a block of its own.
 BLOCK_BYTES = 24 << 20
@@ -42,8 +42,8 @@ MOST_TASKS = 20_000
 SCHEMA = "block bigint, doc_ids array<bigint>, sizes binary, codes binary, words array<binary>, n_words int"
 ARROW = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("codes", pa.binary()), ("words", pa.list_(pa.binary())), ("n_words", pa.int32())])
 
-ITEMS = "key int, salt int, blocks binary, counts binary, idx binary, words binary, n binary, lens binary, vals binary"
-ITEMS_ARROW = pa.schema([("key", pa.int32()), ("salt", pa.int32()), *((c, pa.binary()) for c in ("blocks", "counts", "idx", "words", "n", "lens", "vals"))])
+ITEMS = "key int, salt int, blocks binary, counts binary, idx binary, words binary, n binary, lens binary, vals binary, block bigint"
+ITEMS_ARROW = pa.schema([("key", pa.int32()), ("salt", pa.int32()), *((c, pa.binary()) for c in ("blocks", "counts", "idx", "words", "n", "lens", "vals")), ("block", pa.int64())])
 
 
 def spread(blocks: np.ndarray | int, n: int) -> np.ndarray:
@@ -152,7 +152,7 @@ def pack(docs: DataFrame, builder: Callable[[], ListBuilder | SpaceBuilder], blo
         if ids:
             yield _close(next(names), ids, *made.done())
 
-    packed = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(rows, SCHEMA)
+    packed = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(lean(rows), SCHEMA)
     return materialize_bucketed(packed, "blocks", "block", buckets) if buckets else materialize(packed, "blocks")
 
 
@@ -180,15 +180,15 @@ class Items:
         return Items(self.block[order], self.idx[order], None if self.words is None else [self.words[i] for i in order.tolist()], None if self.n is None else self.n[order], lens, vals)
 
     def row(self, key: int, salt: int = 0) -> tuple:
-        """Packed; items of one block must stand together."""
+        """Packed, with the first block's name at the end; items of one block must stand together."""
         first = np.flatnonzero(np.concatenate(([True], self.block[1:] != self.block[:-1])))
         packed = lambda x: None if x is None else squeeze(x)
-        return key, salt, self.block[first].astype("<i8").tobytes(), squeeze(np.diff(np.append(first, len(self.block)))), squeeze(self.idx), None if self.words is None else squeeze_strings(self.words), packed(self.n), packed(self.lens), packed(self.vals)
+        return key, salt, self.block[first].astype("<i8").tobytes(), squeeze(np.diff(np.append(first, len(self.block)))), squeeze(self.idx), None if self.words is None else squeeze_strings(self.words), packed(self.n), packed(self.lens), packed(self.vals), int(self.block[0])
 
 
 def unpack(row: tuple) -> Items:
     """The items of a row's columns from blocks on."""
-    blocks, counts, idx, words, n, lens, vals = row
+    blocks, counts, idx, words, n, lens, vals, _ = row
     opened = lambda x: None if x is None else unsqueeze(x)
     return Items(np.repeat(np.frombuffer(blocks, "<i8"), unsqueeze(counts)), unsqueeze(idx), None if words is None else unsqueeze_strings(words), opened(n), opened(lens), opened(vals))
 
@@ -222,7 +222,7 @@ def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, tuple]]:
     """Key and packed columns of each row, one at a time."""
     for batch in batches:
         for k in range(batch.num_rows):
-            yield batch.column(0)[k].as_py(), tuple(batch.column(c)[k].as_py() for c in range(2, 9))
+            yield batch.column(0)[k].as_py(), tuple(batch.column(c)[k].as_py() for c in range(2, 10))
 
 
 def merged(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, Items]]:
@@ -284,7 +284,7 @@ class Exchange:
                 yield batch_of(cut(items, part(items, parts)))
 
         if self.deep:
-            rows = _gather(rows, -(-self.items // merge), F.col("salt") % self.salts).mapInArrow(split, ITEMS)
+            rows = _gather(rows, -(-self.items // merge), F.col("salt") % self.salts).mapInArrow(lean(split), ITEMS)
         return _gather(rows, parts)
 
     def send_words(self, packed: DataFrame, count: Callable[[list, np.ndarray, np.ndarray, int], np.ndarray] | None = None) -> DataFrame:
@@ -306,7 +306,7 @@ class Exchange:
                     yield batch_of(cut(Items(np.full(len(words), block), order.astype(np.uint32), words, n), part_of(words, parts) % fan, int(spread(block, parts))))
 
         columns = ["block", "words"] + ([] if count is None else ["doc_ids", "sizes", "codes"])
-        return self.send(packed.select(*columns).mapInArrow(deal, ITEMS), lambda items, n: part_of(items.words, n))
+        return self.send(packed.select(*columns).mapInArrow(lean(deal), ITEMS), lambda items, n: part_of(items.words, n))
 
     def send_back(self, answers: DataFrame, tasks: int) -> DataFrame:
         """block, table: the answers (rows of items) gathered by block, in so many partitions by block."""
@@ -321,19 +321,8 @@ class Exchange:
                 yield batch_of(cut(items, np.unique(items.block, return_inverse=True)[1]))
 
         if self.deep:
-            answers = _gather(answers.mapInArrow(to_ranges, ITEMS), -(-self.items // merge), F.col("salt") % self.salts).mapInArrow(to_blocks, ITEMS)
-        own = answers.mapInArrow(_named, ANSWERS)
-        return own.repartition(tasks, "block").groupBy("block").agg(F.collect_list(F.struct("idx", "lens", "vals")).alias("table"))
-
-
-ANSWERS = "block bigint, idx binary, lens binary, vals binary"
-
-
-def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of one block each, with its name."""
-    for batch in batches:
-        names = [int(np.frombuffer(b, "<i8")[0]) for b in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), batch.column(4), batch.column(7), batch.column(8)], ["block", "idx", "lens", "vals"])
+            answers = _gather(answers.mapInArrow(lean(to_ranges), ITEMS), -(-self.items // merge), F.col("salt") % self.salts).mapInArrow(lean(to_blocks), ITEMS)
+        return answers.select("block", "idx", "lens", "vals").repartition(tasks, "block").groupBy("block").agg(F.collect_list(F.struct("idx", "lens", "vals")).alias("table"))
 
 
 def answers_of(table: list[dict] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from episodica.llm import blocks as bl
-from episodica.llm.common import prepare, text_or_empty
+from episodica.llm.common import lean, prepare, text_or_empty
 
 #: Bytes of text of a block.
 BLOCK_BYTES = 10 << 20
@@ -79,7 +79,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, block_bytes: int = BL
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merge = _encoder(vocabulary, ranks.value, pattern)._core_bpe.encode_single_piece
         part, known = None, {}
-        for key, (blocks, counts, idx, words, *_) in bl.rows_of(batches):
+        for key, (blocks, counts, idx, words, *_, block) in bl.rows_of(batches):
             if key != part:
                 part, known = key, {}
             words = bl.unsqueeze_strings(words)
@@ -88,14 +88,14 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, block_bytes: int = BL
                     known[word] = merge(word)
             ids = [known[word] for word in words]
             lens, vals = np.fromiter(map(len, ids), np.uint32, len(ids)), np.fromiter(chain.from_iterable(ids), np.uint32)
-            yield bl.batch_of([(key, 0, blocks, counts, idx, None, None, bl.squeeze(lens), bl.squeeze(vals))])
+            yield bl.batch_of([(key, 0, blocks, counts, idx, None, None, bl.squeeze(lens), bl.squeeze(vals), block)])
 
-    encoded = exchange.send_words(packed).mapInArrow(encode_words, bl.ITEMS)
+    encoded = exchange.send_words(packed).mapInArrow(lean(encode_words), bl.ITEMS)
     joined = packed.select("block", "doc_ids", "sizes", "codes").join(exchange.send_back(encoded, buckets), "block", "left")
     joined = joined.select("doc_ids", "sizes", "codes", "table")
     if not decoded:
-        return joined.mapInArrow(_assemble, SCHEMA)
-    return joined.mapInArrow(lambda batches: _decode(_assemble(batches), ranks.value), f"{SCHEMA}, decoded binary")
+        return joined.mapInArrow(lean(_assemble), SCHEMA)
+    return joined.mapInArrow(lean(lambda batches: _decode(_assemble(batches), ranks.value)), f"{SCHEMA}, decoded binary")
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +142,7 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     Null ids decode to null; an id that the vocabulary lacks is an error.
     """
     ranks = _vocabulary(encoded.sparkSession, vocabulary)
-    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(lambda batches: _decode(batches, ranks.value), f"{SCHEMA}, decoded binary")
+    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(lean(lambda batches: _decode(batches, ranks.value)), f"{SCHEMA}, decoded binary")
 
 
 def token_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+from contextlib import suppress
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from episodica.functions.ship import ship_package
 from episodica.functions.staging import discard, materialize, materialize_bucketed, staging_path
 
-__all__ = ["ascii_lower", "discard", "materialize", "materialize_bucketed", "prepare", "read_table", "staging_path", "text_or_empty"]
+__all__ = ["ascii_lower", "discard", "lean", "materialize", "materialize_bucketed", "prepare", "read_table", "staging_path", "text_or_empty"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -26,6 +31,20 @@ def prepare(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+def lean(rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """rows, which hands what it freed back to the system when a task ends: executors keep their Python workers for other stages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from rows(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):  # another C library has no such call
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from episodica.llm import blocks as bl
-from episodica.llm.common import discard, materialize, text_or_empty
+from episodica.llm.common import discard, lean, materialize, text_or_empty
 
 MODEL_WORDS = 4094
 CLASS = 64
@@ -254,14 +254,14 @@ def _count_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for word, c in zip(bl.unsqueeze_strings(row[3]), bl.unsqueeze(row[4]).tolist(), strict=True):
                 if c:
                     total[word] += c
-        for blocks, counts, idx, words, *_ in held:
+        for blocks, counts, idx, words, *_, block in held:
             c = np.array(list(map(total.__getitem__, bl.unsqueeze_strings(words))), np.int64)
             halves = np.stack((c & 0xFFFFFFFF, c >> 32), axis=1).ravel()
-            yield bl.batch_of([(part, 0, blocks, counts, idx, None, None, bl.squeeze(np.full(len(c), 2)), bl.squeeze(halves), None, None, None, None)], COUNTS_ARROW)
+            yield bl.batch_of([(part, 0, blocks, counts, idx, None, None, bl.squeeze(np.full(len(c), 2)), bl.squeeze(halves), block, None, None, None, None)], COUNTS_ARROW)
         known, c = list(total), np.fromiter(total.values(), np.int64, len(total))
         near = range(len(known)) if len(known) <= MODEL_WORDS else np.flatnonzero(c >= np.partition(c, -MODEL_WORDS)[-MODEL_WORDS]).tolist()
         top = sorted(((known[i], int(c[i])) for i in near), key=lambda x: (-x[1], x[0]))[:MODEL_WORDS]
-        yield bl.batch_of([(part, *[None] * 8, len(total), int(c.sum()), [w for w, _ in top], [c for _, c in top])], COUNTS_ARROW)
+        yield bl.batch_of([(part, *[None] * 9, len(total), int(c.sum()), [w for w, _ in top], [c for _, c in top])], COUNTS_ARROW)
 
     for key, row in bl.rows_of(batches):
         if held and key != part:
@@ -344,7 +344,7 @@ def fit(packed: DataFrame, top: list[tuple[bytes, int]], texts: int, tokens: int
                         ["slot", "slice", "weight", "blob"],
                     )
 
-        parts = packed.select("doc_ids", "sizes", "codes", "words", slot.cast("bigint").alias("slot")).mapInArrow(learn, "slot bigint, slice int, weight double, blob binary")
+        parts = packed.select("doc_ids", "sizes", "codes", "words", slot.cast("bigint").alias("slot")).mapInArrow(lean(learn), "slot bigint, slice int, weight double, blob binary")
         parts = materialize(parts, "parameters")
         mean = _average(parts, size)
         discard(parts)
@@ -379,7 +379,7 @@ def score(docs: DataFrame, rounds: int = ROUNDS, block_bytes: int = bl.BLOCK_BYT
     """
     packed = bl.pack(shards(docs, shard_bytes), bl.SpaceBuilder, block_bytes)
     exchange = bl.Exchange.of(packed, **sizes)
-    counted = materialize(exchange.send_words(packed, _training_counts).mapInArrow(_count_parts, COUNTS), "counts")
+    counted = materialize(exchange.send_words(packed, _training_counts).mapInArrow(lean(_count_parts), COUNTS), "counts")
     parts = counted.filter("blocks is null")
     distinct, tokens = parts.agg(F.coalesce(F.sum("kinds"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
     most = parts.select(F.explode(F.arrays_zip("top", "top_c")).alias("t")).select(F.col("t.top").alias("word"), F.col("t.top_c").alias("c"))
@@ -431,4 +431,4 @@ def score(docs: DataFrame, rounds: int = ROUNDS, block_bytes: int = bl.BLOCK_BYT
 
     answers = exchange.send_back(counted.filter("blocks is not null").select(*bl.ITEMS_ARROW.names), packed.rdd.getNumPartitions())
     joined = packed.join(answers, "block", "left").select("doc_ids", "sizes", "codes", "words", "table")
-    return joined.mapInArrow(rows, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    return joined.mapInArrow(lean(rows), "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")

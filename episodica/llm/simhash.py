@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from episodica.llm import components
-from episodica.llm.common import materialize, prepare, text_or_empty
+from episodica.llm.common import lean, materialize, prepare, text_or_empty
 
 SEED = 42
 #: Largest number of fingerprints of a trie node that one task compares with another such node.
@@ -91,7 +91,7 @@ def fingerprints(docs: DataFrame, width: int = 3, confirm: bool = False) -> Data
                 second.append(_signed(majority_bits(remix(h))) if confirm else 0)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(first, pa.int64()), pa.array(second, pa.int64())], ["doc_id", "fp", "fp2"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), text_or_empty().alias("text")).mapInArrow(rows, "doc_id bigint, fp bigint, fp2 bigint")
+    return docs.select(F.col("doc_id").cast("bigint"), text_or_empty().alias("text")).mapInArrow(lean(rows), "doc_id bigint, fp bigint, fp2 bigint")
 
 
 # ---- the trie within a task ------------------------------------------------------------------------------------------
@@ -296,7 +296,7 @@ def _walk_nodes(keys: DataFrame, pairs: DataFrame, depth: int, walk) -> DataFram
     same = same.select("rot", "u_fp", "u_fp2", none.alias("v_fp"), none.alias("v_fp2"))
     held_v = held.select("rot", F.col("node").alias("v"), F.col("fp").alias("v_fp"), F.col("fp2").alias("v_fp2"))
     other = pairs.filter("u <> v").select("rot", "u", "v").join(held_u, ["rot", "u"]).join(held_v, ["rot", "v"])
-    return same.union(other.select("rot", "u_fp", "u_fp2", "v_fp", "v_fp2")).mapInArrow(walk, "a bigint, b bigint")
+    return same.union(other.select("rot", "u_fp", "u_fp2", "v_fp", "v_fp2")).mapInArrow(lean(walk), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2, rotations: int = 3, confirm: bool = False, depth: int | None = None, node_items: int = NODE_ITEMS, similarity: float | None = None) -> DataFrame:

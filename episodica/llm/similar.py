@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from episodica.llm import blocks as bl
 from episodica.llm import components, simhash
-from episodica.llm.common import materialize, prepare, text_or_empty
+from episodica.llm.common import discard, lean, materialize, prepare, text_or_empty
 from episodica.llm.simhash import _signed, majority_bits, shingle_hashes
 
 #: Shingles that make one part of the exchange, about.
@@ -37,13 +37,13 @@ BLOCK_ROWS, BLOCK_BYTES = 1 << 16, 4 << 20
 #: Texts that common shingles are looked for in, about; the share of them that makes a shingle common; how many such at most.
 SAMPLE_TEXTS, COMMON_SHARE, COMMON_MOST = 20_000, 0.005, 1 << 16
 #: Texts that are joined by a broadcast of their hashes (some 50 bytes each) instead of moving all texts.
-BROADCAST_TEXTS = 500_000
+BROADCAST_TEXTS = 250_000
 #: What the trie finds: bits and rotations.
 TRIE_BITS, TRIE_ROTATIONS = 2, 3
 
 SHINGLED = f"{bl.ITEMS}, row bigint, doc_id bigint, fp bigint, text_hash bigint, digest binary, sizes binary"
 SHINGLED_ARROW = pa.schema([*bl.ITEMS_ARROW, ("row", pa.int64()), ("doc_id", pa.int64()), ("fp", pa.int64()), ("text_hash", pa.int64()), ("digest", pa.binary()), ("sizes", pa.binary())])
-_NO_ITEMS, _NO_TEXT = (None,) * 9, (None,) * 6
+_NO_ITEMS, _NO_TEXT = (None,) * 10, (None,) * 6
 
 
 def set_digest(own: np.ndarray) -> bytes:
@@ -67,7 +67,7 @@ def common_shingles(docs: DataFrame, texts: int, width: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(hashes[many].view(np.int64)), pa.array(n[many].astype(np.int64))], ["h", "n"])
 
     least = max(8, COMMON_SHARE * texts / every)
-    counts = chosen.mapInArrow(rows, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    counts = chosen.mapInArrow(lean(rows), "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     found = counts.orderBy(F.desc("n"), "h").limit(COMMON_MOST).collect()
     return np.sort(np.array([r["h"] for r in found], np.int64).view(np.uint64))
 
@@ -93,25 +93,28 @@ def shingled(docs: DataFrame, width: int, parts: int, fan: int, common: np.ndarr
             every = shingle_hashes(text, width)
             sets.append(np.unique(every))
             out.append((*_NO_ITEMS, row, doc_id, _signed(majority_bits(every)), text_hash, set_digest(sets[-1]), None))
-        name = out[0][9]
+        name = out[0][10]
         sizes = np.fromiter(map(len, sets), "<u4", len(sets))
         hashes, place = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.uint32), sizes)
         at = np.searchsorted(usual, hashes)
         is_common = usual[np.minimum(at, len(usual) - 1)] == hashes if len(usual) else np.zeros(len(hashes), bool)
-        out.append((*(_items(name, place[is_common], hashes[is_common]).row(-1) if is_common.any() else (-1, 0, np.array([name], "<i8").tobytes(), *[None] * 6)), *_NO_TEXT[:5], sizes.tobytes()))
+        out.append((*(_items(name, place[is_common], hashes[is_common], True).row(-1) if is_common.any() else (-1, 0, np.array([name], "<i8").tobytes(), *[None] * 6, name)), *_NO_TEXT[:5], sizes.tobytes()))
         rest = ~is_common
         if rest.any():
-            out += [(*row, *_NO_TEXT) for row in bl.cut(_items(name, place[rest], hashes[rest]), part_of(hashes[rest], parts) % fan, int(bl.spread(name, parts)))]
+            out += [(*row, *_NO_TEXT) for row in bl.cut(_items(name, place[rest], hashes[rest], parts > fan), part_of(hashes[rest], parts) % fan, int(bl.spread(name, parts)))]
         yield bl.batch_of(out, SHINGLED_ARROW)
 
     # the ids of a task's rows are consecutive
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint"), F.xxhash64(text_or_empty()).alias("text_hash"), text_or_empty().alias("text"))
-    return materialize(numbered.mapInArrow(rows, SHINGLED), "shingled")
+    return materialize(numbered.mapInArrow(lean(rows), SHINGLED), "shingled")
 
 
-def _items(name: int, place: np.ndarray, hashes: np.ndarray) -> bl.Items:
-    """n is the lower half of a hash; vals are the upper halves."""
-    return bl.Items(np.full(len(place), name), place, n=(hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32), lens=np.ones(len(place), np.uint32), vals=(hashes >> np.uint64(32)).astype(np.uint32))
+def _items(name: int, place: np.ndarray, hashes: np.ndarray, whole: bool) -> bl.Items:
+    """n is the lower half of a hash; the upper half is only sent where it is needed to find the part."""
+    items = bl.Items(np.full(len(place), name), place, n=(hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+    if whole:
+        items.lens, items.vals = np.ones(len(place), np.uint32), (hashes >> np.uint64(32)).astype(np.uint32)
+    return items
 
 
 def _hashes(items: bl.Items) -> np.ndarray:
@@ -119,25 +122,26 @@ def _hashes(items: bl.Items) -> np.ndarray:
 
 
 def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Items, a part's together, to answers for those whose hash stands more than once in the part: how often, and the hash."""
+    """Items, a part's together, to answers for those whose 32 bits stand more than once in the part: how often, part and bits."""
     held: list[tuple] = []
     part = None
 
     def close() -> Iterator[pa.RecordBatch]:
         whole = [bl.unpack(row) for row in held]
         held.clear()
-        hashes = np.concatenate([_hashes(items) for items in whole])
-        order = np.argsort(hashes)
-        first = np.flatnonzero(np.concatenate(([True], hashes[order][1:] != hashes[order][:-1])))
-        times = np.empty(len(hashes), np.uint32)
-        times[order] = np.repeat(np.diff(np.append(first, len(hashes))), np.diff(np.append(first, len(hashes))))
+        bits = np.concatenate([items.n for items in whole])
+        order = np.argsort(bits, kind="stable")
+        ranked = bits[order]
+        first = np.append(np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1]))), len(bits))
+        times = np.empty(len(bits), np.uint32)
+        times[order] = np.repeat(np.diff(first), np.diff(first))
         at = 0
         for items in whole:
-            own, mine = times[at : at + len(items.idx)], hashes[at : at + len(items.idx)]
+            own = times[at : at + len(items.idx)]
             at += len(items.idx)
             many = own > 1
             if many.any():
-                vals = np.stack((own[many], (mine[many] >> np.uint64(32)).astype(np.uint32), items.n[many]), axis=1).ravel()
+                vals = np.stack((own[many], np.full(int(many.sum()), part, np.uint32), items.n[many]), axis=1).ravel()
                 yield bl.batch_of([bl.Items(items.block[many], items.idx[many], lens=np.full(int(many.sum()), 3, np.uint32), vals=vals).row(part)])
 
     for key, row in bl.rows_of(batches):
@@ -153,7 +157,7 @@ def prefixes(table: DataFrame, exchange: bl.Exchange, similarity: float) -> Data
     """key, row, n: the shared shingles among the first n - ceil(similarity n) + 1 of each text's n, rarest first, common ones last."""
     sent = exchange.send(table.filter("key >= 0").select(*bl.ITEMS_ARROW.names), lambda items, n: part_of(_hashes(items), n))
     tasks = max(exchange.parts // 4, int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    back = exchange.send_back(sent.mapInArrow(_common, bl.ITEMS), min(tasks, bl.MOST_TASKS))
+    back = exchange.send_back(sent.mapInArrow(lean(_common), bl.ITEMS), min(tasks, bl.MOST_TASKS))
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,11 +166,11 @@ def prefixes(table: DataFrame, exchange: bl.Exchange, similarity: float) -> Data
                 size = np.frombuffer(packed, "<u4").astype(np.int64)
                 place, _, answer = bl.answers_of(batch.column(5)[k].as_py())
                 answer = answer.reshape(-1, 3)
-                times, key = answer[:, 0], (answer[:, 1] << 32) | answer[:, 2]
+                times, key = answer[:, 0], (answer[:, 1] << 32) | answer[:, 2]  # a part and the bits in it
                 if idx is not None:
                     usual = bl.unsqueeze(idx).astype(np.int64)
                     place, times = np.concatenate((place, usual)), np.concatenate((times, np.full(len(usual), 1 << 40)))
-                    key = np.concatenate((key, (bl.unsqueeze(vals).astype(np.int64) << 32) | bl.unsqueeze(n)))
+                    key = np.concatenate((key, -((bl.unsqueeze(vals).astype(np.int64) >> 1 << 32) | bl.unsqueeze(n)) - 1))  # below 0: apart from the others
                 order = np.lexsort((key, times, place))
                 place, key = place[order], key[order]
                 known = np.bincount(place, minlength=len(size))
@@ -175,17 +179,8 @@ def prefixes(table: DataFrame, exchange: bl.Exchange, similarity: float) -> Data
                 near = rank < reach[place]
                 yield pa.RecordBatch.from_arrays([pa.array(key[near]), pa.array(name + place[near]), pa.array(size[place[near]])], ["key", "row", "n"])
 
-    own = table.filter("key = -1").select("blocks", "sizes", "idx", "n", "vals").mapInArrow(_block_names, BLOCKS)
-    return own.join(back, "block", "left").select("block", "sizes", "idx", "n", "vals", "table").mapInArrow(first, "key bigint, row bigint, n bigint").distinct()
-
-
-BLOCKS = "block bigint, sizes binary, idx binary, n binary, vals binary"
-
-
-def _block_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        names = [int(np.frombuffer(b, "<i8")[0]) for b in batch.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), *batch.columns[1:]], ["block", "sizes", "idx", "n", "vals"])
+    own = table.filter("key = -1").select("block", "sizes", "idx", "n", "vals")
+    return own.join(back, "block", "left").select("block", "sizes", "idx", "n", "vals", "table").mapInArrow(lean(first), "key bigint, row bigint, n bigint").distinct()
 
 
 def verified(pairs: DataFrame, items: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
@@ -213,10 +208,9 @@ def verified(pairs: DataFrame, items: DataFrame, docs: DataFrame, width: int, si
     ends = materialize(pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct().join(items, "row").select("row", "text_hash", "digest"), "ends")
     wanted = F.broadcast(ends) if ends.count() <= BROADCAST_TEXTS else ends
     texts = docs.select(F.xxhash64(text_or_empty()).alias("text_hash"), text_or_empty().alias("text")).join(wanted, "text_hash").select("row", "digest", "text")
-    held = materialize(texts.mapInArrow(sets, "row bigint, held binary").dropDuplicates(["row"]), "shingles")
+    held = materialize(texts.mapInArrow(lean(sets), "row bigint, held binary").dropDuplicates(["row"]), "shingles")
     side = lambda c: held.select(F.col("row").alias(c), F.col("held").alias(f"held_{c}"))
-    first = materialize(pairs.join(side("a"), "a").select("a", "b", "held_a"), "sides")  # written, so that either join can be split
-    return first.join(side("b"), "b").select("a", "b", "held_a", "held_b").mapInArrow(similar, "a bigint, b bigint")
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "held_a", "held_b").mapInArrow(lean(similar), "a bigint, b bigint")
 
 
 def trie_candidates(rows: DataFrame) -> DataFrame:
@@ -259,11 +253,12 @@ def near_copies(docs: DataFrame, width: int, similarity: float, part_items: int
     guess = (size or 0) // 6  # bytes of a word, about
     exchange = bl.Exchange(guess, max(1, math.ceil(guess / part_items)), fan, merge)
     table = shingled(docs, width, exchange.parts, fan, common_shingles(docs, texts, width))
-    own = table.filter("row is not null").select("row", "doc_id", "fp", "text_hash", "digest")
+    own = materialize(table.filter("row is not null").select("row", "doc_id", "fp", "text_hash", "digest"), "own")
     place = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "text_hash", "row")
     sets = materialize(own.groupBy("digest").agg(F.min("row").alias("row"), F.min("doc_id").alias("least"), F.min(place).alias("first")), "sets")
     items = materialize(own.join(sets.select("row"), "row", "left_semi").select("row", "fp", "text_hash", "digest"), "items")
     keys = materialize(prefixes(table, exchange, similarity).join(items.select("row"), "row", "left_semi"), "prefixes")
+    discard(table)
     found = links(keys, trie_candidates(items.select("row", "fp")), items.drop("fp"), docs, width, similarity)
     root = components.roots(found)
     placed = sets.join(root, sets.row == root.node, "left").select("digest", "least", "first", F.coalesce("root", "row").alias("root"))
