@@ -9,9 +9,11 @@ there are never compared, and all others are, exactly; no pair is given up befor
 Equal sets, told by a SHA-256, are one item. Blocks of texts send their shingles' hashes through the packed exchange (``blocks``) and
 are sent back the numbers of those that more than one text holds. Hashes are cut to the part and 32 bits, which can only add
 candidates. Shingles that are common in a sample of texts aren't sent: they stand last in the order, by their hashes, so no part
-has to hold a shingle of a third of all texts. (Any one order gives the same pairs, so the sample only decides on the work.) Of the
-texts that share a shingle each is first compared with the least one; only keys whose texts aren't all connected by then form
-pairs, between the classes.
+has to hold a shingle of a third of all texts. (Any one order gives the same pairs, so the sample only decides on the work.) The
+texts that share a shingle are compared with one of them, another one for each shingle and round, until classes hardly merge; only
+shingles whose texts aren't all connected by then form pairs, between the classes. With both sizes known more is asked of a pair:
+it must share o = ceil(s (n + m) / (1 + s)) shingles, so each must have as many that any other text holds at all, and one
+that they share must be among the first n - o + 1 and m - o + 1.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ BLOCK_ROWS, BLOCK_BYTES = 1 << 16, 4 << 20
 SAMPLE_TEXTS, COMMON_SHARE, COMMON_MOST = 20_000, 0.005, 1 << 16
 #: Texts that are joined by a broadcast of their hashes (some 50 bytes each) instead of moving all texts.
 BROADCAST_TEXTS = 250_000
+#: Rounds in which the texts of a shingle are compared with one of them, at most.
+STAR_ROUNDS = 5
 #: What the trie finds: bits and rotations.
 TRIE_BITS, TRIE_ROTATIONS = 2, 3
 
@@ -154,7 +158,8 @@ def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def prefixes(table: DataFrame, exchange: bl.Exchange, similarity: float) -> DataFrame:
-    """key, row, n: the shared shingles among the first n - ceil(similarity n) + 1 of each text's n, rarest first, common ones last."""
+    """key, row, n, v, place: the shared shingles among the first n - ceil(similarity n) + 1 of each text's n, rarest first, common ones
+    last; place is a shingle's among the n, from 0, and v how many of them are shared."""
     sent = exchange.send(table.filter("key >= 0").select(*bl.ITEMS_ARROW.names), lambda items, n: part_of(_hashes(items), n))
     tasks = max(exchange.parts // 4, int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     back = exchange.send_back(sent.mapInArrow(lean(_common), bl.ITEMS), min(tasks, bl.MOST_TASKS))
@@ -177,10 +182,12 @@ def prefixes(table: DataFrame, exchange: bl.Exchange, similarity: float) -> Data
                 rank = np.arange(len(place)) - (np.cumsum(known) - known)[place]
                 reach = size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1 - (size - known)  # shingles of no other text come first
                 near = rank < reach[place]
-                yield pa.RecordBatch.from_arrays([pa.array(key[near]), pa.array(name + place[near]), pa.array(size[place[near]])], ["key", "row", "n"])
+                own = place[near]
+                columns = (key[near], name + own, size[own], known[own], (rank + (size - known)[place])[near])
+                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["key", "row", "n", "v", "place"])
 
     own = table.filter("key = -1").select("block", "sizes", "idx", "n", "vals")
-    return own.join(back, "block", "left").select("block", "sizes", "idx", "n", "vals", "table").mapInArrow(lean(first), "key bigint, row bigint, n bigint").distinct()
+    return own.join(back, "block", "left").select("block", "sizes", "idx", "n", "vals", "table").mapInArrow(lean(first), "key bigint, row bigint, n bigint, v bigint, place bigint").dropDuplicates(["key", "row"])
 
 
 def verified(pairs: DataFrame, items: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
@@ -225,18 +232,30 @@ def trie_candidates(rows: DataFrame) -> DataFrame:
 
 def links(keys: DataFrame, candidates: DataFrame, items: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
     """Links a, b between rows of items that connect all pairs of at least similarity: keys are their prefixes."""
-    near = lambda n, m: F.least(n, m) >= F.lit(similarity) * F.greatest(n, m) - 1e-9
-    least = materialize(keys.groupBy("key").agg(F.min_by(F.struct("row", "n"), "row").alias("least")), "least")
-    star = keys.join(least, "key").filter((F.col("row") > F.col("least.row")) & near(F.col("n"), F.col("least.n"))).select(F.col("least.row").alias("a"), F.col("row").alias("b"))
-    tried = materialize(star.union(candidates).distinct(), "tried")
-    found = materialize(verified(tried, items, docs, width, similarity), "links")
-    root = components.roots(found)
-    placed = materialize(keys.join(root.select(F.col("node").alias("row"), "root"), "row", "left").withColumn("root", F.coalesce("root", "row")), "placed")
-    open_keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-    placed = materialize(placed.join(open_keys, "key", "left_semi"), "open")
-    a = placed.select("key", F.col("row").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    b = placed.select("key", F.col("row").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    rest = a.join(b, "key").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & near(F.col("na"), F.col("nb"))).select("a", "b").distinct()
+    needed = lambda n, m: F.ceil(F.lit(similarity / (1 + similarity)) * (n + m) - 1e-9)
+    pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+    placed, tried, found = keys.withColumn("root", F.col("row")), None, None
+    for number in range(STAR_ROUNDS):
+        # rows of one key meet one of them: linear in keys, and a text of many keys meets many others
+        pivot = materialize(placed.groupBy("key").agg(F.min_by(F.struct("row", "n", "v", "root"), F.xxhash64("row", "key", F.lit(number))).alias("p")), "pivots")
+        star = placed.join(pivot, "key").filter((F.col("root") != F.col("p.root")) & (F.least("v", "p.v") >= needed(F.col("n"), F.col("p.n")))).select(*pair(F.col("row"), F.col("p.row")))
+        fresh = star.union(candidates.select("a", "b")).distinct() if tried is None else star.distinct().join(tried, ["a", "b"], "left_anti")
+        fresh = materialize(fresh, "tried")
+        tried = fresh if tried is None else tried.union(fresh)
+        more = materialize(verified(fresh, items, docs, width, similarity), "links")
+        found = more if found is None else found.union(more)
+        root = components.roots(found)
+        placed = materialize(keys.join(root.select(F.col("node").alias("row"), "root"), "row", "left").withColumn("root", F.coalesce("root", "row")), "placed")
+        classes = placed.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("own"), F.count("*").alias("kinds"))
+        open_keys = materialize(classes.filter("kinds > 1").select("key", "all", ((F.col("all") * F.col("all") - F.col("own")) / 2).alias("pairs")), "open")
+        placed = materialize(placed.join(open_keys.select("key"), "key", "left_semi"), "placed")
+        rows, pairs = open_keys.agg(F.coalesce(F.sum("all"), F.lit(0)), F.coalesce(F.sum("pairs"), F.lit(0))).first()
+        if pairs <= 2 * rows:  # no more than another round would try
+            break
+    side = lambda c: placed.select("key", *(F.col(x).alias(f"{c}_{x}") for x in ("row", "n", "v", "place", "root")))
+    o = needed(F.col("x_n"), F.col("y_n"))
+    possible = (F.least("x_v", "y_v") >= o) & (F.col("x_place") <= F.col("x_n") - o) & (F.col("y_place") <= F.col("y_n") - o)
+    rest = side("x").join(side("y"), "key").filter((F.col("x_row") < F.col("y_row")) & (F.col("x_root") != F.col("y_root")) & possible).select(*pair(F.col("x_row"), F.col("y_row"))).distinct()
     rest = materialize(rest.join(tried, ["a", "b"], "left_anti"), "rest")
     return found.union(materialize(verified(rest, items, docs, width, similarity), "links"))
 

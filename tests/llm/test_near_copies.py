@@ -112,3 +112,22 @@ def test_stage_drops_rows_not_ids(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "d"))
     got = stages.drop_near_copies(spark, spark.read.parquet(str(tmp_path / "d")), "").collect()
     assert sorted(map(tuple, got), key=str) == sorted([(2, text), (5, rows[2][1]), (7, None), (None, "no id")], key=str)
+
+
+def test_a_group_of_near_copies_forms_few_pairs(spark, monkeypatch):
+    """Edits of one text, a quarter of whose pairs are similar enough: rounds of comparing with one text connect them, so pairs between
+    classes, which would grow with the square of the group, are few."""
+    rnd = random.Random(11)
+    base = [f"b{k}" for k in range(146)]
+    texts = []
+    for _ in range(300):
+        words = list(base)
+        for _ in range(rnd.randrange(2, 6)):
+            words[rnd.randrange(len(words))] = f"e{rnd.randrange(50)}"
+        texts.append(" ".join(words))
+    seen, old = [], similar.verified
+    monkeypatch.setattr(similar, "verified", lambda pairs, *more: (seen.append(pairs.count()), old(pairs, *more))[1])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in similar.near_copies(docs, 5, 0.8).collect()}
+    assert [got[k] for k in range(300)] == brute(list(enumerate(texts)))[0]
+    assert seen[-1] < 300 * 299 / 2 / 6 and sum(seen) < 20_000
