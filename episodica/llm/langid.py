@@ -8,7 +8,7 @@ Rejection is calibrated on labelled texts that training didn't see. A temperatur
 likelier wrong than right is rejected. As a softmax is sure of any text that leans to one language, a second test asks whether
 the text looks like that language at all: its familiarity is the mean log frequency of its subwords among those of the training
 texts of the language, in standard deviations from what texts of its length have there. The threshold is what all but REJECT of the
-rightly predicted calibration texts exceed, less SLACK of the way to it from their median, so that clean texts of a larger corpus
+rightly predicted calibration texts exceed, less SLACK times its distance from their median, so that clean texts of a larger corpus
 stay; gibberish and texts half in another language fall far below. A text is also rejected when fewer than LETTER_SHARE of its
 visible characters are letters, or none.
 """
@@ -32,9 +32,11 @@ EPOCHS = 12
 RATE = 4.0
 #: Bound of the labelled sample that the classifier is fitted on, in rows; they are those with the smallest hashes.
 SAMPLE_ROWS = 4000
+#: Longer texts aren't chosen for the sample, so that it is bounded in bytes too.
+SAMPLE_TEXT_BYTES = 1 << 15
 #: Share of rightly predicted calibration texts below the threshold of familiarity, before SLACK is added to the distance.
 REJECT = 0.01
-SLACK = 0.75
+SLACK = 1.0
 EVEN = 0.5
 LETTER_SHARE = 0.2
 UNDETERMINED = "und"
@@ -211,17 +213,20 @@ def held_out(doc_id: int | None) -> bool:
 
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Classifier:
-    """Learn from text and lang of docs whose crc32(doc_id as text) mod 4 isn't 2: of the labelled rows with a letter, the
-    sample_rows with the smallest hashes of doc_id and text length. Whole texts are used."""
+    """Learn from text and lang of docs whose crc32(doc_id as text) mod 4 isn't 2: of the labelled rows with texts of at most
+    SAMPLE_TEXT_BYTES, the sample_rows with the smallest hashes of doc_id (ties by doc_id and hash of the text). Whole texts are used."""
     number = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    rows = docs.filter(F.col("lang").isNotNull() & (F.col("lang") != UNDETERMINED) & F.col("text").isNotNull() & (number % 4 != 2))
+    rows = docs.filter(F.col("lang").isNotNull() & (F.col("lang") != UNDETERMINED) & F.col("text").isNotNull() & (F.octet_length("text") <= SAMPLE_TEXT_BYTES) & (number % 4 != 2))
     key = F.xxhash64(F.col("doc_id").cast("string"), F.lit("langid"))
     chosen = rows.select(key.alias("key"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("h")).orderBy("key", "id", "h").limit(sample_rows)
-    bound = chosen.agg(F.max("key"), F.count("*")).first()
-    if not bound[1]:
+    last = chosen.agg(F.max(F.struct("key", "id", "h"))).first()[0]
+    if last is None:
         return train([])
-    sample = rows.filter(key <= bound[0]).select("text", F.col("lang").cast("string").alias("lang"), key.alias("key"), F.xxhash64("text").alias("h"))
-    found = sorted(sample.limit(sample_rows).collect(), key=lambda r: (r["key"], r["h"]))
+    place = F.struct(key.alias("key"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"))
+    upto = F.struct(*(F.lit(last[c]).cast(t).alias(c) for c, t in chosen.dtypes))
+    sample = rows.filter((key < last["key"]) | ((key == last["key"]) & (place <= upto))).select("text", F.col("lang").cast("string").alias("lang"), place.alias("place"))
+    # rows that repeat the last one are all here; they are alike
+    found = sorted(sample.limit(2 * sample_rows).collect(), key=lambda r: tuple((v is not None, v) for v in r["place"]))[:sample_rows]
     return train([(r["text"], r["lang"]) for r in found if any(map(str.isalpha, r["text"]))])
 
 
