@@ -89,6 +89,7 @@ def parser() -> argparse.ArgumentParser:
     build.add_argument("--in", dest="input", required=True)
     build.add_argument("--out", default=".")
     build.add_argument("--split-seed", default=SPLIT_SEED)
+    build.add_argument("--tables", help="write the release as distributed tables to this folder instead, without files through the driver")
     release = snap.add_parser("publish")
     release.add_argument("--version", required=True)
     release.add_argument("--from", dest="origin", default=".")
@@ -192,6 +193,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             print(f"pushed={book.sync_revocations(_sink(args.to, conf), jobs.utc_now)}")
     elif args.command == "snapshot":
         if args.action == "build":
+            if args.tables:
+                snapshot.write_tables(readers.read_episodes(spark, args.input), args.tables, args.split_seed, book.revoked_ids())
+                _print({"version": args.version, "tables": args.tables})
+                return 0
             made = snapshot.build_snapshot(readers.read_episodes(spark, args.input), args.version, args.out, args.split_seed, book.revoked_ids())
             book.record_snapshot(args.version, jobs.utc_now(), made.train_count, made.val_count, made.manifest_hash)
             _print({"version": made.version, "train_count": made.train_count, "val_count": made.val_count, "out_dir": made.out_dir})

@@ -10,6 +10,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
+#: Folders of intermediate tables that may exist.
+_STAGED: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -25,12 +27,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for an intermediate table; it is deleted when the driver ends."""
+    """A fresh path for an intermediate table; it is deleted by clear(), or when the driver ends."""
     path = f"{shared_dir(spark).rstrip('/')}/episodica/{uuid.uuid4().hex}/{name}"
-    atexit.register(_delete, spark, path.rpartition("/")[0])
+    if not _STAGED:
+        atexit.register(clear, spark)
+    _STAGED.append(path.rpartition("/")[0])
     return path
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete all intermediate tables, once the results of earlier queries have been written: a long session calls it between queries."""
+    while _STAGED:
+        _delete(spark, _STAGED.pop())
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     if spark.sparkContext._jsc is None:
         return
@@ -51,7 +61,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Delete tables that materialize() returned, before the driver ends. Nothing may read them any more."""
     for table in tables:
-        _delete(table.sparkSession, table._staged.rpartition("/")[0])
+        folder = table._staged.rpartition("/")[0]
+        _delete(table.sparkSession, folder)
+        if folder in _STAGED:
+            _STAGED.remove(folder)
 
 
 def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:

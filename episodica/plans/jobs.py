@@ -209,9 +209,10 @@ def run(
 
 def scan(spark: SparkSession, input: str | list[str], out: str) -> dict:
     """JSON lines at input to canonical events under out."""
+    files = readers.input_files(spark, input).count()
     events = readers.read_source(spark, input, "manual_scan", "jsonl").persist()
     sinks.write_events(events, f"{out}/canonical_events")
-    found = {"input_files": events.select("path").distinct().count(), "produced_events": events.count(), "output": f"{out}/canonical_events"}
+    found = {"input_files": files, "produced_events": events.count(), "output": f"{out}/canonical_events"}
     events.unpersist()
     return found
 

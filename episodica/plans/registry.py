@@ -140,6 +140,13 @@ def episodes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("path", "turn", "part", "id", "content_hash", "prompt", "result", "context", "ts_start", "ts_end")
 
 
+@query()
+def episodes_default_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Episodes with the ids that users get by default (BLAKE3, which SQL lacks)."""
+    made = episodes.build_episodes(conversation_events(spark, sf_dir), include_raw=True)
+    return made.select("path", "turn", "part", "id", "content_hash")
+
+
 @query(sql.SFT_EXPORT)
 def sft_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = episodes.derive_sft(episodes.build_episodes(conversation_events(spark, sf_dir), include_raw=True, profile="sha256"))

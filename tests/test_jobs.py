@@ -194,6 +194,8 @@ def test_command_line(spark, home, monkeypatch, capsys):
     lines = [json.dumps(json.loads(p.read_text())) for p in (home / "state" / "outbox" / "episodes").iterdir()]
     (home / "eps.jsonl").write_text("\n".join(lines))
     go("snapshot", "build", "--version", "1", "--in", str(home / "eps.jsonl"), "--out", str(home / "rel"))
+    go("snapshot", "build", "--version", "1", "--in", str(home / "eps.jsonl"), "--tables", str(home / "tables"))
+    assert spark.read.parquet(str(home / "tables" / "episodes")).count() == spark.read.parquet(str(home / "tables" / "sft")).count() == 3
     go("snapshot", "publish", "--version", "1", "--from", str(home / "rel"), "--yes")
     go("reset", "--all", "--yes")
     said = capsys.readouterr().out

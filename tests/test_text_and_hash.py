@@ -82,3 +82,16 @@ def test_wrap_int32(spark, n, wrapped):
 
 def test_debug_string(spark):
     assert one(spark, tx.debug_string(F.col("x")), x='a"b\\c\n') == '"a\\"b\\\\c\\n"'
+
+
+def test_staged_tables_can_be_cleared(spark):
+    from pathlib import Path
+
+    from episodica.functions import staging
+
+    one, two = staging.materialize(spark.range(3), "one"), staging.materialize(spark.range(4), "two")
+    assert one.count() + two.count() == 7
+    staging.discard(one)
+    assert not Path(one._staged).exists() and Path(two._staged).exists()
+    staging.clear(spark)
+    assert not Path(two._staged).exists()
