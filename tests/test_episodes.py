@@ -124,7 +124,7 @@ def test_anonymised_chunks(spark):
 def test_chunks_are_published_only_if_all_are_clean(spark):
     made = chunks.anonymize(chunks.chunk_events(events(spark, [("tool_call", "x", "grep")])), "salt")
     sink = sinks.MemorySink()
-    assert sinks.publish_chunks(made, sink) == 1 and len(sink.episodes) == 1
+    assert sinks.publish_chunks(made, sink) == 1 and [v["data"] for v in sink.vectors.values()] == [made.first()["text"]]
     with pytest.raises(Exception, match="sensitive"):
         sinks.publish_chunks(chunks.anonymize(chunks.chunk_events(events(spark, [("user_msg", "a@b.com")])), "salt"), sink)
 
