@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import re
 import tempfile
 import uuid
@@ -59,12 +60,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete tables that materialize() returned, before the driver ends. Nothing may read them any more."""
+    """Delete tables that materialize() returned, before the driver ends. Nothing may read them any more.
+
+    The driver's garbage is collected then: only that lets Spark drop the shuffles behind them.
+    """
     for table in tables:
         folder = table._staged.rpartition("/")[0]
         _delete(table.sparkSession, folder)
         if folder in _STAGED:
             _STAGED.remove(folder)
+    if tables:
+        gc.collect()
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
