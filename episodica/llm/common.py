@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from episodica.functions.ship import ship_package
 from episodica.functions.staging import discard, materialize, materialize_bucketed, staging_path
 
-__all__ = ["ascii_lower", "discard", "lean", "materialize", "materialize_bucketed", "prepare", "read_table", "staging_path", "text_or_empty"]
+__all__ = ["ascii_lower", "discard", "hand_back", "lean", "materialize", "materialize_bucketed", "prepare", "read_table", "staging_path", "text_or_empty"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -38,13 +38,18 @@ def lean(rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -
         try:
             yield from rows(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            with suppress(OSError, AttributeError):  # another C library has no such call
-                ctypes.CDLL(None).malloc_trim(0)
+            hand_back()
 
     return run
 
 
+def hand_back() -> None:
+    """Return freed memory to the system."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # another C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from episodica.llm.common import lean, prepare, text_or_empty
+from episodica.llm.common import hand_back, lean, prepare, text_or_empty
 
 BUCKETS = 1 << 15
 DIM = 16
@@ -227,7 +227,10 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Classifier:
     sample = rows.filter((key < last["key"]) | ((key == last["key"]) & (place <= upto))).select("text", F.col("lang").cast("string").alias("lang"), place.alias("place"))
     # rows that repeat the last one are all here; they are alike
     found = sorted(sample.limit(2 * sample_rows).collect(), key=lambda r: tuple((v is not None, v) for v in r["place"]))[:sample_rows]
-    return train([(r["text"], r["lang"]) for r in found if any(map(str.isalpha, r["text"]))])
+    made = train([(r["text"], r["lang"]) for r in found if any(map(str.isalpha, r["text"]))])
+    del found
+    hand_back()
+    return made
 
 
 def identify(docs: DataFrame, model: Classifier | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

@@ -41,7 +41,7 @@ SAMPLE_TEXTS, COMMON_SHARE, COMMON_MOST = 20_000, 0.005, 1 << 16
 #: Texts that are joined by a broadcast of their hashes (some 50 bytes each) instead of moving all texts.
 BROADCAST_TEXTS = 250_000
 #: Rounds in which the texts of a shingle are compared with one of them, at most.
-STAR_ROUNDS = 5
+STAR_ROUNDS = 3
 #: What the trie finds: bits and rotations.
 TRIE_BITS, TRIE_ROTATIONS = 2, 3
 
@@ -72,8 +72,8 @@ def common_shingles(docs: DataFrame, texts: int, width: int) -> np.ndarray:
 
     least = max(8, COMMON_SHARE * texts / every)
     counts = chosen.mapInArrow(lean(rows), "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    found = counts.orderBy(F.desc("n"), "h").limit(COMMON_MOST).collect()
-    return np.sort(np.array([r["h"] for r in found], np.int64).view(np.uint64))
+    found = counts.orderBy(F.desc("n"), "h").limit(COMMON_MOST).select("h").toArrow()
+    return np.sort(found.column("h").to_numpy().astype(np.int64).view(np.uint64))
 
 
 def shingled(docs: DataFrame, width: int, parts: int, fan: int, common: np.ndarray) -> DataFrame:
@@ -216,6 +216,7 @@ def verified(pairs: DataFrame, items: DataFrame, docs: DataFrame, width: int, si
     wanted = F.broadcast(ends) if ends.count() <= BROADCAST_TEXTS else ends
     texts = docs.select(F.xxhash64(text_or_empty()).alias("text_hash"), text_or_empty().alias("text")).join(wanted, "text_hash").select("row", "digest", "text")
     held = materialize(texts.mapInArrow(lean(sets), "row bigint, held binary").dropDuplicates(["row"]), "shingles")
+    discard(ends)
     side = lambda c: held.select(F.col("row").alias(c), F.col("held").alias(f"held_{c}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "held_a", "held_b").mapInArrow(lean(similar), "a bigint, b bigint")
 
@@ -247,9 +248,11 @@ def links(keys: DataFrame, candidates: DataFrame, items: DataFrame, docs: DataFr
         root = components.roots(found)
         placed = materialize(keys.join(root.select(F.col("node").alias("row"), "root"), "row", "left").withColumn("root", F.coalesce("root", "row")), "placed")
         classes = placed.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("own"), F.count("*").alias("kinds"))
+        every = placed
         open_keys = materialize(classes.filter("kinds > 1").select("key", "all", ((F.col("all") * F.col("all") - F.col("own")) / 2).alias("pairs")), "open")
         placed = materialize(placed.join(open_keys.select("key"), "key", "left_semi"), "placed")
         rows, pairs = open_keys.agg(F.coalesce(F.sum("all"), F.lit(0)), F.coalesce(F.sum("pairs"), F.lit(0))).first()
+        discard(pivot, every, open_keys)
         if pairs <= 2 * rows:  # no more than another round would try
             break
     side = lambda c: placed.select("key", *(F.col(x).alias(f"{c}_{x}") for x in ("row", "n", "v", "place", "root")))
