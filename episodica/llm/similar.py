@@ -41,7 +41,7 @@ SAMPLE_TEXTS, COMMON_SHARE, COMMON_MOST = 20_000, 0.005, 1 << 16
 #: Texts that are joined by a broadcast of their hashes (some 50 bytes each) instead of moving all texts.
 BROADCAST_TEXTS = 250_000
 #: Rounds in which the texts of a shingle are compared with one of them, at most.
-STAR_ROUNDS = 3
+STAR_ROUNDS = 5
 #: What the trie finds: bits and rotations.
 TRIE_BITS, TRIE_ROTATIONS = 2, 3
 
@@ -257,7 +257,10 @@ def links(keys: DataFrame, candidates: DataFrame, items: DataFrame, docs: DataFr
             break
     side = lambda c: placed.select("key", *(F.col(x).alias(f"{c}_{x}") for x in ("row", "n", "v", "place", "root")))
     o = needed(F.col("x_n"), F.col("y_n"))
-    possible = (F.least("x_v", "y_v") >= o) & (F.col("x_place") <= F.col("x_n") - o) & (F.col("y_place") <= F.col("y_n") - o)
+    # what the pair can share before this shingle (none of those that no other text holds, which come first), it, and after it
+    before = F.least(*(F.col(f"{c}_place") - F.col(f"{c}_n") + F.col(f"{c}_v") for c in "xy"))
+    after = F.least(*(F.col(f"{c}_n") - F.col(f"{c}_place") for c in "xy"))
+    possible = (F.least("x_v", "y_v") >= o) & (F.col("x_place") <= F.col("x_n") - o) & (F.col("y_place") <= F.col("y_n") - o) & (before + after >= o)
     rest = side("x").join(side("y"), "key").filter((F.col("x_row") < F.col("y_row")) & (F.col("x_root") != F.col("y_root")) & possible).select(*pair(F.col("x_row"), F.col("y_row"))).distinct()
     rest = materialize(rest.join(tried, ["a", "b"], "left_anti"), "rest")
     return found.union(materialize(verified(rest, items, docs, width, similarity), "links"))
