@@ -34,3 +34,12 @@ def roots(edges: DataFrame) -> DataFrame:
     if place is None:
         return edges.filter(F.lit(False)).select(F.col("a").alias("node"), F.col("b").alias("root"))
     return place
+
+
+def extended(place: DataFrame, edges: DataFrame) -> DataFrame:
+    """What roots() gives for the links of place, which it gave before, and edges: only edges are contracted, between the roots of place."""
+    end = lambda c: place.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
+    moved = edges.join(end("a"), "a", "left").join(end("b"), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    more = roots(moved)
+    old = place.join(more.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return materialize(old.union(more.join(place.select("node"), "node", "left_anti").select("node", "root")), "place")

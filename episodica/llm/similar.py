@@ -13,7 +13,10 @@ has to hold a shingle of a third of all texts. (Any one order gives the same pai
 texts that share a shingle are compared with one of them, another one for each shingle and round, until classes hardly merge; only
 shingles whose texts aren't all connected by then form pairs, between the classes. With both sizes known more is asked of a pair:
 it must share o = ceil(s (n + m) / (1 + s)) shingles, so each must have as many that any other text holds at all, and one
-that they share must be among the first n - o + 1 and m - o + 1.
+that they share must be among the first n - o + 1 and m - o + 1. And at most n + m - 2 o shingles stand in one of the two only. A text's
+mark has a bit for each of so many buckets of shingles, set if the text holds an odd number of them. Two marks differ in no more bits than
+there are such shingles, so pairs whose marks differ in more aren't formed. In a large group of edited versions of one text, whose rarest
+shingles are the same few, that leaves hardly more than the pairs that are similar, and rounds connect most of those before.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from episodica.llm import blocks as bl
@@ -42,18 +45,50 @@ SAMPLE_TEXTS, COMMON_SHARE, COMMON_MOST = 20_000, 0.005, 1 << 16
 BROADCAST_TEXTS = 250_000
 #: Rounds in which the texts of a shingle are compared with one of them, at most.
 STAR_ROUNDS = 5
+#: Texts of a shingle that the others are compared with in one of the later rounds, at most.
+PIVOTS = 16
+#: A round that leaves more than this share of the pairs between classes is the last.
+LEAST_MERGED = 0.75
+#: Bits of a mark; those of texts with more shingles have a second part with a bit or two for each.
+MARK_BITS = 1024
 #: What the trie finds: bits and rotations.
 TRIE_BITS, TRIE_ROTATIONS = 2, 3
 
-SHINGLED = f"{bl.ITEMS}, row bigint, doc_id bigint, fp bigint, text_hash bigint, digest binary, sizes binary"
-SHINGLED_ARROW = pa.schema([*bl.ITEMS_ARROW, ("row", pa.int64()), ("doc_id", pa.int64()), ("fp", pa.int64()), ("text_hash", pa.int64()), ("digest", pa.binary()), ("sizes", pa.binary())])
-_NO_ITEMS, _NO_TEXT = (None,) * 10, (None,) * 6
+SHINGLED = f"{bl.ITEMS}, row bigint, doc_id bigint, fp bigint, text_hash bigint, digest binary, mark array<bigint>, sizes binary"
+SHINGLED_ARROW = pa.schema([*bl.ITEMS_ARROW, ("row", pa.int64()), ("doc_id", pa.int64()), ("fp", pa.int64()), ("text_hash", pa.int64()), ("digest", pa.binary()), ("mark", pa.list_(pa.int64())), ("sizes", pa.binary())])
+_NO_ITEMS, _NO_TEXT = (None,) * 10, (None,) * 7
 
 
 def set_digest(own: np.ndarray) -> bytes:
     return hashlib.sha256(own.astype("<u8").tobytes()).digest()
 
 
+def mark_of(own: np.ndarray) -> np.ndarray:
+    """MARK_BITS bits as longs and, of more hashes than that, as many bits as the next power of two, and half as many: in how many of
+    one part two sets differ is at most the number of hashes that stand in one of the two only."""
+
+    def part(bits: int) -> np.ndarray:
+        odd = np.bincount((own % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+        return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+    if len(own) <= MARK_BITS:
+        return part(MARK_BITS)
+    wide = 1 << (len(own) - 1).bit_length()
+    return np.concatenate((part(MARK_BITS), part(wide), part(wide // 2)))
+
+
+def apart(x: str, y: str) -> Column:
+    """At least so many hashes stand in one only of the sets with the marks x and y."""
+    longs = MARK_BITS // 64
+    first = sum((F.bit_count(F.get(x, F.lit(k)).bitwiseXOR(F.get(y, F.lit(k)))) for k in range(longs)), F.lit(0))
+    wide = lambda c: ((F.size(c) - longs) / 3 * 2).cast("int")
+    # of two sizes the smaller one, which the other has as its half if it is the next
+    own = lambda c, d: F.when(wide(c) <= wide(d), F.slice(c, longs + 1, wide(c))).otherwise(F.slice(c, wide(c) + (longs + 1), (wide(c) / 2).cast("int")))
+    p, q = own(x, y), own(y, x)
+    bits = F.aggregate(F.zip_with(p, q, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, n: s + n)
+    return F.when((F.size(x) > longs) & (F.size(y) > longs) & (F.size(p) == F.size(q)), F.greatest(first, bits)).otherwise(first)
+
+
 def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     return (((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
 
@@ -77,7 +112,7 @@ def common_shingles(docs: DataFrame, texts: int, width: int) -> np.ndarray:
 
 
 def shingled(docs: DataFrame, width: int, parts: int, fan: int, common: np.ndarray) -> DataFrame:
-    """For each text a row (row, doc_id, fp, text_hash, digest), for each block one (sizes, and the common shingles as its items), and
+    """For each text a row (row, doc_id, fp, text_hash, digest, mark), for each block one (sizes, and the common shingles as its items), and
     the block's other shingles as items cut by part; the text at place idx of a block has the row block + idx."""
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(common)  # COMMON_MOST hashes at most
@@ -96,13 +131,13 @@ def shingled(docs: DataFrame, width: int, parts: int, fan: int, common: np.ndarr
         for row, doc_id, text_hash, text in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
             every = shingle_hashes(text, width)
             sets.append(np.unique(every))
-            out.append((*_NO_ITEMS, row, doc_id, _signed(majority_bits(every)), text_hash, set_digest(sets[-1]), None))
+            out.append((*_NO_ITEMS, row, doc_id, _signed(majority_bits(every)), text_hash, set_digest(sets[-1]), mark_of(sets[-1]), None))
         name = out[0][10]
         sizes = np.fromiter(map(len, sets), "<u4", len(sets))
         hashes, place = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.uint32), sizes)
         at = np.searchsorted(usual, hashes)
         is_common = usual[np.minimum(at, len(usual) - 1)] == hashes if len(usual) else np.zeros(len(hashes), bool)
-        out.append((*(_items(name, place[is_common], hashes[is_common], True).row(-1) if is_common.any() else (-1, 0, np.array([name], "<i8").tobytes(), *[None] * 6, name)), *_NO_TEXT[:5], sizes.tobytes()))
+        out.append((*(_items(name, place[is_common], hashes[is_common], True).row(-1) if is_common.any() else (-1, 0, np.array([name], "<i8").tobytes(), *[None] * 6, name)), *_NO_TEXT[:6], sizes.tobytes()))
         rest = ~is_common
         if rest.any():
             out += [(*row, *_NO_TEXT) for row in bl.cut(_items(name, place[rest], hashes[rest], parts > fan), part_of(hashes[rest], parts) % fan, int(bl.spread(name, parts)))]
@@ -231,39 +266,51 @@ def trie_candidates(rows: DataFrame) -> DataFrame:
     return linked.union(equal)
 
 
-def links(keys: DataFrame, candidates: DataFrame, items: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Links a, b between rows of items that connect all pairs of at least similarity: keys are their prefixes."""
+def links(keys: DataFrame, candidates: DataFrame, items: DataFrame, marks: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """node, root (as of components.roots) by all pairs of rows of items of at least similarity: keys are their prefixes, marks (row, mark)."""
     needed = lambda n, m: F.ceil(F.lit(similarity / (1 + similarity)) * (n + m) - 1e-9)
     pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    placed, tried, found = keys.withColumn("root", F.col("row")), None, None
+
+    most = lambda n, m: n + m - 2 * needed(n, m)
+
+    placed, tried, root, before = keys.withColumns({"root": F.col("row"), "mark": F.lit(None).cast("array<bigint>")}), None, None, None
     for number in range(STAR_ROUNDS):
-        # rows of one key meet one of them: linear in keys, and a text of many keys meets many others
-        pivot = materialize(placed.groupBy("key").agg(F.min_by(F.struct("row", "n", "v", "root"), F.xxhash64("row", "key", F.lit(number))).alias("p")), "pivots")
-        star = placed.join(pivot, "key").filter((F.col("root") != F.col("p.root")) & (F.least("v", "p.v") >= needed(F.col("n"), F.col("p.n")))).select(*pair(F.col("row"), F.col("p.row")))
+        # rows of one key meet one of them, later up to PIVOTS: linear in keys, and a text of many keys meets many others
+        drawn = F.xxhash64("row", "key", F.lit(number))
+        pivot = materialize(placed.groupBy("key", F.pmod(drawn, F.lit(PIVOTS if number else 1)).alias("of")).agg(F.min_by(F.struct("row", "n", "v", "root", "mark"), drawn).alias("p")).drop("of"), "pivots")
+        possible = (F.col("root") != F.col("p.root")) & (F.least("v", "p.v") >= needed(F.col("n"), F.col("p.n")))
+        if number:
+            bits = apart("mark", "p.mark")
+            met = placed.join(pivot, "key").filter(possible & (bits <= most(F.col("n"), F.col("p.n"))))
+            star = met.groupBy("row", "p.root").agg(F.min_by("p.row", F.struct(bits, "p.row")).alias("other")).select(*pair(F.col("row"), F.col("other")))  # of a class the nearest is enough for now
+        else:
+            star = placed.join(pivot, "key").filter(possible).select(*pair(F.col("row"), F.col("p.row")))
         fresh = star.union(candidates.select("a", "b")).distinct() if tried is None else star.distinct().join(tried, ["a", "b"], "left_anti")
         fresh = materialize(fresh, "tried")
         tried = fresh if tried is None else tried.union(fresh)
         more = materialize(verified(fresh, items, docs, width, similarity), "links")
-        found = more if found is None else found.union(more)
-        root = components.roots(found)
+        root = components.roots(more) if root is None else components.extended(root, more)
         placed = materialize(keys.join(root.select(F.col("node").alias("row"), "root"), "row", "left").withColumn("root", F.coalesce("root", "row")), "placed")
         classes = placed.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("own"), F.count("*").alias("kinds"))
         every = placed
         open_keys = materialize(classes.filter("kinds > 1").select("key", "all", ((F.col("all") * F.col("all") - F.col("own")) / 2).alias("pairs")), "open")
-        placed = materialize(placed.join(open_keys.select("key"), "key", "left_semi"), "placed")
+        placed = materialize(placed.join(open_keys.select("key"), "key", "left_semi").join(marks, "row"), "placed")
         rows, pairs = open_keys.agg(F.coalesce(F.sum("all"), F.lit(0)), F.coalesce(F.sum("pairs"), F.lit(0))).first()
         discard(pivot, every, open_keys)
-        if pairs <= 2 * rows:  # no more than another round would try
+        # no more than another round would try, or the last one hardly merged anything
+        if pairs <= 2 * rows or (before is not None and pairs > LEAST_MERGED * before):
             break
-    side = lambda c: placed.select("key", *(F.col(x).alias(f"{c}_{x}") for x in ("row", "n", "v", "place", "root")))
+        before = pairs
+    side = lambda c: placed.select("key", *(F.col(x).alias(f"{c}_{x}") for x in ("row", "n", "v", "place", "root", "mark")))
     o = needed(F.col("x_n"), F.col("y_n"))
     # what the pair can share before this shingle (none of those that no other text holds, which come first), it, and after it
-    before = F.least(*(F.col(f"{c}_place") - F.col(f"{c}_n") + F.col(f"{c}_v") for c in "xy"))
+    ahead = F.least(*(F.col(f"{c}_place") - F.col(f"{c}_n") + F.col(f"{c}_v") for c in "xy"))
     after = F.least(*(F.col(f"{c}_n") - F.col(f"{c}_place") for c in "xy"))
-    possible = (F.least("x_v", "y_v") >= o) & (F.col("x_place") <= F.col("x_n") - o) & (F.col("y_place") <= F.col("y_n") - o) & (before + after >= o)
+    possible = (F.least("x_v", "y_v") >= o) & (F.col("x_place") <= F.col("x_n") - o) & (F.col("y_place") <= F.col("y_n") - o) & (ahead + after >= o)
+    possible &= apart("x_mark", "y_mark") <= most(F.col("x_n"), F.col("y_n"))
     rest = side("x").join(side("y"), "key").filter((F.col("x_row") < F.col("y_row")) & (F.col("x_root") != F.col("y_root")) & possible).select(*pair(F.col("x_row"), F.col("y_row"))).distinct()
     rest = materialize(rest.join(tried, ["a", "b"], "left_anti"), "rest")
-    return found.union(materialize(verified(rest, items, docs, width, similarity), "links"))
+    return components.extended(root, materialize(verified(rest, items, docs, width, similarity), "links"))
 
 
 def near_copies(docs: DataFrame, width: int, similarity: float, part_items: int = PART_ITEMS, fan: int = bl.FAN, merge: int = bl.MERGE_ITEMS) -> DataFrame:
@@ -282,10 +329,10 @@ def near_copies(docs: DataFrame, width: int, similarity: float, part_items: int
     place = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "text_hash", "row")
     sets = materialize(own.groupBy("digest").agg(F.min("row").alias("row"), F.min("doc_id").alias("least"), F.min(place).alias("first")), "sets")
     items = materialize(own.join(sets.select("row"), "row", "left_semi").select("row", "fp", "text_hash", "digest"), "items")
+    marks = materialize(table.filter("row is not null").select("row", "mark").join(items.select("row"), "row", "left_semi"), "marks")
     keys = materialize(prefixes(table, exchange, similarity).join(items.select("row"), "row", "left_semi"), "prefixes")
     discard(table)
-    found = links(keys, trie_candidates(items.select("row", "fp")), items.drop("fp"), docs, width, similarity)
-    root = components.roots(found)
+    root = links(keys, trie_candidates(items.select("row", "fp")), items.drop("fp"), marks, docs, width, similarity)
     placed = sets.join(root, sets.row == root.node, "left").select("digest", "least", "first", F.coalesce("root", "row").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("least").alias("component_id"), F.min("first").alias("one"))
     classes = materialize(placed.join(smallest, "root").select("digest", "component_id", F.col("one.row").alias("one")), "classes")

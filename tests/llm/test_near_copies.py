@@ -3,9 +3,10 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from episodica.llm import simhash, similar
+from episodica.llm import components, simhash, similar
 from episodica.llm.stages import NEAR_DUPLICATES
 
 
@@ -131,3 +132,49 @@ def test_a_group_of_near_copies_forms_few_pairs(spark, monkeypatch):
     got = {r["doc_id"]: r["component_id"] for r in similar.near_copies(docs, 5, 0.8).collect()}
     assert [got[k] for k in range(300)] == brute(list(enumerate(texts)))[0]
     assert seen[-1] < 300 * 299 / 2 / 6 and sum(seen) < 20_000
+
+
+def test_a_group_whose_texts_are_mostly_alone(spark, monkeypatch):
+    """Edits of one text, more than half of which are similar to no other: after the first round, which is linear, fewer pairs than texts
+    are compared (115,654 before pairs were held against marks), no link is contracted again and again, and none is lost."""
+    rnd, texts = random.Random(11), []
+    for _ in range(600):
+        words = [f"b{k}" for k in range(146)]
+        for _ in range(rnd.choice([1, 3, 5, 7, 8])):
+            words[rnd.randrange(len(words))] = f"e{rnd.randrange(2)}"
+        texts.append(" ".join(words))
+    compared, contracted, verified, roots = [], [], similar.verified, components.roots
+    monkeypatch.setattr(similar, "verified", lambda pairs, *more: (compared.append(pairs.count()), verified(pairs, *more))[1])
+    monkeypatch.setattr(components, "roots", lambda edges: (contracted.append(edges.count()), roots(edges))[1])
+    rows = list(enumerate(texts))
+    got = {r["doc_id"]: r["component_id"] for r in similar.near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 5, 0.8).collect()}
+    want, groups = brute(rows)
+    assert [got[k] for k in range(600)] == want and groups > 300
+    assert sum(compared[1:]) < 600 and sum(contracted) < 3 * 600
+
+
+def test_marks_differ_in_no_more_bits_than_sets(spark):
+    rnd, rows = np.random.default_rng(3), []
+    for n in (0, 1, 146, 1000, 1024, 1025, 2040, 3000, 9000):
+        x = rnd.integers(0, 1 << 64, n, np.uint64, endpoint=False)
+        for less, more in ((0, 0), (n // 20, n // 20), (n // 4, n // 4), (0, n // 5), (n // 2, 0), (n, 10), (0, 3 * n)):
+            y = np.concatenate((x[less:], rnd.integers(0, 1 << 64, more, np.uint64, endpoint=False)))
+            rows.append((n, len(np.setxor1d(x, y)), similar.mark_of(np.unique(x)).tolist(), similar.mark_of(np.unique(y)).tolist(), max(n, len(y)) < 1.3 * min(n, len(y))))
+    marks = spark.createDataFrame(rows, "n int, differ int, x array<bigint>, y array<bigint>, alike boolean")
+    for r in marks.select("n", "differ", "alike", similar.apart("x", "y").alias("bits"), similar.apart("y", "x").alias("back")).collect():
+        assert r["bits"] == r["back"] <= r["differ"]
+        if r["n"] >= 146 and r["alike"] and r["differ"] >= 0.5 * r["n"]:  # 0.22 n may differ in texts that are similar
+            assert r["bits"] > 0.23 * r["n"]
+
+
+def test_links_that_are_added_to_roots(spark):
+    rnd = random.Random(5)
+    frame = lambda edges: spark.createDataFrame(edges, "a long, b long")
+    parts = [[(rnd.randrange(90), rnd.randrange(90)) for _ in range(n)] for n in (30, 20, 0, 15)]
+    place = components.roots(frame(parts[0]))
+    for k in (1, 2, 3):
+        place = components.extended(place, frame(parts[k]))
+        label = lambda rows: {frozenset(r["node"] for r in rows if r["root"] == root) for root in {r["root"] for r in rows}}
+        got, want = place.collect(), components.roots(frame(sum(parts[: k + 1], []))).collect()
+        own = {r["node"] for r in want}
+        assert {c for c in label([r for r in got if r["node"] in own])} == label(want) and len(got) == len({r["node"] for r in got})
